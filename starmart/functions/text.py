@@ -64,8 +64,14 @@ def capitalised(c: Column | str) -> Column:
     capitalised one by one instead.
     """
     runs = F.regexp_extract_all(col(c), F.lit(rf"({_CASED}+|[^\p{{Lu}}\p{{Ll}}\p{{Lt}}]+)"), F.lit(1))
-    fixed = F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(r.substr(F.lit(2), F.length(r)))))
-    return F.array_join(fixed, "")
+
+    def fixed(run: Column) -> Column:
+        # One capital may become two letters (sharp s); only the first stays upper case.
+        first = F.upper(F.substring(run, 1, 1))
+        rest = run.substr(F.lit(2), F.length(run))
+        return F.concat(F.substring(first, 1, 1), F.lower(first.substr(F.lit(2), F.lit(2))), F.lower(rest))
+
+    return F.array_join(F.transform(runs, fixed), "")
 
 
 def titled(c: Column | str) -> Column:

@@ -1 +1,546 @@
-"""Placeholder."""
+"""Cleaning of whole messy tables, the quality log, and contract validation."""
+
+from __future__ import annotations
+
+from datetime import datetime
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from starmart.functions.numbers import count_rows
+from starmart.operators import dedupe
+from starmart.plans import cleaning, quality, reports, validation
+from starmart.registry import messy, query
+from starmart.registry.sql import over
+from starmart.schemas import CLEAN, STAR, Contract, Field, above, between, one_of
+from starmart.session import shared_path
+from starmart.sources import files, tpch
+from starmart.sources.tpch import table
+
+# ------------------------------------------------------------------ cleaners over whole tables
+
+
+def part_keys(spark, sf) -> DataFrame:
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("route_id"))
+
+
+def order_keys(spark, sf, name: str) -> DataFrame:
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias(name))
+
+
+def doc_keys(spark, sf) -> DataFrame:
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("booking_id"))
+
+
+def region_names(spark, sf) -> DataFrame:
+    return table(spark, sf, "region").select(F.initcap("r_name").alias("name"))
+
+
+CLEANERS = {
+    "Region": lambda s, d: cleaning.clean_regions(messy.regions(s, d)),
+    "Guide": lambda s, d: cleaning.clean_guides(messy.guides(s, d)),
+    "Route": lambda s, d: cleaning.clean_routes(messy.routes(s, d)),
+    "ScheduledTour": lambda s, d: cleaning.clean_scheduled_tours(messy.scheduled_tours(s, d), part_keys(s, d)),
+    "Booking": lambda s, d: cleaning.clean_bookings(messy.bookings(s, d), order_keys(s, d, "tour_id")),
+    "Payment": lambda s, d: cleaning.clean_payments(messy.payments(s, d), doc_keys(s, d)),
+    "Review": lambda s, d: cleaning.clean_reviews(
+        messy.reviews(s, d), table(s, d, "labels").select(F.col("doc_id").alias("booking_id"))
+    ),
+    "Weather": lambda s, d: cleaning.clean_weather(messy.weather(s, d), region_names(s, d)),
+    "BookingAttribution": lambda s, d: cleaning.clean_booking_attribution(
+        messy.attribution(s, d), table(s, d, "customer").select(F.col("c_custkey").alias("booking_id"))
+    ),
+    "Marketing": lambda s, d: cleaning.clean_marketing(messy.marketing(s, d)),
+    "WebsiteAnalytics": lambda s, d: cleaning.clean_website_analytics(messy.website(s, d)),
+    "EquipmentHire": lambda s, d: cleaning.clean_equipment_hire(messy.equipment(s, d), doc_keys(s, d)),
+}
+
+
+def _money(*columns: str) -> str:
+    return "* REPLACE (" + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in columns) + ")"
+
+
+# Per table: the raw CTE, the cleaned rows, and the (metric, value) pairs of the log.
+REGION_TITLE = messy.INITCAP_REGION
+SQL = {
+    "Region": (
+        f"raw AS ({messy.REGIONS}), c AS (SELECT DISTINCT region_id, {REGION_TITLE} AS name, replace(lower(r_name), ' ', '-') AS slug FROM raw)",
+        "SELECT * FROM c",
+        {"completeness": "1.0"},
+    ),
+    "Guide": (
+        f"""one AS ({messy.GUIDES}), raw AS (SELECT * FROM one UNION ALL SELECT * FROM one), c AS (SELECT guide_id, 'O''Neil-Smith' AS first_name,
+        last_name_raw, qualifications_raw AS qualifications, years_experience, 'English; Welsh' AS languages,
+        ['employed','freelance','volunteer'][e + 1] AS employment_type, CAST(rate AS DOUBLE) AS day_rate_gbp, {REGION_TITLE} AS primary_region, active,
+        tendency AS discount_tendency_pct, e FROM one)""",
+        """SELECT guide_id, first_name, upper(trim(last_name_raw)[1]) || lower(trim(last_name_raw)[2:]) AS last_name, qualifications, years_experience,
+        languages, employment_type, day_rate_gbp, primary_region, active, discount_tendency_pct FROM c""",
+        {
+            "completeness": "1.0",
+            "missing_qualifications": "(SELECT count(*) FROM c WHERE qualifications IS NULL)",
+            "currency_strings_parsed": "(SELECT count(*) FROM c WHERE e < 2)",
+        },
+    ),
+    "Route": (
+        f"""raw AS ({messy.ROUTES}), c AS (SELECT *, coalesce(elevation, median(elevation) OVER (PARTITION BY difficulty)) AS filled FROM raw)""",
+        """SELECT route_id, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') || ' Jack''S Rake' AS name, 'Peak District' AS region,
+        difficulty, CASE WHEN v < 2 THEN p_size + 0.5::DOUBLE END AS distance_km, p_size / 4 AS duration_hours, p_size * 20 AS mountain_height_m,
+        CAST(trunc(filled) AS INTEGER) AS elevation_gain_m, p_size > 40 AS is_featured, p_size > 5 AS active, lat AS trailhead_lat, lon AS trailhead_lon FROM c""",
+        {
+            "completeness": "1.0",
+            "invalid_difficulty_values": "(SELECT count(*) FROM c WHERE difficulty = 'extreme')",
+            "distance_unit_strings_parsed": "(SELECT count(*) FROM c WHERE v = 0)",
+            "elevation_gain_imputed": "(SELECT count(*) FROM c WHERE elevation IS NULL)",
+            "coordinates_outside_uk_bounds": "(SELECT count(*) FROM c WHERE NOT (lat BETWEEN 49.5 AND 61 AND lon BETWEEN -8.5 AND 2))",
+        },
+    ),
+    "ScheduledTour": (
+        f"raw AS ({messy.TOURS}), c AS (SELECT * FROM raw)",
+        f"SELECT {_money('price_pp')} FROM c",
+        {
+            "completeness": "1.0",
+            "invalid_price_rows": "(SELECT count(*) FROM c WHERE price_pp <= 0)",
+            "orphan_route_references": "(SELECT count(*) FROM c WHERE route_id NOT IN (SELECT p_partkey FROM part))",
+        },
+    ),
+    "Booking": (
+        f"raw AS ({messy.BOOKINGS}), c AS (SELECT * FROM raw WHERE rn = 1)",
+        "SELECT * EXCLUDE (rn, repaired, expected) REPLACE (CAST(list_price AS DOUBLE) AS list_price, CAST(total_price AS DOUBLE) AS total_price) FROM c",
+        {
+            "completeness": "(SELECT round((2 * count(*) + count(contact_email))::DOUBLE / (3 * count(*)), 4) FROM c)",
+            "duplicate_booking_references_removed": "(SELECT count(*) FROM raw WHERE rn > 1)",
+            "malformed_emails_repaired": "(SELECT count(*) FROM c WHERE repaired)",
+            "malformed_emails_unrepaired": "(SELECT count(*) FROM c WHERE contact_email_invalid)",
+            "inconsistent_discount_flag": "(SELECT count(*) FROM c WHERE discount_applied AND discount_pct <= 0)",
+            "total_price_discount_mismatch": "(SELECT count(*) FROM c WHERE abs(total_price - expected) > 0.02)",
+            "party_size_out_of_range": "(SELECT count(*) FROM c WHERE party_size NOT BETWEEN 1 AND 3)",
+            "orphan_tour_references": "(SELECT count(*) FROM c WHERE tour_id NOT IN (SELECT o_orderkey FROM orders))",
+        },
+    ),
+    "Payment": (
+        f"raw AS ({messy.PAYMENTS}), c AS (SELECT * FROM raw WHERE rn = 1)",
+        "SELECT * EXCLUDE (rn, user_id) REPLACE (CAST(amount AS DOUBLE) AS amount) FROM c",
+        {
+            "completeness": "1.0",
+            "duplicates_removed": "(SELECT count(*) FROM raw WHERE rn > 1)",
+            "currency_casing_fixed": "(SELECT count(*) FROM c WHERE user_id % 4 IN (0, 2))",
+            "orphan_booking_references": "(SELECT count(*) FROM c WHERE booking_id NOT IN (SELECT doc_id FROM documents))",
+        },
+    ),
+    "Review": (
+        f"raw AS ({messy.REVIEWS}), c AS (SELECT * FROM raw WHERE rn = 1)",
+        "SELECT * EXCLUDE (rn) FROM c",
+        {
+            "completeness": """(SELECT round((count(overall_rating) + count(guide_rating) + count(route_rating) + count(safety_rating)
+                + count(value_rating))::DOUBLE / (5 * count(*)), 4) FROM c)""",
+            "duplicates_removed": "(SELECT count(*) FROM raw WHERE rn > 1)",
+            **{
+                f"missing_{r}": f"(SELECT count(*) FROM c WHERE {r} IS NULL)"
+                for r in ("overall_rating", "guide_rating", "route_rating", "safety_rating", "value_rating")
+            },
+            "ratings_out_of_range": "(SELECT count(*) FROM c WHERE overall_rating NOT BETWEEN 1 AND 5 OR guide_rating NOT BETWEEN 1 AND 5)",
+            "orphan_booking_references": "(SELECT count(*) FROM c WHERE booking_id NOT IN (SELECT doc_id FROM labels))",
+        },
+    ),
+    "Weather": (
+        f"raw AS ({messy.WEATHER}), c AS (SELECT * FROM raw WHERE rn = 1)",
+        "SELECT * EXCLUDE (rn) FROM c",
+        {
+            "completeness": "1.0",
+            "duplicates_removed": "(SELECT count(*) FROM raw WHERE rn > 1)",
+            "unrecognised_region": "(SELECT count(*) FROM c WHERE region = 'Atlantis')",
+            "negative_rain_values": "(SELECT count(*) FROM c WHERE rain_mm < 0)",
+        },
+    ),
+    "BookingAttribution": (
+        f"raw AS ({messy.ATTRIBUTION}), c AS (SELECT * FROM raw WHERE rn = 1)",
+        "SELECT * EXCLUDE (rn) FROM c",
+        {
+            "completeness": "1.0",
+            "duplicates_removed": "(SELECT count(*) FROM raw WHERE rn > 1)",
+            "invalid_channel_values": "(SELECT count(*) FROM c WHERE channel = 'billboard')",
+            "orphan_booking_references": "(SELECT count(*) FROM c WHERE booking_id NOT IN (SELECT c_custkey FROM customer))",
+        },
+    ),
+    "Marketing": (
+        f"raw AS ({messy.MARKETING}), c AS (SELECT * FROM raw)",
+        f"SELECT {_money('spend')} FROM c",
+        {"completeness": "1.0", "negative_spend_rows": "(SELECT count(*) FROM c WHERE spend < 0)"},
+    ),
+    "WebsiteAnalytics": (
+        f"raw AS ({messy.WEBSITE}), c AS (SELECT * FROM raw)",
+        "SELECT * EXCLUDE (country_raw, event_id) FROM c",
+        {
+            "completeness": "(SELECT round((2 * count(*) + count(country))::DOUBLE / (3 * count(*)), 4) FROM c)",
+            "country_unrecognised_variant": "(SELECT count(*) FROM c WHERE event_id % 20 >= 18)",
+            "country_names_standardised": "(SELECT count(*) FROM c WHERE trim(country_raw) IS DISTINCT FROM country OR country IS NULL)",
+            "invalid_device_values": "(SELECT count(*) FROM c WHERE device = 'watch')",
+        },
+    ),
+    "EquipmentHire": (
+        f"raw AS ({messy.EQUIPMENT}), c AS (SELECT * FROM raw WHERE rn = 1)",
+        f"SELECT * EXCLUDE (rn) REPLACE (CAST(hire_revenue AS DOUBLE) AS hire_revenue) FROM c",
+        {
+            "completeness": """(SELECT round((count(boots) + count(waterproofs) + count(poles) + count(helmet) + count(ice_axe) + count(crampons)
+                + count(hire_revenue))::DOUBLE / (7 * count(*)), 4) FROM c)""",
+            "duplicates_removed": "(SELECT count(*) FROM raw WHERE rn > 1)",
+            "negative_revenue_rows": "(SELECT count(*) FROM c WHERE hire_revenue < 0)",
+            "orphan_booking_references": "(SELECT count(*) FROM c WHERE booking_id NOT IN (SELECT doc_id FROM documents))",
+        },
+    ),
+}
+DEDUPED_PLAIN = ("Region", "Guide")  # the SQL removes their copies without row numbers
+
+
+def log_sql(name: str) -> str:
+    ctes, _, metrics = SQL[name]
+    metrics = dict(metrics)
+    if name in DEDUPED_PLAIN:
+        metrics["duplicates_removed"] = "(SELECT count(*) FROM raw) - (SELECT count(*) FROM c)"
+    rows = ["SELECT 'row_count' AS metric, 'raw' AS stage, CAST((SELECT count(*) FROM raw) AS DOUBLE) AS value",
+            "SELECT 'row_count', 'cleaned', CAST((SELECT count(*) FROM c) AS DOUBLE)"]
+    rows += [f"SELECT '{m}', 'cleaning', CAST({v} AS DOUBLE)" for m, v in metrics.items()]
+    body = " UNION ALL ".join(rows)
+    return f"""WITH {ctes} SELECT '{name}' AS "table", * FROM ({body}) WHERE value > 0 OR metric IN ('row_count', 'completeness')"""
+
+
+def _register(position: int, name: str) -> None:
+    key = f"c{position:02d}_clean_" + "".join("_" + c.lower() if c.isupper() else c for c in name).lstrip("_")
+
+    @query(key, f"WITH {SQL[name][0]} {SQL[name][1]}")
+    def rows(spark, sf):
+        return CLEANERS[name](spark, sf).rows
+
+    @query(f"{key}_log", log_sql(name))
+    def log(spark, sf):
+        return CLEANERS[name](spark, sf).quality().select("table", "metric", "stage", "value")
+
+
+for _position, _name in enumerate(CLEANERS, start=1):
+    _register(_position, _name)
+
+
+@query(
+    "c00_dedupe_keep_first",
+    """SELECT booking_id, channel, copies FROM (SELECT o_custkey AS booking_id, o_orderpriority AS channel, count(*) OVER (PARTITION BY o_custkey) AS copies,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn = 1""",
+)
+def c00(spark, sf):
+    rows = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("booking_id"), F.col("o_orderpriority").alias("channel"), "o_orderdate", "o_orderkey"
+    )
+    first = dedupe.keep_first(rows, ["booking_id"], ["o_orderdate", "o_orderkey"])
+    return first.select("booking_id", "channel", F.col(dedupe.COPIES).alias("copies"))
+
+
+CORE = ("Region", "Guide", "Route", "ScheduledTour", "Booking", "Payment")
+EXTENSIONS = ("Review", "Weather", "BookingAttribution", "Marketing", "WebsiteAnalytics", "EquipmentHire")
+
+
+def full_log(spark, sf, names, started=None) -> DataFrame:
+    """Cleaning log and validation failures of several tables."""
+    parts = []
+    for name in names:
+        cleaned = CLEANERS[name](spark, sf)
+        counts = validation.validate(cleaned.rows, CLEAN[name])
+        parts += [cleaned.quality(started=started), quality.failures_row(counts, name, started)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def run_sql(names) -> str:
+    return " UNION ALL ".join(f"SELECT * FROM ({log_sql(n)})" for n in names)
+
+
+@query("c13_core_cleaning_run", run_sql(CORE))
+def c13(spark, sf):
+    log = full_log(spark, sf, CORE)
+    return log.where("metric <> 'validation_failures'").select("table", "metric", "stage", "value")
+
+
+@query("c14_extension_cleaning_run", run_sql(EXTENSIONS))
+def c14(spark, sf):
+    log = full_log(spark, sf, EXTENSIONS)
+    return log.where("metric <> 'validation_failures'").select("table", "metric", "stage", "value")
+
+
+# ------------------------------------------------------------------ validation
+
+LINES = Contract(
+    {
+        "l_orderkey": Field("BIGINT"),
+        "l_quantity": Field("DOUBLE", (between(1, 45),)),
+        "l_discount": Field("DOUBLE", (between(0, 0.08),)),
+        "l_tax": Field("DOUBLE", (above(0),)),
+        "l_returnflag": Field("STRING", (one_of(("A", "N")),)),
+    },
+    unique=(("l_orderkey", "l_linenumber"),),
+)
+
+
+@query(
+    "v01_schema_contract",
+    """SELECT * FROM (VALUES ('o_totalprice', 'double', CAST(NULL AS VARCHAR))) v("column", expected, found) WHERE (SELECT count(*) FROM orders) < 0
+    UNION ALL SELECT 'o_comment', 'string', 'missing' UNION ALL SELECT 'o_orderkey', 'int', 'bigint'""",
+)
+def v01(spark, sf):
+    orders = table(spark, sf, "orders")
+    contract = Contract({"o_orderkey": Field("INT"), "o_totalprice": Field("DOUBLE"), "o_comment": Field("STRING")})
+    gaps = [(c, e, f or "missing") for c, e, f in validation.schema_gaps(orders, contract)]
+    found = spark.createDataFrame(gaps, "column STRING, expected STRING, found STRING")
+    return found.where(orders.limit(1).exists())
+
+
+@query(
+    "v02_not_null",
+    """SELECT 'quality' AS "column", 'not_null' AS "check", count(*) FILTER (WHERE quality IS NULL) AS failures FROM documents LEFT JOIN labels USING (doc_id)
+    UNION ALL SELECT 'doc_id', 'not_null', count(*) FILTER (WHERE doc_id IS NULL) FROM documents""",
+)
+def v02(spark, sf):
+    joined = table(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
+    return validation.rule_counts(joined, Contract({"doc_id": Field("BIGINT"), "quality": Field("INT")}))
+
+
+@query(
+    "v03_unique_key",
+    """SELECT 'o_custkey,o_orderdate' AS "column", 'unique' AS "check", CAST(coalesce(sum(n), 0) AS BIGINT) AS failures FROM
+    (SELECT count(*) AS n FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1)""",
+)
+def v03(spark, sf):
+    return validation.duplicate_count(table(spark, sf, "orders"), ("o_custkey", "o_orderdate"))
+
+
+@query(
+    "v04_closed_enum",
+    """SELECT 'c_mktsegment' AS "column", 'isin(BUILDING, MACHINERY)' AS "check", count(*) FILTER (WHERE c_mktsegment NOT IN ('BUILDING','MACHINERY')) AS failures FROM customer""",
+)
+def v04(spark, sf):
+    contract = Contract({"c_mktsegment": Field("STRING", (one_of(("BUILDING", "MACHINERY")),), nullable=True)})
+    return validation.rule_counts(table(spark, sf, "customer"), contract)
+
+
+@query(
+    "v05_inclusive_range",
+    """SELECT 'p_size' AS "column", 'between(5, 45)' AS "check", count(*) FILTER (WHERE p_size < 5 OR p_size > 45) AS failures FROM part""",
+)
+def v05(spark, sf):
+    contract = Contract({"p_size": Field("INT", (between(5, 45),), nullable=True)})
+    return validation.rule_counts(table(spark, sf, "part"), contract)
+
+
+@query(
+    "v06_positive_values",
+    """SELECT 's_acctbal' AS "column", 'above(0)' AS "check", count(*) FILTER (WHERE s_acctbal <= 0) AS failures FROM supplier""",
+)
+def v06(spark, sf):
+    contract = Contract({"s_acctbal": Field("DOUBLE", (above(0),), nullable=True)})
+    return validation.rule_counts(table(spark, sf, "supplier"), contract)
+
+
+LINE_FAILURES = """SELECT 'l_quantity' AS "column", 'between(1, 45)' AS "check", CAST(l_quantity AS VARCHAR) AS value, count(*) AS rows FROM lineitem WHERE l_quantity > 45 GROUP BY 3
+    UNION ALL SELECT 'l_discount', 'between(0, 0.08)', CAST(l_discount AS VARCHAR), count(*) FROM lineitem WHERE l_discount > 0.08 GROUP BY 3
+    UNION ALL SELECT 'l_tax', 'above(0)', CAST(l_tax AS VARCHAR), count(*) FROM lineitem WHERE l_tax <= 0 GROUP BY 3
+    UNION ALL SELECT 'l_returnflag', 'isin(A, N)', l_returnflag, count(*) FROM lineitem WHERE l_returnflag = 'R' GROUP BY 3
+    UNION ALL SELECT 'l_orderkey,l_linenumber', 'unique', l_orderkey || ',' || l_linenumber, count(*) FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+
+
+@query("v07_failure_cases", LINE_FAILURES)
+def v07(spark, sf):
+    return validation.failure_cases(table(spark, sf, "lineitem"), LINES)
+
+
+@query(
+    "v07_failure_counts",
+    f"""SELECT k."column", k."check", CAST(coalesce(sum(rows), 0) AS BIGINT) AS failures FROM (VALUES ('l_orderkey','not_null'),('l_quantity','not_null'),('l_quantity','between(1, 45)'),
+    ('l_discount','not_null'),('l_discount','between(0, 0.08)'),('l_tax','not_null'),('l_tax','above(0)'),('l_returnflag','not_null'),('l_returnflag','isin(A, N)'),
+    ('l_orderkey,l_linenumber','unique')) k("column", "check") LEFT JOIN ({LINE_FAILURES}) f ON f."column" = k."column" AND f."check" = k."check" GROUP BY 1, 2""",
+)
+def v07_counts(spark, sf):
+    return validation.validate(table(spark, sf, "lineitem"), LINES)
+
+
+REFERENCES = {
+    "Lines": Contract(
+        {}, references={"l_orderkey": ("Orders", "o_orderkey"), "l_partkey": ("Documents", "doc_id"), "l_suppkey": ("Suppliers", "s_suppkey")}
+    )
+}
+
+
+@query(
+    "v08_foreign_keys",
+    """SELECT 'Lines' AS "table", 'l_orderkey' AS "column", count(*) FILTER (WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)) AS failures FROM lineitem
+    UNION ALL SELECT 'Lines', 'l_partkey', count(*) FILTER (WHERE l_partkey NOT IN (SELECT doc_id FROM documents)) FROM lineitem
+    UNION ALL SELECT 'Lines', 'l_suppkey', count(*) FILTER (WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)) FROM lineitem""",
+)
+def v08(spark, sf):
+    tables = {
+        "Lines": table(spark, sf, "lineitem"),
+        "Orders": table(spark, sf, "orders"),
+        "Documents": table(spark, sf, "documents"),
+        "Suppliers": table(spark, sf, "supplier"),
+    }
+    return validation.reference_counts(tables, REFERENCES, "Lines")
+
+
+@query(
+    "v09_check_constraints",
+    over(
+        "lines_fact",
+        """SELECT 'season' AS "column", 'isin(winter, summer)' AS "check", count(*) FILTER (WHERE season NOT IN ('winter','summer')) AS failures FROM lines_fact
+        UNION ALL SELECT 'status', 'isin(pending, confirmed, cancelled, amended)', count(*) FILTER (WHERE status NOT IN ('pending','confirmed','cancelled','amended')) FROM lines_fact
+        UNION ALL SELECT 'party_size', 'between(1, 3)', count(*) FILTER (WHERE party_size NOT BETWEEN 1 AND 3) FROM lines_fact""",
+    ),
+)
+def v09(spark, sf):
+    fields = STAR["FactBookings"].fields
+    contract = Contract({c: Field(fields[c].type, fields[c].checks, nullable=True) for c in ("season", "status", "party_size")})
+    return validation.rule_counts(tpch.line_bookings(spark, sf, region=False), contract)
+
+
+@query(
+    "v10_composite_unique",
+    over(
+        "weather",
+        """SELECT 'date_id,region_id' AS "column", 'unique' AS "check", CAST(coalesce(sum(n), 0) AS BIGINT) AS failures
+        FROM (SELECT count(*) AS n FROM weather GROUP BY d, region_id HAVING count(*) > 1)
+        UNION ALL SELECT 'l_shipdate,l_suppkey', 'unique', CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_shipdate, l_suppkey HAVING count(*) > 1)""",
+    ),
+)
+def v10(spark, sf):
+    daily = validation.duplicate_count(tpch.weather(spark, sf), STAR["FactWeather"].unique[0])
+    return daily.unionByName(validation.duplicate_count(table(spark, sf, "lineitem"), ("l_shipdate", "l_suppkey")))
+
+
+@query(
+    "v11_warehouse_invariants",
+    over(
+        "lines_fact reviews",
+        """SELECT 'party_size_1_to_3' AS rule, count(*) FILTER (WHERE party_size NOT BETWEEN 1 AND 3) AS violations FROM lines_fact
+        UNION ALL SELECT 'total_within_list_price', count(*) FILTER (WHERE total_price > list_price + 1.5) FROM lines_fact
+        UNION ALL SELECT 'undiscounted_has_no_pct', count(*) FILTER (WHERE NOT discount_applied AND discount_pct <> 0) FROM lines_fact
+        UNION ALL SELECT 'rating_1_to_5', count(*) FILTER (WHERE overall_rating NOT BETWEEN 1 AND 5) FROM reviews""",
+    ),
+)
+def v11(spark, sf):
+    return validation.invariants(tpch.line_bookings(spark, sf, region=False), tpch.reviews(spark, sf))
+
+
+@query(
+    "v12_view_reconciles_with_fact",
+    """SELECT t AS left_total, t AS right_total, 0.0::DOUBLE AS difference FROM (SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS t FROM orders WHERE o_orderstatus = 'F')""",
+)
+def v12(spark, sf):
+    star = tpch.order_star(spark, sf, region=False)
+    confirmed = star["FactBookings"].where("status = 'confirmed'")
+    return validation.reconcile(reports.monthly_revenue(star), "revenue", confirmed, "total_price")
+
+
+@query(
+    "v13_marketing_reconciles_with_bookings",
+    over(
+        "marketing",
+        """SELECT CAST((SELECT sum(conversions) FROM marketing) AS BIGINT) AS left_total, (SELECT count(*) FROM orders WHERE o_orderstatus IN ('F','O')) AS right_total,
+        CAST((SELECT sum(conversions) FROM marketing) AS BIGINT) - (SELECT count(*) FROM orders WHERE o_orderstatus IN ('F','O')) AS difference""",
+    ),
+)
+def v13(spark, sf):
+    trips = tpch.order_bookings(spark, sf, region=False).where(F.col("status").isin("confirmed", "amended"))
+    return validation.reconcile(tpch.marketing(spark, sf), "conversions", trips.agg(count_rows().alias("n")), "n")
+
+
+# ------------------------------------------------------------------ quality log
+
+
+@query(
+    "q01_row_count_entries",
+    """SELECT 'Orders' AS "table", 'row_count' AS metric, 'raw' AS stage, CAST(count(*) AS DOUBLE) AS value FROM orders
+    UNION ALL SELECT 'Events', 'row_count', 'cleaned', CAST(count(*) AS DOUBLE) FROM events""",
+)
+def q01(spark, sf):
+    entries = quality.row_count_entry(table(spark, sf, "orders"), "Orders", "raw").unionByName(
+        quality.row_count_entry(table(spark, sf, "events"), "Events", "cleaned")
+    )
+    return entries.select("table", "metric", "stage", "value")
+
+
+@query(
+    "q02_metric_entries",
+    """SELECT 'Supplier' AS "table", 'negative_balance' AS metric, 'cleaning' AS stage, CAST(count(*) FILTER (WHERE s_acctbal < 0) AS DOUBLE) AS value FROM supplier""",
+)
+def q02(spark, sf):
+    one = table(spark, sf, "supplier").agg(F.count_if(F.col("s_acctbal") < 0).alias("n"))
+    return quality.metric_entry(one, "Supplier", "negative_balance", "n").select("table", "metric", "stage", "value")
+
+
+@query(
+    "q03_stamped_log",
+    f"""SELECT TIMESTAMP '2024-01-01 06:00:00' AS run_started_at, * FROM ({log_sql("Weather")})""",
+)
+def q03(spark, sf):
+    log = CLEANERS["Weather"](spark, sf).quality(started=datetime(2024, 1, 1, 6))
+    return log.select(F.col("run_started_at").cast("timestamp_ntz").alias("run_started_at"), "table", "metric", "stage", "value")
+
+
+@query(
+    "q04_stage_summary",
+    f"""SELECT "table", max(value) FILTER (WHERE stage = 'raw') AS raw, max(value) FILTER (WHERE stage = 'cleaned') AS cleaned
+    FROM ({run_sql(EXTENSIONS)}) WHERE metric = 'row_count' GROUP BY 1""",
+)
+def q04(spark, sf):
+    return quality.stage_summary(full_log(spark, sf, EXTENSIONS))
+
+
+@query(
+    "q04_metric_summary",
+    f"""SELECT "table", metric, value FROM ({log_sql("Review")}) WHERE metric <> 'row_count'""",
+)
+def q04_metrics(spark, sf):
+    return quality.metric_summary(CLEANERS["Review"](spark, sf).quality()).drop("notes")
+
+
+@query(
+    "s10_persisted_quality_log",
+    f"""SELECT * FROM ({log_sql("Payment")}) UNION ALL SELECT * FROM ({log_sql("EquipmentHire")})""",
+)
+def s10(spark, sf):
+    path = shared_path(spark, "quality-log")
+    for name in ("Payment", "EquipmentHire"):
+        files.append_log(CLEANERS[name](spark, sf).quality(), path)
+    return spark.read.parquet(path).select("table", "metric", "stage", "value")
+
+
+@query(
+    "m41_log_kpis",
+    f"""SELECT avg(value) FILTER (WHERE metric = 'completeness') AS completeness_pct, 0.0::DOUBLE AS total_validation_failures,
+    sum(value) FILTER (WHERE metric LIKE 'duplicate%removed') AS total_duplicates_removed FROM ({run_sql(("Booking", "Weather"))})""",
+)
+def m41(spark, sf):
+    log = CLEANERS["Booking"](spark, sf).quality().unionByName(CLEANERS["Weather"](spark, sf).quality())
+    return quality.log_kpis(log).fillna(0.0, ["total_validation_failures"])
+
+
+@query(
+    "m49_duplicate_and_failure_rates",
+    """WITH d AS (SELECT o_custkey, o_orderdate, count(*) AS n FROM orders GROUP BY 1, 2)
+    SELECT 'Orders' AS "table", (sum(n) - count(*)) / sum(n) AS duplicate_rate,
+    (SELECT count(*) FILTER (WHERE o_totalprice <= 5000) FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey) AS rn FROM orders) WHERE rn = 1)
+      / count(*) AS validation_failure_rate FROM d""",
+)
+def m49(spark, sf):
+    rows = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    first = dedupe.keep_first(rows, ["o_custkey", "o_orderdate"], "o_orderkey")
+    contract = Contract({"o_totalprice": Field("DOUBLE", (above(5000),), nullable=True)})
+    cleaned = quality.Cleaned("Orders", first, rows.columns, {}, rows.columns)
+    log = cleaned.quality().unionByName(quality.failures_row(validation.validate(cleaned.rows, contract), "Orders"))
+    return quality.table_rates(log)
+
+
+@query(
+    "m50_run_duration",
+    "SELECT date_diff('second', date_trunc('second', min(ts)), date_trunc('second', max(ts))) AS duration_seconds FROM events",
+)
+def m50(spark, sf):
+    runs = table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("started_at"), F.col("ts").cast("timestamp").alias("finished_at"))
+    return quality.run_duration(runs)
+
+

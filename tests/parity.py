@@ -96,7 +96,7 @@ def main() -> int:
     options = args.parse_args()
     folder = f"/root/testdata/sf{options.scale}"
     registry.load()
-    spark = get_session("parity", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+    spark = get_session("parity", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
                                                  "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
