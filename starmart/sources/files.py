@@ -26,7 +26,7 @@ def read_clean(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def read_clean_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
     """A cleaned CSV, dates and timestamps parsed by the contract's schema."""
-    return spark.read.csv(path, schema=CLEAN[name].ddl, header=True)
+    return spark.read.csv(path, schema=CLEAN[name].ddl, header=True, escape='"')
 
 
 def read_star(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -50,7 +50,9 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> No
 def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
     """Overwrite a headered CSV folder; ``single`` only for results of bounded size."""
     out = df.coalesce(1) if single else df
-    out.write.mode("overwrite").csv(path, header=True, emptyValue="")
+    out.write.mode("overwrite").csv(
+        path, header=True, emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
 
 
 def append_log(log: DataFrame, path: str) -> None:

@@ -175,6 +175,7 @@ def line_bookings(spark: SparkSession, folder: str, region: bool = True, order:
     discount = F.col("l_discount").cast("decimal(4,2)")
     df = table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("booking_id"),
+        F.concat(F.lit("L-"), F.col("l_orderkey").cast("string")).alias("booking_reference"),
         F.col("l_linenumber").alias("line"),
         F.col("l_partkey").alias("route_id"),
         F.col("l_suppkey").alias("guide_id"),
