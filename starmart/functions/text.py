@@ -60,10 +60,11 @@ def blank_to_null(c: Column) -> Column:
 def capitalised(c: Column | str) -> Column:
     """Capital after every non-letter: ``jack's rake`` becomes ``Jack'S Rake``.
 
-    ``initcap`` only starts a new word at white space, so runs of letters are
-    capitalised one by one instead.
+    ``initcap`` only starts a new word at white space, so it serves plain words;
+    in all other text runs of letters are capitalised one by one.
     """
-    runs = F.regexp_extract_all(col(c), F.lit(rf"({_CASED}+|[^\p{{Lu}}\p{{Ll}}\p{{Lt}}]+)"), F.lit(1))
+    value = col(c)
+    runs = F.regexp_extract_all(value, F.lit(rf"({_CASED}+|[^\p{{Lu}}\p{{Ll}}\p{{Lt}}]+)"), F.lit(1))
 
     def fixed(run: Column) -> Column:
         # One capital may become two letters (sharp s); only the first stays upper case.
@@ -71,7 +72,8 @@ def capitalised(c: Column | str) -> Column:
         rest = run.substr(F.lit(2), F.length(run))
         return F.concat(F.substring(first, 1, 1), F.lower(first.substr(F.lit(2), F.lit(2))), F.lower(rest))
 
-    return F.array_join(F.transform(runs, fixed), "")
+    by_runs = F.array_join(F.transform(runs, fixed), "")
+    return F.when(value.rlike("^[A-Za-z ]*$"), F.initcap(value)).otherwise(by_runs)
 
 
 def titled(c: Column | str) -> Column:

@@ -19,9 +19,12 @@ from starmart.sources.tpch import table
 
 def variant(key: str, *values: Column | str | None) -> Column:
     """The i-th spelling for rows whose key leaves remainder i."""
-    cells = [F.lit(v) if v is None or isinstance(v, str) else v for v in values]
-    pick = (F.pmod(F.col(key), F.lit(len(cells))) + 1).cast("int")
-    return F.element_at(F.array(*[c.cast("string") for c in cells]), pick)
+    pick = F.pmod(F.col(key), F.lit(len(values)))
+    out = F.lit(None).cast("string")
+    for i, v in reversed(list(enumerate(values))):
+        cell = F.lit(v) if v is None or isinstance(v, str) else v
+        out = F.when(pick == i, cell.cast("string")).otherwise(out)
+    return out
 
 
 def variant_sql(key: str, *values: str) -> str:
