@@ -27,30 +27,25 @@ def numbered(df: DataFrame, name: str, order: Sequence[Column], by: Sequence[str
 
     A window would sort a whole group (or, without ``by``, the whole table) in
     one task. Here the table is range-partitioned, so one group may span many
-    tasks; each row's position is its index in the partition plus the number of
-    rows in earlier partitions. The checkpoint fixes the ranges, so the counts
-    and the positions agree even if a task is run again. ``order`` must be total.
+    partitions; a row's number is its place inside (partition, group) plus the
+    group's rows in earlier partitions. The join that brings the two together
+    is on (partition, group), so a hot group stays spread. The checkpoint fixes
+    the ranges, so counts and places agree even if a task is run again.
+    ``order`` must be total.
     """
     keys = [F.col(c).asc_nulls_first() for c in by]
     ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
-    placed = checkpointed(ranged.withColumn("_at", F.monotonically_increasing_id()))
-    part = F.shiftright("_at", _PARTITION_BITS)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per shuffle partition: small by construction, hence window and broadcast.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    in_part = F.col("_at") - F.shiftleft(part, _PARTITION_BITS)
-    positions = (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, in_part + F.col("_before") + 1)
-        .drop("_at", "_part", "_before")
+    at = F.monotonically_increasing_id()
+    placed = checkpointed(ranged.withColumn("_at", at)).withColumn("_part", F.shiftright("_at", _PARTITION_BITS))
+    runs = placed.groupBy(F.col("_part").alias("_p"), *[F.col(c).alias(f"_k_{c}") for c in by]).agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
-    if not by:
-        return positions
-    starts = positions.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(F.min(name).alias("_start"))
-    match = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
-    return positions.join(starts, match).select(*df.columns, (F.col(name) - F.col("_start") + 1).alias(name))
+    # One row per partition and group: a group's window is as long as the partitions it spans.
+    earlier = Window.partitionBy(*[f"_k_{c}" for c in by]).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    match = [F.col("_part") == F.col("_p"), *[F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]]
+    number = F.col("_at") - F.col("_first") + F.col("_before") + 1
+    return placed.join(runs, match).select(*df.columns, number.alias(name))
 
 
 def latest_known(value: str, order: Column) -> Column:

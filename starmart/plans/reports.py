@@ -354,43 +354,42 @@ def month_over_month_growth(star: Star) -> DataFrame:
     return with_prior.withColumn("mom_growth_pct", pct).orderBy("year", "month")
 
 
-def rebooking_gaps(star: Star, repeat_limit: int | None = None) -> DataFrame:
-    """(customer_id, booking_date, next_booking_date, days): every consecutive pair of trips.
+def rebooking_gaps(star: Star) -> DataFrame:
+    """(customer_id, booking_date, next_booking_date, days_to_next_booking, pairs): all consecutive trips.
 
     Bookings are first counted per customer and day. n bookings on one day are
     n-1 pairs with gap 0; the last of them pairs with the next active day.
-    ``repeat_limit`` bounds the gap-0 pairs per day for callers that keep only
-    that many rows overall.
+    Equal pairs are counted, not repeated, so a hot customer stays small.
     """
     trips = star["FactBookings"].where(_completed()).select(
         "customer_id", dates.key_date("tour_date_id").alias("booking_date")
     )
     days = series.event_days(trips, "customer_id", "booking_date")
-    following = series.next_day(days, "customer_id", "booking_date", "next_booking_date")
-    same_day = F.col("n") - 1
-    if repeat_limit is not None:
-        same_day = F.least(same_day, F.lit(repeat_limit))
-    zero_gaps = F.transform(
-        F.when(same_day > 0, F.sequence(F.lit(1), same_day.cast("int"))).otherwise(F.array().cast("array<int>")),
-        lambda _: F.col("booking_date"),
-    )
-    nexts = F.array_compact(F.concat(zero_gaps, F.array("next_booking_date")))
-    return following.select("customer_id", "booking_date", F.explode(nexts).alias("next_booking_date")).withColumn(
-        "days_to_next_booking", F.datediff("next_booking_date", "booking_date")
+    following = series.next_day(days, "customer_id", "booking_date", "_next")
+    same_day = F.struct(F.col("booking_date").alias("next_booking_date"), (F.col("n") - 1).alias("pairs"))
+    next_day = F.struct(F.col("_next").alias("next_booking_date"), F.lit(1).cast("bigint").alias("pairs"))
+    return (
+        following.select("customer_id", "booking_date", F.inline(F.array(same_day, next_day)))
+        .where("pairs > 0 AND next_booking_date IS NOT NULL")
+        .withColumn("days_to_next_booking", F.datediff("next_booking_date", "booking_date"))
+        .select("customer_id", "booking_date", "next_booking_date", "days_to_next_booking", "pairs")
     )
 
 
 def repeat_customer_intervals(star: Star, limit: int = 50) -> DataFrame:
-    """The shortest rebooking gaps; names are looked up for the kept rows only."""
-    shortest = (
-        rebooking_gaps(star, repeat_limit=limit)
-        .orderBy("days_to_next_booking", "customer_id", "booking_date")
-        .limit(limit)
-    )
-    named = lookup(shortest, "customer_id", star["DimCustomer"], "customer_id", {"contact_name": "contact_name"})
+    """The shortest rebooking gaps, one row per pair; names are looked up for the kept rows only.
+
+    Repeats are written out after the first cut: ``limit`` distinct pairs
+    always contain the ``limit`` shortest ones.
+    """
+    order = ["days_to_next_booking", "customer_id", "booking_date"]
+    shortest = rebooking_gaps(star).orderBy(*order).limit(limit)
+    copies = F.sequence(F.lit(1), F.least("pairs", F.lit(limit)).cast("int"))
+    repeated = shortest.withColumn("_copy", F.explode(copies)).orderBy(*order).limit(limit)
+    named = lookup(repeated, "customer_id", star["DimCustomer"], "customer_id", {"contact_name": "contact_name"})
     return named.select(
         "customer_id", "contact_name", "booking_date", "next_booking_date", "days_to_next_booking"
-    ).orderBy("days_to_next_booking", "customer_id", "booking_date")
+    ).orderBy(*order)
 
 
 def flagged_cancellation_days(star: Star) -> DataFrame:

@@ -197,8 +197,8 @@ def rq5(spark, sf):
 
 @query(
     "rq5_all_rebooking_gaps",
-    f"""SELECT customer_id, booking_date, next_booking_date, date_diff('day', booking_date, next_booking_date) AS days_to_next_booking
-    FROM ({TRIP_PAIRS}) WHERE next_booking_date IS NOT NULL""",
+    f"""SELECT customer_id, booking_date, next_booking_date, date_diff('day', booking_date, next_booking_date) AS days_to_next_booking, count(*) AS pairs
+    FROM ({TRIP_PAIRS}) WHERE next_booking_date IS NOT NULL GROUP BY ALL""",
 )
 def rq5_all(spark, sf):
     return reports.rebooking_gaps(tpch.order_star(spark, sf, region=False))

@@ -721,7 +721,7 @@ def a19(spark, sf):
 )
 def a19_hot(spark, sf):
     lines = table(spark, sf, "lineitem")
-    return median.group_median(lines, ["l_returnflag"], "l_extendedprice", "median_price", width=250.0)
+    return median.group_median(lines, ["l_returnflag"], "l_extendedprice", "median_price")
 
 
 @query(

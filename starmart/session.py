@@ -16,6 +16,8 @@ SETTINGS = {
     # aggregate one more (already pre-aggregated) exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Checkpoints are removed once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -36,13 +36,11 @@ def read_star(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Overwrite a Parquet table.
 
-    With a partition column the rows are first spread over (partition, hash of
-    the row), so a year that holds most of the data is written by many tasks.
-    AQE sizes the exchange.
+    With a partition column the rows are rebalanced on it: AQE sizes the tasks
+    by bytes and splits a year that holds most of the data over many of them.
     """
     if partition_by:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(64))
-        df.repartition(partition_by, spread).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
 

@@ -82,6 +82,13 @@ def test_rebooking_gaps_include_same_day(star):
     assert rows(reports.repeat_customer_intervals(star, 2), "customer_id", "days_to_next_booking") == [(1, 0), (2, 1)]
 
 
+def test_many_bookings_on_one_day(spark, star):
+    hot = spark.createDataFrame([booking(i, 1, FIRST) for i in range(200)], star["FactBookings"].schema)
+    gaps = reports.rebooking_gaps({**star, "FactBookings": hot}).collect()
+    assert [(r.days_to_next_booking, r.pairs) for r in gaps] == [(0, 199)]
+    assert reports.repeat_customer_intervals({**star, "FactBookings": hot}).count() == 50
+
+
 def test_top_routes_share_ties(star):
     got = rows(reports.top_routes_by_region(star, 1), "region", "route", "revenue_rank")
     assert sorted(got) == [("North", "Route 1", 1), ("South", "Route 3", 1), ("South", "Route 4", 1)]
