@@ -70,8 +70,6 @@ BOOKING_COLUMNS = (
 )
 BOOKING_FACTS = ("FactPayments", "FactReviews", "FactEquipmentHire")
 OWN_DATE = {"FactMarketing": "month_date_id", "FactWebsiteAnalytics": "week_date_id", "FactWeather": "date_id"}
-# Columns of a fact that differ from the booking's column of the same name.
-OWN_COLUMNS = {"FactPayments": ("status",)}
 
 
 def _dimension(star: Star, name: str) -> DataFrame:
@@ -81,54 +79,99 @@ def _dimension(star: Star, name: str) -> DataFrame:
     return df
 
 
-def sliced(star: Star, fact: str, by: Sequence[str], filters: Filters, date_role: str = "tour") -> DataFrame:
-    """The rows of a fact inside the filter context, with the ``by`` attributes attached."""
-    wanted = list(dict.fromkeys([*by, *filters]))
+def _keys_needed(fact: str, attributes: Sequence[str], date_role: str) -> list[str]:
+    """Columns of the fact (or its booking) that the attributes are derived from."""
+    date_key = OWN_DATE.get(fact, DATE_ROLES[date_role])
+    keys = []
+    for a in attributes:
+        if a == "lead_time_bucket":
+            keys.append("lead_time_days")
+        elif a in ATTRIBUTES:
+            dim = ATTRIBUTES[a][0]
+            keys.append(date_key if dim == "DimDate" else KEYS[dim])
+        else:
+            keys.append(a)
+    return list(dict.fromkeys(keys))
+
+
+def _with_booking_keys(star: Star, fact: str, keys: Sequence[str]) -> DataFrame:
+    """The fact; one that lacks some of the keys takes them from its booking."""
     df = star[fact]
-    if "lead_time_bucket" in wanted and fact == "FactBookings":
+    missing = [c for c in keys if c in BOOKING_COLUMNS and c not in df.columns]
+    if fact in BOOKING_FACTS and missing:
+        df = df.join(star["FactBookings"].select("booking_id", *missing), "booking_id")
+    return df
+
+
+def _described(star: Star, df: DataFrame, fact: str, attributes: Sequence[str], date_role: str) -> DataFrame:
+    """Attach attributes, joining only the dimensions they come from."""
+    date_key = OWN_DATE.get(fact, DATE_ROLES[date_role])
+    if "lead_time_bucket" in attributes:
         df = df.withColumn("lead_time_bucket", dates.lead_time_bucket("lead_time_days"))
     dims: dict[str, list[str]] = {}
-    for a in wanted:
+    for a in attributes:
         if a in ATTRIBUTES:
             dims.setdefault(ATTRIBUTES[a][0], []).append(a)
-    date_key = OWN_DATE.get(fact, DATE_ROLES[date_role])
-    needed = {date_key if d == "DimDate" else KEYS[d] for d in dims}
-    needed |= {a for a in wanted if a not in ATTRIBUTES and a != "lead_time_bucket"}
-    if fact in BOOKING_FACTS:
-        # Other facts of a booking are reached through it, but only for keys they lack.
-        missing = [c for c in BOOKING_COLUMNS if c in needed and c not in df.columns]
-        if "lead_time_bucket" in wanted:
-            missing.append("lead_time_days")
-        if missing:
-            df = df.join(star["FactBookings"].select("booking_id", *missing), "booking_id")
-        if "lead_time_bucket" in wanted:
-            df = df.withColumn("lead_time_bucket", dates.lead_time_bucket("lead_time_days"))
-    for dim, attributes in dims.items():
+    for dim, names in dims.items():
         key = date_key if dim == "DimDate" else KEYS[dim]
-        side = _dimension(star, dim)
-        columns = [F.col(ATTRIBUTES[a][1]).alias(f"_{a}") for a in attributes]
-        side = side.select(F.col(KEYS[dim]).alias("_key"), *columns)
+        columns = [F.col(ATTRIBUTES[a][1]).alias(f"_{a}") for a in names]
+        side = _dimension(star, dim).select(F.col(KEYS[dim]).alias("_key"), *columns)
         if dim == "DimDate":
             side = F.broadcast(side)  # one row per calendar day
         df = df.join(side, F.col(key) == F.col("_key"), "left").drop("_key")
         # An attribute replaces a fact column of the same name.
-        df = df.drop(*attributes).withColumnsRenamed({f"_{a}": a for a in attributes})
+        df = df.drop(*names).withColumnsRenamed({f"_{a}": a for a in names})
+    return df
+
+
+def _kept(df: DataFrame, filters: Filters) -> DataFrame:
     for a, values in filters.items():
         allowed = values if isinstance(values, (list, tuple, set)) else [values]
         df = df.where(F.col(a).isin(*allowed))
     return df
 
 
+def sliced(star: Star, fact: str, by: Sequence[str], filters: Filters, date_role: str = "tour") -> DataFrame:
+    """The rows of a fact inside the filter context, with the ``by`` attributes attached."""
+    wanted = list(dict.fromkeys([*by, *filters]))
+    df = _with_booking_keys(star, fact, _keys_needed(fact, wanted, date_role))
+    return _kept(_described(star, df, fact, wanted, date_role), filters)
+
+
+def _aggregated(
+    star: Star, fact: str, names: Sequence[str], by: Sequence[str], filters: Filters, date_role: str
+) -> DataFrame:
+    """Base figures of one fact on the ``by`` grain.
+
+    Figures that add up are first aggregated on the fact's own keys: the
+    dimension joins then see one row per key combination, and a key with a
+    third of the fact leaves each task as one row.
+    """
+    if any(BASES[n].again is None for n in names):
+        rows = sliced(star, fact, by, filters, date_role)
+        return rows.groupBy(*by).agg(*[BASES[n].value().alias(n) for n in names])
+    wanted = list(dict.fromkeys([*by, *filters]))
+    keys = _keys_needed(fact, wanted, date_role)
+    fine = _with_booking_keys(star, fact, keys).groupBy(*keys).agg(*[BASES[n].value().alias(f"_{n}") for n in names])
+    if not wanted:
+        return fine.select(*[F.col(f"_{n}").alias(n) for n in names])
+    rows = _kept(_described(star, fine, fact, wanted, date_role), filters)
+    return rows.groupBy(*by).agg(*[BASES[n].again(f"_{n}").alias(n) for n in names])
+
+
 # ------------------------------------------------------------------ base figures
 
 
 @dataclass(frozen=True)
 class Base:
-    """A figure aggregated from the rows of one fact."""
+    """A figure aggregated from the rows of one fact.
+
+    ``again`` combines values of a finer grain; None when only the rows will do.
+    """
 
     fact: str
     value: Callable[[], Column]
-    role: str | None = None  # fixed date role, else the caller's
+    again: Callable[[str], Column] | None = F.sum
 
 
 def _status(*names: str) -> Column:
@@ -159,10 +202,10 @@ BASES: dict[str, Base] = {
         B, _if(lambda: F.col("discount_applied"), lambda: F.col("discount_pct").cast("decimal(9,4)"))
     ),
     "confirmed_seats": Base(B, _if(lambda: _status("confirmed"), _col("party_size"))),
-    "guide_days": Base(B, lambda: F.countDistinct(F.when(~_status("cancelled"), F.col("tour_date_id")))),
-    "customers": Base(B, lambda: F.countDistinct("customer_id")),
-    "first_day": Base(B, lambda: F.min("tour_date_id")),
-    "last_day": Base(B, lambda: F.max("tour_date_id")),
+    "guide_days": Base(B, lambda: F.countDistinct(F.when(~_status("cancelled"), F.col("tour_date_id"))), None),
+    "customers": Base(B, lambda: F.countDistinct("customer_id"), None),
+    "first_day": Base(B, lambda: F.min("tour_date_id"), F.min),
+    "last_day": Base(B, lambda: F.max("tour_date_id"), F.max),
     "reviews": Base(R, count_rows),
     "overall_sum": Base(R, lambda: F.sum("overall_rating")),
     "overall_n": Base(R, lambda: F.count("overall_rating")),
@@ -176,8 +219,8 @@ BASES: dict[str, Base] = {
     "campaign_revenue": Base(MK, lambda: F.sum("revenue")),
     "sessions": Base(WB, lambda: F.sum("sessions")),
     "users": Base(WB, lambda: F.sum("users")),
-    "bounce_avg": Base(WB, lambda: F.avg("bounce_rate")),
-    "conversion_avg": Base(WB, lambda: F.avg("conversion_rate")),
+    "bounce_avg": Base(WB, lambda: F.avg("bounce_rate"), None),
+    "conversion_avg": Base(WB, lambda: F.avg("conversion_rate"), None),
     "storm_days": Base(WE, lambda: F.count_if("storm_warning")),
     "paid": Base(P, lambda: F.count_if(_status("paid"))),
     "failed": Base(P, lambda: F.count_if(_status("failed"))),
@@ -227,16 +270,15 @@ def _repeat_customers(star: Star, by: Sequence[str], filters: Filters, role: str
 
 def _new_customers(star: Star, by: Sequence[str], filters: Filters, role: str) -> DataFrame:
     """Customers counted in the group of their first booking."""
-    rows = sliced(star, B, by, {}, role)
-    group = F.struct(*[F.col(c) for c in by], F.col("booking_id").alias("_id"))
-    first = rows.groupBy("customer_id").agg(
-        F.min_by(group, F.struct("tour_date_id", "booking_id")).alias("_first")
+    wanted = list(dict.fromkeys([*by, *filters]))
+    keys = [c for c in _keys_needed(B, wanted, role) if c != "customer_id"]
+    # The first booking of each customer, with the keys its attributes come from.
+    first = star[B].groupBy("customer_id").agg(
+        F.min_by(F.struct(*keys, "booking_id"), F.struct("tour_date_id", "booking_id")).alias("_first")
     )
-    out = first.select(*[F.col(f"_first.{c}").alias(c) for c in by])
-    for a, values in filters.items():
-        allowed = values if isinstance(values, (list, tuple, set)) else [values]
-        out = out.where(F.col(a).isin(*allowed))
-    return out.groupBy(*by).agg(count_rows().alias("new_customers"))
+    firsts = first.select("customer_id", *[F.col(f"_first.{c}").alias(c) for c in keys])
+    rows = _kept(_described(star, firsts, B, wanted, role), filters)
+    return rows.groupBy(*by).agg(count_rows().alias("new_customers"))
 
 
 def _flagged(star: Star, by: Sequence[str], filters: Filters, role: str) -> DataFrame:
@@ -363,10 +405,7 @@ def figures(star: Star, names: Sequence[str], by: Sequence[str], filters: Filter
     for n in names:
         if n in BASES:
             by_fact.setdefault(BASES[n].fact, []).append(n)
-    parts = [
-        sliced(star, fact, by, filters, date_role).groupBy(*by).agg(*[BASES[n].value().alias(n) for n in wanted])
-        for fact, wanted in by_fact.items()
-    ]
+    parts = [_aggregated(star, fact, wanted, by, filters, date_role) for fact, wanted in by_fact.items()]
     parts += [FRAMES[n](star, by, filters, date_role) for n in names if n in FRAMES]
     if len(parts) == 1:
         return parts[0]
@@ -408,9 +447,7 @@ def revenue_vs_last_year(
     context = dict(filters or {})
     base = measure(star, "revenue", ["year", *period, *by], lifted(context, "year"))
     with_past = series.same_period_last_year(base, "year", "revenue", "revenue_last_year", period, by)
-    if "year" in context:
-        years = context["year"]
-        with_past = with_past.where(F.col("year").isin(*(years if isinstance(years, (list, tuple, set)) else [years])))
+    with_past = _kept(with_past, {k: v for k, v in context.items() if k == "year"})
     growth = ratio(F.col("revenue") - F.col("revenue_last_year"), F.col("revenue_last_year"))
     return with_past.withColumn("revenue_growth", growth)
 
@@ -425,12 +462,7 @@ def bank_holiday_uplift(star: Star, filters: Filters | None = None) -> DataFrame
     """Revenue per bank holiday over revenue per other day, minus 1; days come from the calendar."""
     context = dict(filters or {})
     sold = measure(star, "revenue", ["is_bank_holiday"], context)
-    calendar = star["DimDate"]
-    for a, values in context.items():
-        if a in _DATE:
-            calendar = calendar.where(
-                F.col(a).isin(*(values if isinstance(values, (list, tuple, set)) else [values]))
-            )
+    calendar = _kept(star["DimDate"], {a: v for a, v in context.items() if a in _DATE})
     days = calendar.groupBy("is_bank_holiday").agg(F.countDistinct("date_id").alias("days"))
     stacked = sold.unionByName(days, allowMissingColumns=True)
 
