@@ -41,10 +41,19 @@ def same_period_last_year(
     return df.join(past, on, "left").drop("_year", *[f"_{c}" for c in keys])
 
 
+def over_all(value: Column) -> Column:
+    """An aggregate over all rows of a report, next to each row.
+
+    The window has no partition: for frames with one row per entry of a code
+    list (regions, channels, statuses), where it saves a second pass over the
+    fact that a scalar subquery would need.
+    """
+    return value.over(Window.partitionBy())
+
+
 def share_of_total(df: DataFrame, value: str, name: str, places: int | None = None) -> DataFrame:
-    """Each row's share of the grand total; the total is a scalar subquery, not a one-task window."""
-    total = df.agg(F.sum(value)).scalar()
-    share = ratio(F.col(value), total)
+    """Each row's share of the grand total of a code-list frame."""
+    share = ratio(F.col(value), over_all(F.sum(value)))
     return df.withColumn(name, F.round(share, places) if places is not None else share)
 
 

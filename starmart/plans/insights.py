@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions import dates
@@ -47,7 +47,7 @@ def revenue_by_day_type(star: Star) -> DataFrame:
         .agg(count_rows().alias("days"), F.sum("revenue").alias("total"))
     )
     mean = by_type.withColumn("avg_revenue", ratio(F.col("total"), F.col("days")))
-    weekday = mean.where("day_type = 'weekday'").agg(F.max("avg_revenue")).scalar()
+    weekday = series.over_all(F.max(F.when(F.col("day_type") == "weekday", F.col("avg_revenue"))))
     return mean.select(
         "day_type",
         "days",
@@ -62,10 +62,14 @@ def region_concentration(star: Star, top: int = 2) -> DataFrame:
     named = lookup(per_region, "region_id", star["DimRegion"], "region_id", {"name": "region"}).select(
         "region", "revenue", "bookings"
     )
-    leaders = named.orderBy(F.desc("revenue"), "region").limit(top).agg(F.sum("revenue")).scalar()
-    total = named.agg(F.sum("revenue")).scalar()
-    return named.withColumn("revenue_share", F.round(ratio(F.col("revenue"), total), 4)).withColumn(
-        "top_regions_share", F.round(ratio(leaders, total), 4)
+    place = F.row_number().over(Window.orderBy(F.desc("revenue"), "region"))  # one row per region
+    leaders = series.over_all(F.sum(F.when(F.col("_place") <= top, F.col("revenue"))))
+    total = series.over_all(F.sum("revenue"))
+    return (
+        named.withColumn("_place", place)
+        .withColumn("revenue_share", F.round(ratio(F.col("revenue"), total), 4))
+        .withColumn("top_regions_share", F.round(ratio(leaders, total), 4))
+        .drop("_place")
     )
 
 
@@ -151,12 +155,12 @@ def payment_health(star: Star) -> DataFrame:
     """Count and amount per payment status, with success and refund rates over all."""
     by_status = star["FactPayments"].groupBy("status").agg(count_rows().alias("payments"), F.sum("amount").alias("amount"))
 
-    def number(status: str):
-        return F.sum(F.when(F.col("status") == status, F.col("payments")))
+    def number(status: str) -> Column:
+        return F.coalesce(series.over_all(F.sum(F.when(F.col("status") == status, F.col("payments")))), F.lit(0))
 
-    success = by_status.agg(rate(number("paid"), number("paid") + F.coalesce(number("failed"), F.lit(0)))).scalar()
-    refunded = by_status.agg(rate(number("refunded"), number("paid"))).scalar()
-    return by_status.withColumn("success_rate", success).withColumn("refund_rate", refunded)
+    return by_status.withColumn("success_rate", rate(number("paid"), number("paid") + number("failed"))).withColumn(
+        "refund_rate", rate(number("refunded"), number("paid"))
+    )
 
 
 def discount_cost(star: Star) -> DataFrame:

@@ -240,9 +240,9 @@ REVIEWS = """SELECT conv_id AS booking_id, CASE WHEN role <> 'system' THEN CAST(
 
 def weather(spark, sf) -> DataFrame:
     """One observation per line item; several share a day and region under different spellings."""
-    nations = lookup(table(spark, sf, "nation"), "n_regionkey", table(spark, sf, "region"), "r_regionkey", {"r_name": "r"})
-    placed = lookup(table(spark, sf, "supplier"), "s_nationkey", nations, "n_nationkey", {"r": "r"})
-    lines = lookup(table(spark, sf, "lineitem"), "l_suppkey", placed, "s_suppkey", {"r": "r", "s_nationkey": "nation"})
+    lines = lookup(table(spark, sf, "lineitem"), "l_suppkey", table(spark, sf, "supplier"), "s_suppkey", {"s_nationkey": "nation"})
+    lines = lookup(lines, "nation", table(spark, sf, "nation"), "n_nationkey", {"n_regionkey": "region_key"})
+    lines = lookup(lines, "region_key", table(spark, sf, "region"), "r_regionkey", {"r_name": "r"})
     name = F.when(F.col("nation") == 24, "Atlantis").otherwise(F.initcap("r"))
     q = F.col("l_quantity")
     return lines.select(

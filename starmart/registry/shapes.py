@@ -370,17 +370,15 @@ def j11(spark, sf):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_date("l_shipdate").alias("tour_date"),
         F.col("l_linestatus").alias("status_line"),
     )
-    regions = lookup.lookup(
-        table(spark, sf, "nation"), "n_regionkey", table(spark, sf, "region"), "r_regionkey", {"r_name": "region"}
-    )
-    guides = lookup.lookup(table(spark, sf, "supplier"), "s_nationkey", regions, "n_nationkey", {"region": "region"})
+    # One lookup at a time: Spark knows the size of each table, not that of a join of tables.
     df = lookup.lookup(lines, "l_partkey", table(spark, sf, "part"), "p_partkey", {"p_type": "p_type"})
-    df = lookup.lookup(df, "l_suppkey", guides, "s_suppkey", {"region": "region"})
-    orders = lookup.lookup(
-        table(spark, sf, "orders"), "o_custkey", table(spark, sf, "customer"), "c_custkey", {"c_mktsegment": "c_mktsegment"}
-    )
-    take = {"o_orderstatus": "status", "c_mktsegment": "c_mktsegment"}
-    return lookup.lookup(df, "l_orderkey", orders, "o_orderkey", take)
+    df = lookup.lookup(df, "l_suppkey", table(spark, sf, "supplier"), "s_suppkey", {"s_nationkey": "_nation"})
+    df = lookup.lookup(df, "_nation", table(spark, sf, "nation"), "n_nationkey", {"n_regionkey": "_region"})
+    df = lookup.lookup(df, "_region", table(spark, sf, "region"), "r_regionkey", {"r_name": "region"})
+    take = {"o_orderstatus": "status", "o_custkey": "_customer"}
+    df = lookup.lookup(df, "l_orderkey", table(spark, sf, "orders"), "o_orderkey", take)
+    df = lookup.lookup(df, "_customer", table(spark, sf, "customer"), "c_custkey", {"c_mktsegment": "c_mktsegment"})
+    return df.drop("_nation", "_region", "_customer")
 
 
 @query(

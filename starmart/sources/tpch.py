@@ -86,10 +86,16 @@ def _season(day: Column) -> Column:
     return F.when(F.month(day).isin(11, 12, 1, 2, 3), "winter").otherwise("summer")
 
 
-def region_of_nation(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "nation").select(
-        F.col("n_nationkey").alias("nation_id"), F.col("n_regionkey").cast("bigint").alias("region_id")
-    )
+def region_of(spark: SparkSession, folder: str, nation: str) -> Column:
+    """Region key of a nation key.
+
+    The nation table is a code list of 25 rows, so it travels as one map
+    constant. A join would hide the size of the dimension it is applied to
+    (Spark multiplies the sizes of joined tables) and so cost its broadcast.
+    """
+    pair = F.struct("n_nationkey", F.col("n_regionkey").cast("bigint"))
+    codes = table(spark, folder, "nation").agg(F.map_from_entries(F.collect_list(pair)))
+    return F.try_element_at(codes.scalar(), F.col(nation))
 
 
 def dim_region(spark: SparkSession, folder: str) -> DataFrame:
@@ -116,17 +122,13 @@ def dim_customer(spark: SparkSession, folder: str) -> DataFrame:
 
 def dim_guide(spark: SparkSession, folder: str) -> DataFrame:
     years = F.floor(F.abs(money("s_acctbal")) / 400).cast("int")
-    suppliers = table(spark, folder, "supplier")
-    placed = lookup(
-        suppliers, "s_nationkey", region_of_nation(spark, folder), "nation_id", {"region_id": "primary_region_id"}
-    )
-    return placed.select(
+    return table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("guide_id"),
         F.col("s_name").alias("full_name"),
         years.alias("years_experience"),
         F.when(F.col("s_nationkey") < 12, "employed").otherwise("freelance").alias("employment_type"),
         F.abs(money("s_acctbal")).alias("day_rate_gbp"),
-        "primary_region_id",
+        region_of(spark, folder, "s_nationkey").alias("primary_region_id"),
         (money("s_acctbal") >= 0).alias("active"),
         (years / 100).cast("double").alias("discount_tendency_pct"),
     )
@@ -166,7 +168,7 @@ def order_bookings(spark: SparkSession, folder: str, region: bool = True) -> Dat
         return df
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     df = lookup(df, "customer_id", customers, "c_custkey", {"c_nationkey": "_nation"})
-    return lookup(df, "_nation", region_of_nation(spark, folder), "nation_id", {"region_id": "region_id"}).drop("_nation")
+    return df.withColumn("region_id", region_of(spark, folder, "_nation")).drop("_nation")
 
 
 def line_bookings(spark: SparkSession, folder: str, region: bool = True, order: bool = False) -> DataFrame:
@@ -189,11 +191,9 @@ def line_bookings(spark: SparkSession, folder: str, region: bool = True, order:
         (money("l_extendedprice") * (F.lit(1).cast("decimal(4,2)") - discount)).cast(MONEY).alias("total_price"),
     )
     if region:
-        guides = lookup(
-            table(spark, folder, "supplier").select("s_suppkey", "s_nationkey"),
-            "s_nationkey", region_of_nation(spark, folder), "nation_id", {"region_id": "region_id"},
-        )
-        df = lookup(df, "guide_id", guides, "s_suppkey", {"region_id": "region_id"})
+        guides = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+        df = lookup(df, "guide_id", guides, "s_suppkey", {"s_nationkey": "_nation"})
+        df = df.withColumn("region_id", region_of(spark, folder, "_nation")).drop("_nation")
     if order:
         orders = table(spark, folder, "orders").select(
             F.col("o_orderkey").alias("booking_id"),
