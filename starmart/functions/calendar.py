@@ -73,15 +73,16 @@ def bank_holidays(years: DataFrame, year: str = "year") -> DataFrame:
     )
 
 
-def date_span(*columns: tuple[DataFrame, str]) -> DataFrame:
-    """One row (lo, hi) over date columns of several tables.
+def date_span(*sources: tuple[DataFrame, str] | tuple[DataFrame, str, str]) -> DataFrame:
+    """One row (lo, hi) over date columns of several tables: (table, column, ...).
 
-    Each table is reduced to its own minimum and maximum before the union, so
-    only one row per column is ever moved.
+    Each table is scanned once and reduced to one row before the union. Tables
+    without a date drop out, and NULL dates are skipped.
     """
-    ends = [
-        df.agg(F.min(F.to_date(c)).alias("lo"), F.max(F.to_date(c)).alias("hi")) for df, c in columns
-    ]
+    ends = []
+    for df, *columns in sources:
+        pairs = [F.struct(F.min(F.to_date(c)).alias("lo"), F.max(F.to_date(c)).alias("hi")) for c in columns]
+        ends.append(df.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs")))
     return reduce(DataFrame.unionByName, ends).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 

@@ -43,6 +43,8 @@ def numbered(df: DataFrame, name: str, order: Sequence[Column], by: Sequence[str
     # One row per partition and group: a group's window is as long as the partitions it spans.
     earlier = Window.partitionBy(*[f"_k_{c}" for c in by]).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    if not by:
+        runs = F.broadcast(runs)  # one row per shuffle partition
     match = [F.col("_part") == F.col("_p"), *[F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]]
     number = F.col("_at") - F.col("_first") + F.col("_before") + 1
     return placed.join(runs, match).select(*df.columns, number.alias(name))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from starmart.functions import dates
 from starmart.functions.numbers import MONEY, count_rows, ratio
 from starmart.operators import series
-from starmart.plans.reports import Star, bad_weather
+from starmart.plans.reports import Star, bad_weather, in_years
 from starmart.schemas import MAX_PARTY
 
 Filters = Mapping[str, object]
@@ -124,17 +124,28 @@ def _described(star: Star, df: DataFrame, fact: str, attributes: Sequence[str],
     return df
 
 
+def _listed(values: object) -> list:
+    return list(values) if isinstance(values, (list, tuple, set)) else [values]
+
+
 def _kept(df: DataFrame, filters: Filters) -> DataFrame:
     for a, values in filters.items():
-        allowed = values if isinstance(values, (list, tuple, set)) else [values]
-        df = df.where(F.col(a).isin(*allowed))
+        df = df.where(F.col(a).isin(*_listed(values)))
+    return df
+
+
+def _scanned(star: Star, fact: str, keys: Sequence[str], filters: Filters, date_role: str) -> DataFrame:
+    """The fact with all keys; a year filter already reaches the scan as a date-key range."""
+    df = _with_booking_keys(star, fact, keys)
+    if "year" in filters:
+        df = in_years(df, OWN_DATE.get(fact, DATE_ROLES[date_role]), _listed(filters["year"]))
     return df
 
 
 def sliced(star: Star, fact: str, by: Sequence[str], filters: Filters, date_role: str = "tour") -> DataFrame:
     """The rows of a fact inside the filter context, with the ``by`` attributes attached."""
     wanted = list(dict.fromkeys([*by, *filters]))
-    df = _with_booking_keys(star, fact, _keys_needed(fact, wanted, date_role))
+    df = _scanned(star, fact, _keys_needed(fact, wanted, date_role), filters, date_role)
     return _kept(_described(star, df, fact, wanted, date_role), filters)
 
 
@@ -152,11 +163,12 @@ def _aggregated(
         return rows.groupBy(*by).agg(*[BASES[n].value().alias(n) for n in names])
     wanted = list(dict.fromkeys([*by, *filters]))
     keys = _keys_needed(fact, wanted, date_role)
-    fine = _with_booking_keys(star, fact, keys).groupBy(*keys).agg(*[BASES[n].value().alias(f"_{n}") for n in names])
+    rows = _scanned(star, fact, keys, filters, date_role)
+    fine = rows.groupBy(*keys).agg(*[BASES[n].value().alias(f"_{n}") for n in names])
     if not wanted:
         return fine.select(*[F.col(f"_{n}").alias(n) for n in names])
-    rows = _kept(_described(star, fine, fact, wanted, date_role), filters)
-    return rows.groupBy(*by).agg(*[BASES[n].again(f"_{n}").alias(n) for n in names])
+    groups = _kept(_described(star, fine, fact, wanted, date_role), filters)
+    return groups.groupBy(*by).agg(*[BASES[n].again(f"_{n}").alias(n) for n in names])
 
 
 # ------------------------------------------------------------------ base figures

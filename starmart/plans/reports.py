@@ -9,7 +9,8 @@ only for attributes a date does not carry.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from starmart.functions import dates
 from starmart.functions.numbers import MONEY, avg_exact, count_rows, rate, sum_if
 from starmart.operators import ranking, series
 from starmart.operators.lookup import lookup
+from starmart.schemas import DATE_YEAR, PARTITION_DATE
 
 Star = Mapping[str, DataFrame]
 
@@ -54,6 +56,19 @@ def _avg_rating(column: str, name: str) -> Column:
     return rate(F.col(f"{column}_sum"), F.col(f"{column}_n"), 2).alias(name)
 
 
+def in_years(df: DataFrame, key: str, years: Sequence[int]) -> DataFrame:
+    """Rows whose date key lies in the years, as key ranges.
+
+    A fact stored by year of that key is also filtered on the folder column, so
+    other years are not even listed.
+    """
+    ranges = [F.col(key).between(y * 10000 + 101, y * 10000 + 1231) for y in years]
+    df = df.where(reduce(Column.__or__, ranges))
+    if DATE_YEAR in df.columns and key in PARTITION_DATE.values():
+        df = df.where(F.col(DATE_YEAR).isin(*years))
+    return df
+
+
 # ------------------------------------------------------------------ views
 
 
@@ -515,11 +530,9 @@ def confirmed_revenue_by_region(star: Star) -> DataFrame:
 def guide_performance_report(star: Star, guide_id: int, year: int) -> DataFrame:
     """One guide, one year; the guide's row stays when there are no bookings.
 
-    The year is a date-key range, so storage laid out by year is pruned. The
-    rating covers bookings of any status, the other figures confirmed ones.
+    The rating covers bookings of any status, the other figures confirmed ones.
     """
-    in_year = F.col("tour_date_id").between(year * 10000 + 101, year * 10000 + 1231)
-    booked = star["FactBookings"].where((F.col("guide_id") == guide_id) & in_year)
+    booked = in_years(star["FactBookings"], "tour_date_id", [year]).where(F.col("guide_id") == guide_id)
     ratings = star["FactReviews"].select("booking_id", "guide_rating")
     figures = (
         booked.join(ratings, "booking_id", "left")

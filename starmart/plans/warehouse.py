@@ -9,7 +9,7 @@ from starmart.functions import calendar, dates, text
 from starmart.operators.lookup import lookup, spread_blank
 from starmart.operators.ranking import latest_known, numbered
 from starmart.plans import reports
-from starmart.schemas import CHANNELS, PAID_CHANNELS, PARTITION_DATE, STAR
+from starmart.schemas import CHANNELS, DATE_YEAR, PAID_CHANNELS, PARTITION_DATE, STAR
 from starmart.sources.files import conform, read_clean, read_star, write_csv, write_table
 
 DIMENSIONS = ("DimDate", "DimRegion", "DimGuide", "DimRoute", "DimCustomer", "DimMarketingChannel")
@@ -44,8 +44,7 @@ def warehouse_span(clean: dict[str, DataFrame]) -> DataFrame:
         (clean["Weather"], "date"),
         (clean["Marketing"], "month"),
         (clean["WebsiteAnalytics"], "week_starting"),
-        (clean["Payment"], "paid_at"),
-        (clean["Payment"], "refunded_at"),
+        (clean["Payment"], "paid_at", "refunded_at"),
     )
 
 
@@ -173,7 +172,7 @@ def load(df: DataFrame, folder: str, name: str) -> None:
     """Write one star table; dated facts are laid out by year."""
     path = f"{folder}/{name}"
     if name in PARTITION_DATE:
-        write_table(df.withColumn("year", dates.key_year(PARTITION_DATE[name])), path, "year")
+        write_table(df.withColumn(DATE_YEAR, dates.key_year(PARTITION_DATE[name])), path, DATE_YEAR)
     else:
         write_table(df, path)
 
@@ -234,7 +233,7 @@ def export_csv(star: dict[str, DataFrame], folder: str) -> list[str]:
     """13 star tables and 4 summaries as headered CSV folders; returns their names."""
     views = reports.views(star)
     for name in LOAD_ORDER:
-        write_csv(star[name], f"{folder}/{name}")
+        write_csv(star[name].select(*STAR[name].fields), f"{folder}/{name}")
     for view, name in SUMMARY_EXPORTS.items():
         write_csv(views[view], f"{folder}/{name}")
     return [*LOAD_ORDER, *SUMMARY_EXPORTS.values()]

@@ -14,7 +14,7 @@ from starmart.registry import messy, query
 from starmart.registry.cleansing import CLEANERS, SQL
 from starmart.registry.rules import variant
 from starmart.registry.sql import over, season, ymd
-from starmart.schemas import CHANNELS, CLEAN, EQUIPMENT, STAR
+from starmart.schemas import CHANNELS, CLEAN, DATE_YEAR, EQUIPMENT, STAR
 from starmart.session import shared_path
 from starmart.sources import files, tpch
 from starmart.sources.tpch import table
@@ -482,7 +482,7 @@ def s05(spark, sf):
     )
     warehouse.load(facts, folder, "FactBookings")
     stored = spark.read.parquet(f"{folder}/FactBookings")
-    return stored.groupBy(F.col("year").cast("bigint").alias("year")).agg(count_rows().alias("n"), F.sum("total_price").alias("booked"))
+    return stored.groupBy(F.col(DATE_YEAR).cast("bigint").alias("year")).agg(count_rows().alias("n"), F.sum("total_price").alias("booked"))
 
 
 @query("s06_full_table_scan", "SELECT * FROM events")

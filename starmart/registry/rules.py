@@ -328,9 +328,13 @@ def f24(spark, sf):
     return days.withColumn("back", months_back(F.col("d"), 13))
 
 
-@query("f25_run_stamp")
+@query(
+    "f25_run_stamp",
+    """SELECT 'Orders' AS "table", 'row_count' AS metric, CAST(count(*) AS DOUBLE) AS value, true AS stamped FROM orders""",
+)
 def f25(spark, sf):
-    return quality.row_count_entry(table(spark, sf, "orders"), "Orders", "raw")
+    entry = quality.row_count_entry(table(spark, sf, "orders"), "Orders", "raw")
+    return entry.select("table", "metric", "value", (F.col("run_started_at") <= F.current_timestamp()).alias("stamped"))
 
 
 @query(

@@ -496,7 +496,8 @@ STAR = {
     ),
 }
 
-# Facts are laid out by the year of this date key, so year filters prune folders.
+# Facts are laid out in folders by the year of this date key; stored facts carry it as an extra column.
+DATE_YEAR = "date_year"
 PARTITION_DATE = {
     "FactBookings": "tour_date_id",
     "FactMarketing": "month_date_id",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.plans.cleaning import ORDINAL
-from starmart.schemas import CLEAN, RAW, STAR, Contract
+from starmart.schemas import CLEAN, DATE_YEAR, PARTITION_DATE, RAW, STAR, Contract
 
 
 def read_raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,7 +30,9 @@ def read_clean_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def read_star(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}").select(*STAR[name].fields)
+    """A stored star table; dated facts keep the year column their folders are named by."""
+    layout = [DATE_YEAR] if name in PARTITION_DATE else []
+    return spark.read.parquet(f"{folder}/{name}").select(*STAR[name].fields, *layout)
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:

@@ -1,6 +1,7 @@
 """Raw CSV files to warehouse and exports, on hand-written rows with known defects."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from starmart.plans import pipeline, quality, validation, warehouse
 from starmart.schemas import CLEAN, RAW, STAR
@@ -181,3 +182,17 @@ def test_clean_csv_round_trip(spark, built):
     files.write_csv(built["clean"]["Booking"], path)
     back = files.read_clean_csv(spark, path, "Booking")
     assert back.exceptAll(built["clean"]["Booking"]).isEmpty() and back.count() == 4
+
+
+def test_year_filter_prunes_folders(spark, built, tmp_path):
+    from starmart.plans import measures, reports
+
+    facts = built["star"]["FactBookings"].drop("date_year")
+    facts = facts.unionByName(facts.withColumn("tour_date_id", F.col("tour_date_id") - 10000))
+    warehouse.load(facts, str(tmp_path), "FactBookings")
+    star = {**built["star"], "FactBookings": files.read_star(spark, str(tmp_path), "FactBookings")}
+    report = reports.guide_performance_report(star, guide_id=1, year=2023)
+    assert report.first().bookings == 1
+    plan = reports.in_years(star["FactBookings"], "tour_date_id", [2023])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_year" in plan and "tour_date_id,20230101" in plan
+    assert measures.measure(star, "total_bookings", ["region"], {"year": 2023}).agg({"total_bookings": "sum"}).first()[0] == 3
