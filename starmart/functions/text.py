@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space plus the four ASCII separators that also count as blank.
-_SPACE = r"[\s\x1c-\x1f]"
+# Every character that counts as blank, i.e. Unicode white space and four ASCII separators.
+BLANKS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 _CASED = r"[\p{Lu}\p{Ll}\p{Lt}]"
 
 # The accepted shape of an e-mail address and its one repairable defect.
@@ -42,7 +45,7 @@ def col(c: Column | str) -> Column:
 
 def stripped(c: Column | str) -> Column:
     """Remove leading and trailing white space of any kind, not only spaces."""
-    return F.regexp_replace(col(c), rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(col(c), F.lit(BLANKS))
 
 
 def lowered(c: Column | str) -> Column:
@@ -57,13 +60,24 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+# A word break for initcap, and a mark to find it again.
+_BREAK = "\x01 "
+
+
 def capitalised(c: Column | str) -> Column:
     """Capital after every non-letter: ``jack's rake`` becomes ``Jack'S Rake``.
 
-    ``initcap`` only starts a new word at white space, so it serves plain words;
-    in all other text runs of letters are capitalised one by one.
+    ``initcap`` starts a word at a space only. In ASCII text a break is put
+    before each letter that follows another mark, and taken out again. Other
+    text is capitalised run by run, because a capital may be two letters there.
     """
     value = col(c)
+    broken = F.regexp_replace(value, "(?<=[^A-Za-z ])(?=[A-Za-z])", _BREAK)
+    simple = (F.octet_length(value) == F.length(value)) & ~F.contains(value, F.lit(_BREAK[0]))
+    return F.when(simple, F.replace(F.initcap(broken), F.lit(_BREAK), F.lit(""))).otherwise(_by_runs(value))
+
+
+def _by_runs(value: Column) -> Column:
     runs = F.regexp_extract_all(value, F.lit(rf"({_CASED}+|[^\p{{Lu}}\p{{Ll}}\p{{Lt}}]+)"), F.lit(1))
 
     def fixed(run: Column) -> Column:
@@ -72,8 +86,7 @@ def capitalised(c: Column | str) -> Column:
         rest = run.substr(F.lit(2), F.length(run))
         return F.concat(F.substring(first, 1, 1), F.lower(first.substr(F.lit(2), F.lit(2))), F.lower(rest))
 
-    by_runs = F.array_join(F.transform(runs, fixed), "")
-    return F.when(value.rlike("^[A-Za-z ]*$"), F.initcap(value)).otherwise(by_runs)
+    return F.array_join(F.transform(runs, fixed), "")
 
 
 def titled(c: Column | str) -> Column:

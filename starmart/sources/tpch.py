@@ -86,6 +86,9 @@ def _season(day: Column) -> Column:
     return F.when(F.month(day).isin(11, 12, 1, 2, 3), "winter").otherwise("summer")
 
 
+MAX_CODES = 1000
+
+
 def region_of(spark: SparkSession, folder: str, nation: str) -> Column:
     """Region key of a nation key.
 
@@ -94,7 +97,8 @@ def region_of(spark: SparkSession, folder: str, nation: str) -> Column:
     (Spark multiplies the sizes of joined tables) and so cost its broadcast.
     """
     pair = F.struct("n_nationkey", F.col("n_regionkey").cast("bigint"))
-    codes = table(spark, folder, "nation").agg(F.map_from_entries(F.collect_list(pair)))
+    short = F.when(F.count(F.lit(1)) <= MAX_CODES, F.map_from_entries(F.collect_list(pair)))
+    codes = table(spark, folder, "nation").agg(short.otherwise(F.raise_error("nation is not a code list")))
     return F.try_element_at(codes.scalar(), F.col(nation))
 
 

@@ -63,3 +63,9 @@ def test_flags(days):
     ]
     assert days[d(2021, 12, 27)].is_bank_holiday and not days[d(2021, 12, 25)].is_bank_holiday
     assert days[d(2019, 12, 1)].calendar_season == "Winter"
+
+
+def test_a_corrupt_span_fails(spark):
+    span = spark.sql("SELECT date'1970-01-01' AS lo, date'9999-12-31' AS hi")
+    with pytest.raises(Exception, match="date span is too long"):
+        calendar.date_dimension(span).collect()

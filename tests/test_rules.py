@@ -1,6 +1,7 @@
 """Known answers of the column rules."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -26,6 +27,19 @@ def test_titled_equals_str_title_on_mixed_text(spark):
     assert apply(spark, raw, text.titled("v")) == [v.strip().title() for v in raw]
 
 
+def test_titled_equals_str_title_on_random_ascii(spark):
+    rng = random.Random(5)
+    raw = ["".join(rng.choice("abcXYZ'-_ 0129.\t&(\x01") for _ in range(rng.randrange(14))) for _ in range(3000)]
+    assert apply(spark, raw, text.capitalised("v")) == [v.title() for v in raw]
+
+
+def test_stripped_equals_str_strip(spark):
+    raw = [f"{b}a{b}b{b}" for b in text.BLANKS] + [text.BLANKS + "x" + text.BLANKS, text.BLANKS, "", "\u200bx"]
+    assert apply(spark, raw, text.stripped("v")) == [v.strip() for v in raw]
+    assert all(b.isspace() for b in text.BLANKS)
+    assert {chr(i) for i in range(0x3001) if chr(i).isspace()} == set(text.BLANKS)
+
+
 def test_currency(spark):
     raw = ["£99.95", "GBP 99.95", "99.95 GBP", "99.95", "£1,133.78", None, "n/a", "12 gbp", ""]
     found = apply(spark, raw, numbers.currency("v"))
