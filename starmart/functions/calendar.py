@@ -96,7 +96,7 @@ def date_dimension(span: DataFrame) -> DataFrame:
     callers may broadcast it and why its windows are safe. A span beyond it
     means a corrupt date and fails the job.
     """
-    within = F.datediff("hi", "lo") <= MAX_DAYS
+    within = F.coalesce(F.datediff("hi", "lo") <= MAX_DAYS, F.lit(True))  # no dates, no days
     span = span.withColumn("hi", F.when(within, F.col("hi")).otherwise(F.raise_error("date span is too long").cast("date")))
     days = span.select(F.explode(F.sequence("lo", "hi")).alias("full_date"))
     years = span.select(F.explode(F.sequence(F.year("lo"), F.year("hi"))).alias("year"))

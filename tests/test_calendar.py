@@ -69,3 +69,8 @@ def test_a_corrupt_span_fails(spark):
     span = spark.sql("SELECT date'1970-01-01' AS lo, date'9999-12-31' AS hi")
     with pytest.raises(Exception, match="date span is too long"):
         calendar.date_dimension(span).collect()
+
+
+def test_no_dates_no_days(spark):
+    nothing = spark.createDataFrame([], "d date")
+    assert calendar.date_dimension(calendar.date_span((nothing, "d"))).isEmpty()
