@@ -97,7 +97,8 @@ def date_dimension(span: DataFrame) -> DataFrame:
     means a corrupt date and fails the job.
     """
     within = F.coalesce(F.datediff("hi", "lo") <= MAX_DAYS, F.lit(True))  # no dates, no days
-    span = span.withColumn("hi", F.when(within, F.col("hi")).otherwise(F.raise_error("date span is too long").cast("date")))
+    too_long = F.raise_error("date span is too long").cast("date")
+    span = span.withColumn("hi", F.when(within, F.col("hi")).otherwise(too_long))
     days = span.select(F.explode(F.sequence("lo", "hi")).alias("full_date"))
     years = span.select(F.explode(F.sequence(F.year("lo"), F.year("hi"))).alias("year"))
     holidays = bank_holidays(years).select("full_date", F.lit(True).alias("is_bank_holiday"))

@@ -14,9 +14,8 @@ from starmart.plans.reports import Star, _completed, _is, _rating, _totals, bad_
 
 def yearly_revenue(star: Star) -> DataFrame:
     """Confirmed revenue per year and change on the year before in percent."""
-    per_year = (
-        star["FactBookings"].groupBy(dates.key_year("tour_date_id").alias("year")).agg(*_totals()).select("year", "revenue")
-    )
+    years = star["FactBookings"].groupBy(dates.key_year("tour_date_id").alias("year"))
+    per_year = years.agg(*_totals()).select("year", "revenue")
     with_past = series.same_period_last_year(per_year, "year", "revenue", "prior_year_revenue")
     return with_past.withColumn("yoy_pct", series.growth_pct(F.col("revenue"), F.col("prior_year_revenue")))
 
@@ -153,7 +152,9 @@ def weather_share_of_cancellations(star: Star) -> DataFrame:
 
 def payment_health(star: Star) -> DataFrame:
     """Count and amount per payment status, with success and refund rates over all."""
-    by_status = star["FactPayments"].groupBy("status").agg(count_rows().alias("payments"), F.sum("amount").alias("amount"))
+    by_status = star["FactPayments"].groupBy("status").agg(
+        count_rows().alias("payments"), F.sum("amount").alias("amount")
+    )
 
     def number(status: str) -> Column:
         return F.coalesce(series.over_all(F.sum(F.when(F.col("status") == status, F.col("payments")))), F.lit(0))

@@ -286,7 +286,8 @@ def website(spark: SparkSession, folder: str) -> DataFrame:
     """Events per Monday week, channel and device."""
     day = F.to_date("ts")
     channel = _decode("event_type", {"view": 1, "click": 2, "signup": 3, "purchase": 4}, 5).cast("bigint")
-    device = F.element_at(F.array(*map(F.lit, ("mobile", "desktop", "tablet"))), (F.pmod("user_id", F.lit(3)) + 1).cast("int"))
+    devices = F.array(*map(F.lit, ("mobile", "desktop", "tablet")))
+    device = F.element_at(devices, (F.pmod("user_id", F.lit(3)) + 1).cast("int"))
     n = F.count(F.lit(1))
     return (
         table(spark, folder, "events")
