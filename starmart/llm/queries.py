@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import decontamination, exact_dedup, language_id, packing
+from starmart.llm import decontamination, exact_dedup, language_id, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,8 +54,13 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_packing, op5_language_id, op7_decontamination)
+    f.__name__: f for f in (op2_exact_dedup, op3_packing, op5_language_id, op7_decontamination, op9_toxicity)
 }
 
 ORACLES: dict[str, str] = {
