@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import decontamination, exact_dedup, language_id, packing, toxicity
+from starmart.llm import decontamination, exact_dedup, language_id, packing, toxicity, warc
+from starmart.session import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,13 +55,29 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Writes every page into archives in the shared folder, reads them back and reports each record."""
+    target = shared_path(spark, "warc")
+    # The archives are written here, when the query is built: reading them is the query.
+    warc.write(table(spark, folder, "pages"), target).write.format("noop").mode("overwrite").save()
+    found = warc.read(spark, target).where("kind = 'record'")
+    number = lambda c: F.when(F.col(c) != "None", F.col(c)).cast("bigint")
+    return found.select(
+        number("id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        number("refers_to").alias("refers_to"),
+    )
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_packing, op5_language_id, op7_decontamination, op9_toxicity)
+    f.__name__: f for f in (op2_exact_dedup, op3_packing, op5_language_id, op7_decontamination, op8_warc, op9_toxicity)
 }
 
 ORACLES: dict[str, str] = {
