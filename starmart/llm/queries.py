@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import decontamination, exact_dedup, language_id, packing, toxicity, warc
+from starmart.llm import decontamination, exact_dedup, language_id, ngram_join, packing, toxicity, warc
 from starmart.session import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles overlap by nine tenths."""
+    found = ngram_join.join(table(spark, folder, "documents"), ngram_join.Rule(words=3, percent=90))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """One row per document: which of its copies stays."""
     return exact_dedup.decisions(table(spark, folder, "documents"))
@@ -77,7 +83,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_packing, op5_language_id, op7_decontamination, op8_warc, op9_toxicity)
+    f.__name__: f for f in (op1_ngram_join, op2_exact_dedup, op3_packing, op5_language_id, op7_decontamination, op8_warc, op9_toxicity)
 }
 
 ORACLES: dict[str, str] = {
