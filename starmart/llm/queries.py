@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import decontamination, exact_dedup, language_id, ngram_join, packing, toxicity, warc
+from starmart.llm import (
+    decontamination,
+    exact_dedup,
+    language_id,
+    license_scan,
+    line_dedup,
+    ngram_join,
+    packing,
+    token_count,
+    toxicity,
+    warc,
+)
 from starmart.session import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,11 +58,29 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return digests(packing.pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json")))
 
 
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licences named or quoted in every document."""
+    found = license_scan.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("bigint").alias("n_licenses"),
+        F.array_join("matches.license", ",").alias("licenses"),
+        F.coalesce(F.round(F.array_max("matches.dice"), 6), F.lit(0.0)).alias("best_dice"),
+    )
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Predicted language of every document."""
     return language_id.identify(table(spark, folder, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that stand, within two edits, earlier in the corpus."""
+    found = line_dedup.dedup(table(spark, folder, "documents"))
+    kept = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    return found.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
+
+
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that lie in benchmark passages."""
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -82,8 +111,25 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op10_token_count(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document under a unigram vocabulary."""
+    return token_count.count_tokens(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_ngram_join, op2_exact_dedup, op3_packing, op5_language_id, op7_decontamination, op8_warc, op9_toxicity)
+    f.__name__: f
+    for f in (
+        op1_ngram_join,
+        op2_exact_dedup,
+        op3_packing,
+        op4_license_scan,
+        op5_language_id,
+        op6_line_dedup,
+        op7_decontamination,
+        op8_warc,
+        op9_toxicity,
+        op10_token_count,
+    )
 }
 
 ORACLES: dict[str, str] = {
