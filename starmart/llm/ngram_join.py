@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm.common import small
+from starmart.llm.common import row_key, small, without_keys
 from starmart.llm.components import components
 from starmart.llm.shingles import mixed, shingle_set
 from starmart.session import checkpointed, shared_path
@@ -347,3 +347,11 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         (alone | F.col("first").eqNullSafe(order)).alias("kept"),
         "text_key",
     )
+
+
+def dedup(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """The rows of ``docs`` that stand for their component, as they are."""
+    rows = docs.select(F.struct(*row_key()).alias("doc_id"), "text")
+    rejected = join(rows, rule).where("not kept").select("doc_id.*").distinct()
+    # The keys are counted before they are joined: found once, not twice.
+    return without_keys(docs, checkpointed(rejected))
