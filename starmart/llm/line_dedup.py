@@ -185,6 +185,8 @@ def paired(members: DataFrame) -> DataFrame:
 
 def candidates(spark: SparkSession, docs: DataFrame, edits: int, least_chars: int) -> DataFrame:
     """(a, b) of lines that share an index entry."""
+    if edits >= least_chars or LEAST_REST <= edits:
+        raise ValueError("a line that is compared needs a character for each segment")
     lines = lines_of(docs).select(line_id().alias("id"), "line").where(F.length("line") >= least_chars)
     whole = lambda rows: rows.select(F.lit(0).cast("bigint"), "id", F.lit(None).cast("int"), "line")
     index = written(spark, entries(whole(lines), edits, rest=False), "entries")

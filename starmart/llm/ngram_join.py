@@ -6,15 +6,22 @@ similarity reaches it differ in at most H shingles, where H follows from the siz
 1. Size bands. A pair belongs to the band of its smaller set; a set enters its own band and, if a smaller partner
    can lie there, the band below. Every band has its own H.
 2. Segments. In a band all shingles are dealt by hash into H + 1 segments. Two similar sets agree on one segment at
-   least, as H differences cannot touch all. A segment is indexed by a hash of its shingles.
-3. Candidates. Sets that meet in an index entry of few sets are all compared. In an entry of many sets each is
-   compared with one of them, which joins the bulk of a group of near copies without its pairs.
+   least, as H differences cannot touch all. A segment is indexed by a hash of its shingles. An empty segment would be
+   an entry of many sets that says little, so it is skipped and made up for: if two sets agree on t empty segments
+   only, all others differ, and at most t - 1 of them by more than one shingle; so one of the first 2t segments differs
+   by exactly one. A set with e empty segments indexes under each of them the first 2e segments, whole and less one
+   shingle. If e is over FEW_EMPTY or half the segments, its empty segments stay in the index too, and 2 * FEW_EMPTY
+   segments are enough: of two sets one has few, or both agree on an entry.
+3. Candidates. First each set of an index entry is paired with one of them, that which stands in most entries and so
+   is closest to what they have in common; this joins the bulk of a group of near copies without its pairs. Then, in
+   entries of at most MANY sets, the pairs of sets of different components are candidates.
 4. Cost-based allocation. Where an entry of many sets still holds several components, the sets outside its largest
    component probe once more: such entries are skipped where that is cheaper, and each skipped segment is made up for by
    another one on which one difference is allowed, found by deleting one shingle on either side. Costs are the counted
    sizes of the entries. With v = -1 (skipped), 0 (equal) or 1 (one difference) on each segment and the sum of v + 1 at
    least H + 1, a similar partner is found on some segment; so no link between different components is lost.
-5. Verification. Every candidate pair is compared exactly, set against set.
+5. Verification. A pair is dropped at the join if its sizes rule it out, or if the parities of 256 classes of shingles
+   differ in more classes than the sets can differ in shingles. The rest is compared exactly, set against set.
 
 Equal sets are one set from the start. Sets are known by a 64-bit id (half of a 128-bit hash of their shingles, which
 are 64-bit hashes themselves).
@@ -27,12 +34,13 @@ last). Repeated rows link with each other. Other columns are never read. An empt
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm.common import row_key, small, without_keys
@@ -41,7 +49,9 @@ from starmart.llm.shingles import mixed, shingle_set
 from starmart.session import checkpointed, shared_path
 
 #: An index entry of more sets is not compared pair by pair; changes the work, not the result.
-MANY = 16
+MANY = 64
+#: Empty segments of a set that are all made up for by others.
+FEW_EMPTY = 3
 #: Upper end of a band over its lower end, about.
 BAND = 1.5
 MASK = (1 << 64) - 1
@@ -98,11 +108,56 @@ def dealt(shingles: np.ndarray, high: int, rule: Rule) -> tuple[np.ndarray, np.n
     return segment, sums
 
 
+def set_keys(shingles: np.ndarray, high: int, rule: Rule) -> np.ndarray:
+    """Index keys of a set in a band."""
+    segment, sums = dealt(shingles, high, rule)
+    count = len(sums)
+    filled = np.bincount(segment.astype(np.int64), minlength=count) > 0
+    empty = np.flatnonzero(~filled)
+    if not len(empty):
+        return segment_keys(sums, np.arange(count), high)
+    plain = np.arange(count) if len(empty) > min(FEW_EMPTY, count // 2) else np.flatnonzero(filled)
+    reach = min(count, 2 * min(FEW_EMPTY, len(empty)))
+    front = segment < np.uint64(reach)
+    at = segment[front].astype(np.int64)
+    first = np.arange(reach)
+    values = np.concatenate([sums[first], sums[at] - shingles[front]])
+    places = np.concatenate([first, at])
+    found = [segment_keys(sums[plain], plain, high)]
+    for e in empty:
+        found.append(segment_keys(values, places + (int(e) + 1) * count, high))
+    return np.concatenate(found)
+
+
 # ---------------------------------------------------------------- index
 
 
+PARITIES = ["p0", "p1", "p2", "p3"]
+
+
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """256 bits: whether the number of shingles of a class is odd. Each shingle that two sets differ in flips one bit."""
+    odd = np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def close(rule: Rule) -> Column:
+    """Whether the pair of rows a and b can link, by sizes and parities (columns with the suffixes _a and _b)."""
+    total = F.col("n_a") + F.col("n_b")
+    flips = sum(F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in PARITIES)
+    sizes = 100 * F.least("n_a", "n_b") >= rule.percent * F.greatest("n_a", "n_b")
+    return sizes & ((100 + rule.percent) * flips <= (100 - rule.percent) * total)
+
+
+def side(rows: DataFrame, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``rows`` as one side of a pair: sid becomes the name, other columns but those to keep get it as suffix."""
+    return rows.select(
+        *[F.col(c).alias(name if c == "sid" else c if c in keep else f"{c}_{name}") for c in rows.columns]
+    )
+
+
 def described(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, text_key, n_shingles, sid, keys (index entries of the set) of every row."""
+    """doc_id, text_key, n_shingles, sid, parities, keys (index entries of the set) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,17 +166,17 @@ def described(docs: DataFrame, rule: Rule) -> DataFrame:
             # Some rows at a time, as the keys of a whole batch may be many.
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                sizes, sids, keys = [], [], []
+                sizes, sids, keys, odd = [], [], [], []
                 for text in part.column("text").to_pylist():
                     shingles = shingle_set(text, rule.words)
                     sizes.append(len(shingles))
                     sids.append(set_id(shingles) if len(shingles) else None)
+                    odd.append(parities(shingles))
                     found = [np.zeros(0, np.int64)]
                     for high in rule.bands(len(shingles)) if len(shingles) else []:
                         # One segment: only equal sets can link, and these are one set already.
                         if cache.setdefault(high, rule.segments(high)) > 1:
-                            _, sums = dealt(shingles, high, rule)
-                            found.append(segment_keys(sums, np.arange(len(sums)), high))
+                            found.append(set_keys(shingles, high, rule))
                     keys.append(np.concatenate(found))
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), pa.array(np.concatenate(keys))
@@ -132,14 +187,18 @@ def described(docs: DataFrame, rule: Rule) -> DataFrame:
                         part.column("text_key"),
                         pa.array(sizes, pa.int64()),
                         pa.array(sids, pa.int64()),
+                        *map(pa.array, np.stack(odd, axis=1)),
                         lists,
                     ],
-                    ["doc_id", "text_key", "n_shingles", "sid", "keys"],
+                    ["doc_id", "text_key", "n_shingles", "sid", *PARITIES, "keys"],
                 )
 
     text = F.col("text").cast("string")
     named = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_key"))
-    return named.mapInArrow(rows, f"doc_id {kind}, text_key bigint, n_shingles bigint, sid bigint, keys array<bigint>")
+    sketch = ", ".join(f"{p} bigint" for p in PARITIES)
+    return named.mapInArrow(
+        rows, f"doc_id {kind}, text_key bigint, n_shingles bigint, sid bigint, {sketch}, keys array<bigint>"
+    )
 
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -177,12 +236,7 @@ def sets_of(docs: DataFrame, narrow: DataFrame, sids: DataFrame, rule: Rule) ->
 
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose sets link."""
-    sized = sets.select("sid", F.size("shingles").alias("n"))
-    one = lambda s: s.select(F.col("sid").alias("a"), *[F.col(c).alias(f"{c}_a") for c in s.columns if c != "sid"])
-    two = lambda s: s.select(F.col("sid").alias("b"), *[F.col(c).alias(f"{c}_b") for c in s.columns if c != "sid"])
-    close = 100 * F.least("n_a", "n_b") >= rule.percent * F.greatest("n_a", "n_b")
-    pairs = pairs.join(one(sized), "a").join(two(sized), "b").where(close).select("a", "b")
-    both = pairs.join(one(sets), "a").join(two(sets), "b")
+    both = pairs.join(side(sets, "a"), "a").join(side(sets, "b"), "b")
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
     union = F.size("shingles_a") + F.size("shingles_b") - common
     return both.where(100 * common >= rule.percent * union).select("a", "b")
@@ -200,23 +254,23 @@ def neighbourhoods(sets: DataFrame, rule: Rule) -> DataFrame:
                 shingles = np.asarray(listed.values).view(np.uint64)
                 for high in rule.bands(len(shingles)):
                     segment, sums = dealt(shingles, high, rule)
-                    whole = np.arange(len(sums))
-                    less = sums[segment.astype(np.int64)] - shingles
-                    segments = np.concatenate([whole, segment.astype(np.int64)])
+                    segment = segment.astype(np.int64)
+                    less = sums[segment] - shingles
+                    segments = np.concatenate([np.arange(len(sums)), segment])
                     keys = segment_keys(np.concatenate([sums, less]), segments, high)
                     n = len(keys)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(n, sid, np.int64)),
-                            pa.array(np.full(n, high, np.int64)),
-                            pa.array(segments.astype(np.int64)),
+                            pa.array(np.full(n, high, np.int32)),
+                            pa.array(segments.astype(np.int32)),
                             pa.array(np.arange(n) >= len(sums)),
                             pa.array(keys),
                         ],
                         ["sid", "band", "segment", "deleted", "key"],
                     )
 
-    return sets.mapInArrow(rows, "sid bigint, band bigint, segment bigint, deleted boolean, key bigint")
+    return sets.mapInArrow(rows, "sid bigint, band int, segment int, deleted boolean, key bigint")
 
 
 def allocated(costs: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
@@ -240,44 +294,49 @@ def allocated(costs: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     return [(s, v) for s, v in level.items() if v >= 0]
 
 
-def probed(spark: SparkSession, index: DataFrame, probers: DataFrame, owner: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets of different components that the probing sets find in the index.
-
-    ``owner``: (sid, component) of the sets in the index.
-    """
-    # An entry counts itself once for each set that holds it.
+def probes(index: DataFrame, probers: DataFrame) -> DataFrame:
+    """(sid, key, v, deleted): what the probing sets look up, by the cheapest allocation for each set and band."""
     counts = index.groupBy("key").agg(
-        F.sum(F.when(F.col("deleted"), 0).otherwise(1)).alias("whole"),
-        F.sum(F.when(F.col("deleted"), 1).otherwise(0)).alias("less"),
+        F.count(F.when(~F.col("deleted"), 1)).alias("whole"), F.count(F.when(F.col("deleted"), 1)).alias("less")
     )
-    own = index.join(small(probers), "sid", "left_semi")
-    costs = own.join(counts, "key").groupBy("sid", "band", "segment").agg(
-        F.sum(F.when(~F.col("deleted"), F.col("whole")).otherwise(0)).alias("equal"),
-        F.sum(F.when(~F.col("deleted"), F.col("whole") + F.col("less")).otherwise(F.col("whole"))).alias("near"),
+    own = index.join(small(probers), "sid", "left_semi").join(counts, "key")
+    # As many entries as the set has shingles and segments.
+    own = own.groupBy("sid", "band").agg(
+        F.collect_list(F.struct("segment", "deleted", "key", "whole", "less")).alias("entries")
     )
-    # As many segments as a set of this band has.
-    costs = costs.groupBy("sid", "band").agg(F.collect_list(F.struct("segment", "equal", "near")).alias("costs"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [
-                (r["sid"], r["band"], s, v)
-                for r in batch.to_pylist()
-                for s, v in allocated([(c["segment"], c["equal"], c["near"]) for c in r["costs"]])
-            ]
-            names = ["sid", "band", "segment", "v"]
+            out: list[tuple] = []
+            for sid, listed in zip(batch.column("sid").to_pylist(), batch.column("entries"), strict=True):
+                entries = [tuple(e.values()) for e in listed.as_py()]
+                equal, near = Counter(), Counter()
+                for segment, deleted, _, whole, less in entries:
+                    equal[segment] += 0 if deleted else whole
+                    near[segment] += whole if deleted else whole + less
+                level = dict(allocated([(k, equal[k], near[k]) for k in equal]))
+                for segment, deleted, key, whole, less in entries:
+                    v = level.get(segment, -1)
+                    # An entry that holds this set alone has no partner.
+                    if v == 1 and whole + less > 1 or v == 0 and not deleted and whole > 1:
+                        out.append((sid, key, v, deleted))
             columns = list(zip(*out, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
-
-    plan = costs.mapInArrow(rows, "sid bigint, band bigint, segment bigint, v bigint")
-    probes = own.join(plan, ["sid", "band", "segment"]).where("v = 1 or not deleted")
-    probes = probes.select(F.col("sid").alias("a"), "key", "v", F.col("deleted").alias("deleted_a"))
-    probes = probes.join(owner.select(F.col("sid").alias("a"), F.col("component").alias("component_a")), "a")
-    entries = index.join(owner, "sid").select(
-        F.col("sid").alias("b"), "key", F.col("deleted").alias("deleted_b"), F.col("component").alias("component_b")
-    )
-    allowed = ~(F.col("deleted_a") & F.col("deleted_b")) & ((F.col("v") == 1) | ~F.col("deleted_b"))
-    met = probes.join(entries, "key").where(allowed & (F.col("component_a") != F.col("component_b")))
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["sid", "key", "v", "deleted"])
+
+    return own.mapInArrow(rows, "sid bigint, key bigint, v int, deleted boolean")
+
+
+def probed(index: DataFrame, probers: DataFrame, owner: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) of sets of different components that the probing sets find in the index and that can link.
+
+    ``owner``: (sid, component, n, parities) of the sets in the index.
+    """
+    one = side(probes(index, probers).join(owner, "sid"), "a", ("key",))
+    two = side(index.select("sid", "key", "deleted").join(owner, "sid"), "b", ("key",))
+    allowed = ~(F.col("deleted_a") & F.col("deleted_b")) & ((F.col("v_a") == 1) | ~F.col("deleted_b"))
+    met = one.join(two, "key").where(allowed & (F.col("component_a") != F.col("component_b")) & close(rule))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -291,40 +350,60 @@ def linked_sets(spark: SparkSession, docs: DataFrame, narrow: DataFrame, rule: R
         F.count(F.lit(1)).alias("n"), F.min("sid").alias("a"), F.max("sid").alias("b")
     )
     met = written(spark, met.where("a <> b"), "met")
-    two = met.where("n = 2").select("a", "b")
-    more = met.where("n > 2").select("key")
-    members = written(spark, entries.join(small(more), "key").select("key", "sid").distinct(), "members")
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("sid").alias("first"))
-    few = members.join(sizes.where(F.col("n") <= MANY).select("key"), "key")
-    paired = few.select("key", F.col("sid").alias("a")).join(few.select("key", F.col("sid").alias("b")), "key")
-    crowded = written(spark, members.join(sizes.where(F.col("n") > MANY), "key"), "crowded")
-    stars = crowded.select(F.col("first").alias("a"), F.col("sid").alias("b"))
-    pairs = two.union(paired.where("a < b").select("a", "b")).union(stars.where("a < b"))
-    pairs = written(spark, pairs.distinct(), "pairs")
-    sids = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-    sets = written(spark, sets_of(docs, narrow.select("sid", "text_key"), sids, rule), "sets")
-    links = written(spark, verified(pairs, sets, rule), "links")
+    sketch = narrow.where("sid is not null").select("sid", F.col("n_shingles").alias("n"), *PARITIES)
+    sketch = sketch.dropDuplicates(["sid"])
+    # Entries of two sets are their pair; larger ones need their members.
+    two = met.where("n = 2").select("a", "b").distinct()
+    two = two.join(side(sketch, "a"), "a").join(side(sketch, "b"), "b").where(close(rule)).select("a", "b")
+    members = entries.join(small(met.where("n > 2").select("key")), "key").select("key", "sid").distinct()
+    members = written(spark, members.join(sketch, "sid"), "members")
+    common = members.groupBy("sid").agg(F.count(F.lit(1)).alias("w"))
+    sizes = members.join(common, "sid").groupBy("key").agg(
+        F.count(F.lit(1)).alias("n_sets"), F.max_by(F.struct("sid", "n", *PARITIES), F.struct("w", "sid")).alias("c")
+    )
+    sizes = written(spark, sizes, "sizes")
+    centre = side(sizes.select("key", "c.*"), "a", ("key",))
+    stars = side(members, "b", ("key",)).join(centre, "key").where((F.col("a") != F.col("b")) & close(rule))
+    stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = written(spark, two.union(stars).distinct(), "pairs")
+    links = linking(spark, docs, narrow, pairs, rule)
     found = checkpointed(components(links))
 
-    # Entries of many sets that are not one component yet.
-    crowd = crowded.select("key", "sid").join(found.withColumnRenamed("node", "sid"), "sid", "left")
-    crowd = crowd.withColumn("component", F.coalesce("component", "sid"))
-    open_keys = crowd.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    crowd = checkpointed(crowd.join(open_keys.select("key"), "key"))
-    owner = checkpointed(crowd.select("sid", "component").distinct())
+    # Entries that are not one component yet.
+    parts = members.join(found.withColumnRenamed("node", "sid"), "sid", "left")
+    parts = parts.withColumn("component", F.coalesce("component", "sid"))
+    open_keys = parts.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    parts = parts.join(open_keys.select("key"), "key").join(sizes.select("key", "n_sets"), "key")
+    parts = written(spark, parts, "open")
+    few = parts.where(F.col("n_sets") <= MANY).drop("n_sets")
+    apart = (F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & close(rule)
+    paired = side(few, "a", ("key",)).join(side(few, "b", ("key",)), "key").where(apart).select("a", "b").distinct()
+    paired = written(spark, paired.join(pairs, ["a", "b"], "left_anti"), "paired")
+    links = links.union(linking(spark, docs, narrow, paired, rule))
+    tried = pairs.union(paired)
+    crowd = checkpointed(parts.where(F.col("n_sets") > MANY).drop("n_sets"))
+    owner = checkpointed(crowd.drop("key").dropDuplicates(["sid"]))
     if owner.isEmpty():
-        return found
+        return components(links)
     weight = owner.groupBy("component").agg(F.count(F.lit(1)).alias("w"))
-    crowd = crowd.join(weight, "component")
+    crowd = crowd.select("key", "sid", "component").join(weight, "component")
     # Of two components in an entry one at most is its largest, so of two sets one at least probes.
     largest = crowd.groupBy("key").agg(F.max(F.struct("w", "component")).alias("top"))
     outside = crowd.join(largest, "key").where("component <> top.component")
     probers = checkpointed(outside.select("sid").distinct())
-    index = written(spark, neighbourhoods(sets.join(owner.select("sid"), "sid"), rule), "neighbourhoods")
-    candidates = probed(spark, index, probers, owner).join(pairs, ["a", "b"], "left_anti")
+    sets = written(spark, sets_of(docs, narrow.select("sid", "text_key"), owner.select("sid"), rule), "crowd_sets")
+    index = written(spark, neighbourhoods(sets, rule), "neighbourhoods")
+    candidates = probed(index, probers, owner, rule).join(tried, ["a", "b"], "left_anti")
     return components(links.union(verified(written(spark, candidates, "candidates"), sets, rule)))
 
 
+def linking(spark: SparkSession, docs: DataFrame, narrow: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+    """Those of the pairs whose sets link, written."""
+    sids = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
+    sets = written(spark, sets_of(docs, narrow.select("sid", "text_key"), sids, rule), "sets")
+    return written(spark, verified(pairs, sets, rule), "links")
+
+
 def join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id, kept, text_key.
 
