@@ -28,8 +28,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group that links by five-word shingles at a similarity of 0.8 stays."""
-    return ngram_join.dedup(docs, ngram_join.Rule(words=5, percent=80))
+    """One document of each group that links by five-word shingles at a similarity of 0.85 stays."""
+    return ngram_join.dedup(docs, ngram_join.Rule(words=5, percent=85))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
