@@ -11,9 +11,6 @@ from starmart.functions import dates
 from starmart.functions.text import col
 
 
-MAX_DAYS = 150_000  # four centuries
-
-
 def easter_sunday(year: Column | str) -> Column:
     """Gregorian Easter from integer arithmetic on the year."""
     y = col(year).cast("int")
@@ -92,13 +89,9 @@ def date_span(*sources: tuple[DataFrame, str] | tuple[DataFrame, str, str]) -> D
 def date_dimension(span: DataFrame) -> DataFrame:
     """One row per calendar day between ``lo`` and ``hi``, 17 columns.
 
-    The frame is bounded by the calendar, and the bound is checked: that is why
-    callers may broadcast it and why its windows are safe. A span beyond it
-    means a corrupt date and fails the job.
+    No span, no days. A stray date lengthens the calendar and nothing else: callers leave
+    it to Spark how the calendar is joined.
     """
-    within = F.coalesce(F.datediff("hi", "lo") <= MAX_DAYS, F.lit(True))  # no dates, no days
-    too_long = F.raise_error("date span is too long").cast("date")
-    span = span.withColumn("hi", F.when(within, F.col("hi")).otherwise(too_long))
     days = span.select(F.explode(F.sequence("lo", "hi")).alias("full_date"))
     years = span.select(F.explode(F.sequence(F.year("lo"), F.year("hi"))).alias("year"))
     holidays = bank_holidays(years).select("full_date", F.lit(True).alias("is_bank_holiday"))

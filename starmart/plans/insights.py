@@ -41,7 +41,7 @@ def revenue_by_day_type(star: Star) -> DataFrame:
     )
     by_type = (
         daily_revenue(star)
-        .join(F.broadcast(calendar), "tour_date_id")
+        .join(calendar, "tour_date_id")
         .groupBy("day_type")
         .agg(count_rows().alias("days"), F.sum("revenue").alias("total"))
     )

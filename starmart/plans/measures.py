@@ -116,8 +116,6 @@ def _described(star: Star, df: DataFrame, fact: str, attributes: Sequence[str],
         key = date_key if dim == "DimDate" else KEYS[dim]
         columns = [F.col(ATTRIBUTES[a][1]).alias(f"_{a}") for a in names]
         side = _dimension(star, dim).select(F.col(KEYS[dim]).alias("_key"), *columns)
-        if dim == "DimDate":
-            side = F.broadcast(side)  # one row per calendar day
         df = df.join(side, F.col(key) == F.col("_key"), "left").drop("_key")
         # An attribute replaces a fact column of the same name.
         df = df.drop(*names).withColumnsRenamed({f"_{a}": a for a in names})

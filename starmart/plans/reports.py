@@ -76,20 +76,16 @@ def bookings_enriched(star: Star) -> DataFrame:
     """One wide row per booking: dates, customer, route, region, guide, channel."""
     b = star["FactBookings"]
     d = star["DimDate"]
-    tour = F.broadcast(
-        d.select(
-            F.col("date_id").alias("tour_date_id"),
-            F.col("full_date").alias("tour_date"),
-            F.col("year").alias("tour_year"),
-            F.col("month").alias("tour_month"),
-            F.col("month_name").alias("tour_month_name"),
-            F.col("quarter").alias("tour_quarter"),
-            F.col("is_weekend").alias("tour_is_weekend"),
-        )
-    )
-    created = F.broadcast(
-        d.select(F.col("date_id").alias("created_date_id"), F.col("full_date").alias("created_date"))
+    tour = d.select(
+        F.col("date_id").alias("tour_date_id"),
+        F.col("full_date").alias("tour_date"),
+        F.col("year").alias("tour_year"),
+        F.col("month").alias("tour_month"),
+        F.col("month_name").alias("tour_month_name"),
+        F.col("quarter").alias("tour_quarter"),
+        F.col("is_weekend").alias("tour_is_weekend"),
     )
+    created = d.select(F.col("date_id").alias("created_date_id"), F.col("full_date").alias("created_date"))
     route = star["DimRoute"].select("route_id", F.col("name").alias("route_name"), "difficulty", "distance_km")
     region = star["DimRegion"].select("region_id", F.col("name").alias("region_name"))
     guide = star["DimGuide"].select("guide_id", F.col("full_name").alias("guide_name"))

@@ -236,7 +236,7 @@ def b01(spark, sf):
 
 @query("b02_date_span", over("span", "SELECT lo, hi FROM span"))
 def b02(spark, sf):
-    return calendar.date_span((table(spark, sf, "orders"), "o_orderdate"), (table(spark, sf, "lineitem"), "l_shipdate"))
+    return tpch.span(spark, sf)
 
 
 @query("b03_dim_region", f"WITH {SQL['Region'][0]} {SQL['Region'][1]}")

@@ -486,7 +486,8 @@ def x3(spark, sf):
     parts = table(spark, sf, "part").select("p_partkey", F.pmod("p_size", F.lit(7)).cast("bigint").alias("region_id"))
     shipped = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select("region_id", "day").distinct()
     event_days = table(spark, sf, "events").select(F.to_date("ts").alias("day")).distinct()
-    regions = F.array(*[F.lit(r).cast("bigint") for r in range(5)])
+    # Each day is wanted in every region: as many rows as the calendar has days, times the regions of the table.
+    regions = table(spark, sf, "nation").agg(F.collect_set(F.col("n_regionkey").cast("bigint"))).scalar()
     need = shipped.unionByName(event_days.select(F.explode(regions).alias("region_id"), "day")).distinct()
     return intervals.active_on(need, "day", "region_id", members(spark, sf), "joined", "left_on")
 

@@ -56,8 +56,10 @@ CTES = {
         "ELSE 'advanced' END AS difficulty, CAST(p_size AS DOUBLE) AS distance_km FROM part"
     ),
     "span": (
-        "SELECT least((SELECT min(o_orderdate) FROM orders),(SELECT min(l_shipdate) FROM lineitem))::DATE AS lo, "
-        "greatest((SELECT max(o_orderdate) FROM orders),(SELECT max(l_shipdate) FROM lineitem))::DATE AS hi"
+        "SELECT least((SELECT min(o_orderdate::DATE - CAST(o_orderkey % 120 AS INTEGER)) FROM orders),"
+        "(SELECT min(l_shipdate)::DATE FROM lineitem),(SELECT min(date_trunc('week', ts))::DATE FROM events))::DATE AS lo, "
+        "greatest((SELECT max(o_orderdate)::DATE FROM orders),(SELECT max(l_shipdate)::DATE FROM lineitem),"
+        "(SELECT max(ts)::DATE + 13 FROM events))::DATE AS hi"
     ),
     "days": "SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY))::DATE AS d FROM span",
     "years": "SELECT unnest(generate_series(year(lo), year(hi))) AS y FROM span",

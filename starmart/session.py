@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,21 +31,9 @@ def get_session(app: str = "starmart", master: str | None = None, **conf: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach.
-
-    The cluster names it in ``spark.checkpoint.dir``. A machine-local folder is
-    only ever chosen for a ``local[*]`` session.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="starmart-")
+    """Folder every executor can reach: that of ``spark.checkpoint.dir``, else one below the session's warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

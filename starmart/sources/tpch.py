@@ -86,20 +86,10 @@ def _season(day: Column) -> Column:
     return F.when(F.month(day).isin(11, 12, 1, 2, 3), "winter").otherwise("summer")
 
 
-MAX_CODES = 1000
-
-
-def region_of(spark: SparkSession, folder: str, nation: str) -> Column:
-    """Region key of a nation key.
-
-    The nation table is a code list of 25 rows, so it travels as one map
-    constant. A join would hide the size of the dimension it is applied to
-    (Spark multiplies the sizes of joined tables) and so cost its broadcast.
-    """
-    pair = F.struct("n_nationkey", F.col("n_regionkey").cast("bigint"))
-    short = F.when(F.count(F.lit(1)) <= MAX_CODES, F.map_from_entries(F.collect_list(pair)))
-    codes = table(spark, folder, "nation").agg(short.otherwise(F.raise_error("nation is not a code list")))
-    return F.try_element_at(codes.scalar(), F.col(nation))
+def with_region(df: DataFrame, spark: SparkSession, folder: str, nation: str, into: str = "region_id") -> DataFrame:
+    """Adds the region key of a nation key and drops the nation key."""
+    nations = table(spark, folder, "nation").select("n_nationkey", F.col("n_regionkey").cast("bigint").alias("_region"))
+    return lookup(df, nation, nations, "n_nationkey", {"_region": into}).drop(nation)
 
 
 def dim_region(spark: SparkSession, folder: str) -> DataFrame:
@@ -110,9 +100,20 @@ def dim_region(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def span(spark: SparkSession, folder: str) -> DataFrame:
+    """(lo, hi) over all dates of the star: bookings, their creation, and what events turn into."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderdate", F.date_sub(F.to_date("o_orderdate"), F.pmod("o_orderkey", F.lit(120)).cast("int")).alias("created")
+    )
+    events = table(spark, folder, "events").select(
+        F.date_trunc("week", "ts").alias("week"), F.date_add(F.to_date("ts"), 13).alias("refunded")
+    )
+    lines = table(spark, folder, "lineitem")
+    return calendar.date_span((orders, "o_orderdate", "created"), (lines, "l_shipdate"), (events, "week", "refunded"))
+
+
 def dim_date(spark: SparkSession, folder: str) -> DataFrame:
-    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
-    return calendar.date_dimension(calendar.date_span((orders, "o_orderdate"), (lines, "l_shipdate")))
+    return calendar.date_dimension(span(spark, folder))
 
 
 def dim_customer(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,13 +127,14 @@ def dim_customer(spark: SparkSession, folder: str) -> DataFrame:
 
 def dim_guide(spark: SparkSession, folder: str) -> DataFrame:
     years = F.floor(F.abs(money("s_acctbal")) / 400).cast("int")
-    return table(spark, folder, "supplier").select(
+    guides = table(spark, folder, "supplier").withColumn("_nation", F.col("s_nationkey"))
+    return with_region(guides, spark, folder, "_nation", "primary_region_id").select(
         F.col("s_suppkey").alias("guide_id"),
         F.col("s_name").alias("full_name"),
         years.alias("years_experience"),
         F.when(F.col("s_nationkey") < 12, "employed").otherwise("freelance").alias("employment_type"),
         F.abs(money("s_acctbal")).alias("day_rate_gbp"),
-        region_of(spark, folder, "s_nationkey").alias("primary_region_id"),
+        "primary_region_id",
         (money("s_acctbal") >= 0).alias("active"),
         (years / 100).cast("double").alias("discount_tendency_pct"),
     )
@@ -172,7 +174,7 @@ def order_bookings(spark: SparkSession, folder: str, region: bool = True) -> Dat
         return df
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     df = lookup(df, "customer_id", customers, "c_custkey", {"c_nationkey": "_nation"})
-    return df.withColumn("region_id", region_of(spark, folder, "_nation")).drop("_nation")
+    return with_region(df, spark, folder, "_nation")
 
 
 def line_bookings(spark: SparkSession, folder: str, region: bool = True, order: bool = False) -> DataFrame:
@@ -197,7 +199,7 @@ def line_bookings(spark: SparkSession, folder: str, region: bool = True, order:
     if region:
         guides = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
         df = lookup(df, "guide_id", guides, "s_suppkey", {"s_nationkey": "_nation"})
-        df = df.withColumn("region_id", region_of(spark, folder, "_nation")).drop("_nation")
+        df = with_region(df, spark, folder, "_nation")
     if order:
         orders = table(spark, folder, "orders").select(
             F.col("o_orderkey").alias("booking_id"),
