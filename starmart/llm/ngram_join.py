@@ -34,7 +34,7 @@ last). Repeated rows link with each other. Other columns are never read. An empt
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -294,46 +294,55 @@ def allocated(costs: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     return [(s, v) for s, v in level.items() if v >= 0]
 
 
-def probes(index: DataFrame, probers: DataFrame) -> DataFrame:
-    """(sid, key, v, deleted): what the probing sets look up, by the cheapest allocation for each set and band."""
+def probes(index: DataFrame, sets: DataFrame, probers: DataFrame, rule: Rule) -> DataFrame:
+    """(sid, key, v, deleted): what the probing sets look up, by the cheapest allocation for each set and band.
+
+    A segment costs the sets that hold it whole, and with v = 1 also those that hold it less one shingle.
+    """
     counts = index.groupBy("key").agg(
         F.count(F.when(~F.col("deleted"), 1)).alias("whole"), F.count(F.when(F.col("deleted"), 1)).alias("less")
     )
-    own = index.join(small(probers), "sid", "left_semi").join(counts, "key")
-    # As many entries as the set has shingles and segments.
-    own = own.groupBy("sid", "band").agg(
-        F.collect_list(F.struct("segment", "deleted", "key", "whole", "less")).alias("entries")
-    )
+    own = index.where("not deleted").join(small(probers), "sid", "left_semi").join(counts, "key")
+    # As many segments as the set has in its bands.
+    own = own.groupBy("sid").agg(F.collect_list(F.struct("band", "segment", "whole", "less")).alias("costs"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for sid, listed in zip(batch.column("sid").to_pylist(), batch.column("entries"), strict=True):
-                entries = [tuple(e.values()) for e in listed.as_py()]
-                equal, near = Counter(), Counter()
-                for segment, deleted, _, whole, less in entries:
-                    equal[segment] += 0 if deleted else whole
-                    near[segment] += whole if deleted else whole + less
-                level = dict(allocated([(k, equal[k], near[k]) for k in equal]))
-                for segment, deleted, key, whole, less in entries:
-                    v = level.get(segment, -1)
-                    # An entry that holds this set alone has no partner.
-                    if v == 1 and whole + less > 1 or v == 0 and not deleted and whole > 1:
-                        out.append((sid, key, v, deleted))
-            columns = list(zip(*out, strict=True)) or [[]] * 4
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
-            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["sid", "key", "v", "deleted"])
-
-    return own.mapInArrow(rows, "sid bigint, key bigint, v int, deleted boolean")
-
-
-def probed(index: DataFrame, probers: DataFrame, owner: DataFrame, rule: Rule) -> DataFrame:
+            listed = zip(*(batch.column(c) for c in ("sid", "shingles", "costs")), strict=True)
+            for sid, held, costs in listed:
+                shingles = np.asarray(held.values).view(np.uint64)
+                by_band: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+                for c in costs.as_py():
+                    by_band[c["band"]].append((c["segment"], c["whole"], c["whole"] + c["less"]))
+                for high, cost in by_band.items():
+                    segment, sums = dealt(shingles, high, rule)
+                    segment = segment.astype(np.int64)
+                    level = np.full(len(sums), -1)
+                    for place, v in allocated(cost):
+                        level[place] = v
+                    whole = np.flatnonzero(level >= 0)
+                    near = level[segment] == 1
+                    places = np.concatenate([whole, segment[near]])
+                    values = np.concatenate([sums[whole], sums[segment[near]] - shingles[near]])
+                    columns = [
+                        pa.array(np.full(len(places), sid.as_py(), np.int64)),
+                        pa.array(segment_keys(values, places, high)),
+                        pa.array(level[places].astype(np.int32)),
+                        pa.array(np.arange(len(places)) >= len(whole)),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["sid", "key", "v", "deleted"])
+
+    return sets.join(own, "sid").mapInArrow(rows, "sid bigint, key bigint, v int, deleted boolean")
+
+
+def probed(
+    index: DataFrame, sets: DataFrame, probers: DataFrame, owner: DataFrame, rule: Rule
+) -> DataFrame:
     """Pairs (a, b) of sets of different components that the probing sets find in the index and that can link.
 
     ``owner``: (sid, component, n, parities) of the sets in the index.
     """
-    one = side(probes(index, probers).join(owner, "sid"), "a", ("key",))
+    one = side(probes(index, sets, probers, rule).join(owner, "sid"), "a", ("key",))
     two = side(index.select("sid", "key", "deleted").join(owner, "sid"), "b", ("key",))
     allowed = ~(F.col("deleted_a") & F.col("deleted_b")) & ((F.col("v_a") == 1) | ~F.col("deleted_b"))
     met = one.join(two, "key").where(allowed & (F.col("component_a") != F.col("component_b")) & close(rule))
@@ -393,7 +402,7 @@ def linked_sets(spark: SparkSession, docs: DataFrame, narrow: DataFrame, rule: R
     probers = checkpointed(outside.select("sid").distinct())
     sets = written(spark, sets_of(docs, narrow.select("sid", "text_key"), owner.select("sid"), rule), "crowd_sets")
     index = written(spark, neighbourhoods(sets, rule), "neighbourhoods")
-    candidates = probed(index, probers, owner, rule).join(tried, ["a", "b"], "left_anti")
+    candidates = probed(index, sets, probers, owner, rule).join(tried, ["a", "b"], "left_anti")
     return components(links.union(verified(written(spark, candidates, "candidates"), sets, rule)))
 
 
