@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.session import shared_path
+
 #: A side is sent to every executor only when a count shows at most so many narrow rows (a few dozen bytes each).
 BROADCAST_ROWS = 1_000_000
 
@@ -21,6 +23,25 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: read more than once, computed once.
+
+    What reads on starts from the table, so the shuffle files behind it go as soon as it is written.
+    """
+    path = shared_path(spark, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.parquet(path)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fifth of the rows that no model may learn from; a row without an id is never learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))

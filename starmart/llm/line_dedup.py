@@ -24,9 +24,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm.common import small
+from starmart.llm.common import small, written
 from starmart.llm.components import components
-from starmart.session import checkpointed, shared_path
+from starmart.session import checkpointed
 
 EDITS, LEAST_CHARS = 2, 20
 #: An index entry of more lines is split further; changes the work, not the result.
@@ -135,12 +135,6 @@ def line_id(line: str = "line") -> Column:
     return F.shiftright(F.xxhash64(line), 1)
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    path = shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def entries(lines: DataFrame, edits: int, rest: bool) -> DataFrame:
     """(key, entry[, rest]) of lines (under, id, role, line): entry is 2 * id + role, under the entry it splits.
 

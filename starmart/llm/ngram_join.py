@@ -17,11 +17,12 @@ similarity reaches it differ in at most H shingles, where H follows from the siz
    entries of at most MANY sets, the pairs of sets of different components are candidates.
 4. Cost-based allocation. Where an entry of many sets still holds several components, the sets outside its largest
    component probe once more: such entries are skipped where that is cheaper, and each skipped segment is made up for by
-   another one on which one difference is allowed, found by deleting one shingle on either side. Costs are the counted
+   another one (of the first eighth) on which one difference is allowed, found by deleting one shingle on either side. Costs are the counted
    sizes of the entries. With v = -1 (skipped), 0 (equal) or 1 (one difference) on each segment and the sum of v + 1 at
    least H + 1, a similar partner is found on some segment; so no link between different components is lost.
 5. Verification. A pair is dropped at the join if its sizes rule it out, or if the parities of 256 classes of shingles
-   differ in more classes than the sets can differ in shingles. The rest is compared exactly, set against set.
+   differ in more classes than the sets can differ in shingles; then by parities of as many classes as the sets need.
+   The rest is compared exactly, set against set, from texts that move compressed.
 
 Equal sets are one set from the start. Sets are known by a 64-bit id (half of a 128-bit hash of their shingles, which
 are 64-bit hashes themselves).
@@ -40,13 +41,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm.common import row_key, small, without_keys
+from starmart.llm.common import row_key, small, without_keys, written
 from starmart.llm.components import components
 from starmart.llm.shingles import mixed, shingle_set
-from starmart.session import checkpointed, shared_path
+from starmart.session import checkpointed
 
 #: An index entry of more sets is not compared pair by pair; changes the work, not the result.
 MANY = 64
@@ -54,6 +56,8 @@ MANY = 64
 FEW_EMPTY = 3
 #: Upper end of a band over its lower end, about.
 BAND = 1.5
+#: One segment in so many allows a difference where others are skipped; changes the work, not the result.
+NEAR = 8
 MASK = (1 << 64) - 1
 
 
@@ -141,12 +145,29 @@ def parities(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_parities(shingles: np.ndarray) -> bytes:
+    """Parities of at least twice as many classes as shingles (a power of two), so that few differences hide."""
+    bits = 1 << max(8, (2 * len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def flips(a: bytes, b: bytes) -> int:
+    """Classes in which two wide parities differ; the longer one is folded to the length of the shorter."""
+    one, two = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(one) > len(two):
+        one = one[: len(one) // 2] ^ one[len(one) // 2 :]
+    while len(two) > len(one):
+        two = two[: len(two) // 2] ^ two[len(two) // 2 :]
+    return int(np.bitwise_count(one ^ two).sum())
+
+
 def close(rule: Rule) -> Column:
     """Whether the pair of rows a and b can link, by sizes and parities (columns with the suffixes _a and _b)."""
     total = F.col("n_a") + F.col("n_b")
-    flips = sum(F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in PARITIES)
+    odd = sum(F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in PARITIES)
     sizes = 100 * F.least("n_a", "n_b") >= rule.percent * F.greatest("n_a", "n_b")
-    return sizes & ((100 + rule.percent) * flips <= (100 - rule.percent) * total)
+    return sizes & ((100 + rule.percent) * odd <= (100 - rule.percent) * total)
 
 
 def side(rows: DataFrame, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -157,7 +178,7 @@ def side(rows: DataFrame, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def described(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, text_key, n_shingles, sid, parities, keys (index entries of the set) of every row."""
+    """doc_id, text_key, n_shingles, sid, parities, wide parities, keys (index entries of the set) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,12 +187,13 @@ def described(docs: DataFrame, rule: Rule) -> DataFrame:
             # Some rows at a time, as the keys of a whole batch may be many.
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                sizes, sids, keys, odd = [], [], [], []
+                sizes, sids, keys, odd, wide = [], [], [], [], []
                 for text in part.column("text").to_pylist():
                     shingles = shingle_set(text, rule.words)
                     sizes.append(len(shingles))
                     sids.append(set_id(shingles) if len(shingles) else None)
                     odd.append(parities(shingles))
+                    wide.append(wide_parities(shingles))
                     found = [np.zeros(0, np.int64)]
                     for high in rule.bands(len(shingles)) if len(shingles) else []:
                         # One segment: only equal sets can link, and these are one set already.
@@ -188,75 +210,126 @@ def described(docs: DataFrame, rule: Rule) -> DataFrame:
                         pa.array(sizes, pa.int64()),
                         pa.array(sids, pa.int64()),
                         *map(pa.array, np.stack(odd, axis=1)),
+                        pa.array(wide, pa.binary()),
                         lists,
                     ],
-                    ["doc_id", "text_key", "n_shingles", "sid", *PARITIES, "keys"],
+                    ["doc_id", "text_key", "n_shingles", "sid", *PARITIES, "wide", "keys"],
                 )
 
     text = F.col("text").cast("string")
     named = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_key"))
     sketch = ", ".join(f"{p} bigint" for p in PARITIES)
     return named.mapInArrow(
-        rows, f"doc_id {kind}, text_key bigint, n_shingles bigint, sid bigint, {sketch}, keys array<bigint>"
+        rows, f"doc_id {kind}, text_key bigint, n_shingles bigint, sid bigint, {sketch}, wide binary, keys array<bigint>"
     )
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: read more than once, computed once."""
-    path = shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+# ---------------------------------------------------------------- verification
 
 
-# ---------------------------------------------------------------- verification
+def plausible(pairs: DataFrame, narrow: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) that wide parities do not rule out: a set's parities are an eighth of its text, about."""
+    wide = narrow.join(small(checkpointed(ends(pairs))), "sid", "left_semi")
+    wide = wide.select("sid", F.col("n_shingles").alias("n"), "wide").dropDuplicates(["sid"])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("n_a", "n_b", "wide_a", "wide_b"))
+            found = [
+                (100 + rule.percent) * flips(a, b) <= (100 - rule.percent) * (n + m)
+                for n, m, a, b in zip(*columns, strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(found, pa.bool_()))
+
+    return pairs.join(side(wide, "a"), "a").join(side(wide, "b"), "b").mapInArrow(rows, "a bigint, b bigint")
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    """(sid) of the sets in pairs."""
+    return pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
+
+
+def packed(text: str) -> bytes:
+    """A text as it is moved about: compressed, as hashed shingles take more bytes than it and do not compress."""
+    return zstandard.compress(text.encode("utf-8"))
+
+
+def unpacked(held: bytes, rule: Rule) -> np.ndarray:
+    """The set of a packed text."""
+    return shingle_set(zstandard.decompress(held).decode("utf-8"), rule.words)
 
 
 def sets_of(docs: DataFrame, narrow: DataFrame, sids: DataFrame, rule: Rule) -> DataFrame:
-    """(sid, shingles) of the given sets, from one text of each."""
+    """(sid, packed) of the given sets, from one text of each."""
     chosen = narrow.join(sids, "sid").groupBy("sid").agg(F.min("text_key").alias("text_key"))
     chosen = checkpointed(chosen.select("text_key").distinct())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
-                found = [shingle_set(t, rule.words) for t in batch.column("text").slice(at, 200).to_pylist()]
+                texts = batch.column("text").slice(at, 200).to_pylist()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(map(set_id, found), pa.int64()),
-                        pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64())),
+                        pa.array([set_id(shingle_set(t, rule.words)) for t in texts], pa.int64()),
+                        pa.array(map(packed, texts), pa.binary()),
                     ],
-                    ["sid", "shingles"],
+                    ["sid", "packed"],
                 )
 
     text = F.col("text").cast("string")
     texts = docs.select(text.alias("text"), F.xxhash64(text).alias("text_key"))
-    texts = texts.join(small(chosen), "text_key", "left_semi").select("text")
-    return texts.mapInArrow(rows, "sid bigint, shingles array<bigint>").dropDuplicates(["sid"])
+    texts = texts.where("text is not null").join(small(chosen), "text_key", "left_semi").select("text")
+    return texts.mapInArrow(rows, "sid bigint, packed binary").dropDuplicates(["sid"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose sets link."""
     both = pairs.join(side(sets, "a"), "a").join(side(sets, "b"), "b")
-    common = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    union = F.size("shingles_a") + F.size("shingles_b") - common
-    return both.where(100 * common >= rule.percent * union).select("a", "b")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Neighbouring rows often share a set.
+        last: dict[str, tuple[int, np.ndarray]] = {}
+
+        def held(name: str, sid: int, value: pa.Scalar) -> np.ndarray:
+            if name not in last or last[name][0] != sid:
+                last[name] = sid, unpacked(value.as_py(), rule)
+            return last[name][1]
+
+        for batch in batches:
+            ids = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)
+            keep = []
+            for i, (a, b) in enumerate(ids):
+                one = held("a", a, batch.column("packed_a")[i])
+                two = held("b", b, batch.column("packed_b")[i])
+                common = len(np.intersect1d(one, two, assume_unique=True))
+                if 100 * common >= rule.percent * (len(one) + len(two) - common):
+                    keep.append(i)
+            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+
+    return both.select("a", "b", "packed_a", "packed_b").mapInArrow(rows, "a bigint, b bigint")
 
 
 # ---------------------------------------------------------------- allocation
 
 
+def near_segments(count: int) -> int:
+    """How many of the segments, the first ones, may allow one difference. Only these need one-deletion entries."""
+    return min(count, max(2, count // NEAR))
+
+
 def neighbourhoods(sets: DataFrame, rule: Rule) -> DataFrame:
-    """(sid, band, segment, deleted, key): index entries of whole segments and of segments less one shingle."""
+    """(sid, band, segment, deleted, key): index entries of whole segments and of near segments less one shingle."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for sid, listed in zip(batch.column("sid").to_pylist(), batch.column("shingles"), strict=True):
-                shingles = np.asarray(listed.values).view(np.uint64)
+            for sid, held in zip(batch.column("sid").to_pylist(), batch.column("packed"), strict=True):
+                shingles = unpacked(held.as_py(), rule)
                 for high in rule.bands(len(shingles)):
                     segment, sums = dealt(shingles, high, rule)
                     segment = segment.astype(np.int64)
-                    less = sums[segment] - shingles
-                    segments = np.concatenate([np.arange(len(sums)), segment])
+                    near = segment < near_segments(len(sums))
+                    less = sums[segment[near]] - shingles[near]
+                    segments = np.concatenate([np.arange(len(sums)), segment[near]])
                     keys = segment_keys(np.concatenate([sums, less]), segments, high)
                     n = len(keys)
                     yield pa.RecordBatch.from_arrays(
@@ -308,13 +381,15 @@ def probes(index: DataFrame, sets: DataFrame, probers: DataFrame, rule: Rule) ->
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            listed = zip(*(batch.column(c) for c in ("sid", "shingles", "costs")), strict=True)
+            listed = zip(*(batch.column(c) for c in ("sid", "packed", "costs")), strict=True)
             for sid, held, costs in listed:
-                shingles = np.asarray(held.values).view(np.uint64)
+                shingles = unpacked(held.as_py(), rule)
                 by_band: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
                 for c in costs.as_py():
                     by_band[c["band"]].append((c["segment"], c["whole"], c["whole"] + c["less"]))
                 for high, cost in by_band.items():
+                    reach = near_segments(len(cost))
+                    cost = [(s, equal, near if s < reach else MASK) for s, equal, near in cost]
                     segment, sums = dealt(shingles, high, rule)
                     segment = segment.astype(np.int64)
                     level = np.full(len(sums), -1)
@@ -403,13 +478,14 @@ def linked_sets(spark: SparkSession, docs: DataFrame, narrow: DataFrame, rule: R
     sets = written(spark, sets_of(docs, narrow.select("sid", "text_key"), owner.select("sid"), rule), "crowd_sets")
     index = written(spark, neighbourhoods(sets, rule), "neighbourhoods")
     candidates = probed(index, sets, probers, owner, rule).join(tried, ["a", "b"], "left_anti")
-    return components(links.union(verified(written(spark, candidates, "candidates"), sets, rule)))
+    candidates = plausible(written(spark, candidates, "candidates"), narrow, rule)
+    return components(links.union(written(spark, verified(candidates, sets, rule), "links")))
 
 
 def linking(spark: SparkSession, docs: DataFrame, narrow: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     """Those of the pairs whose sets link, written."""
-    sids = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-    sets = written(spark, sets_of(docs, narrow.select("sid", "text_key"), sids, rule), "sets")
+    pairs = written(spark, plausible(pairs, narrow, rule), "plausible")
+    sets = written(spark, sets_of(docs, narrow.select("sid", "text_key"), ends(pairs), rule), "sets")
     return written(spark, verified(pairs, sets, rule), "links")
 
 

@@ -216,3 +216,20 @@ def test_line_dedup_of_odd_rows(docs, nothing):
     assert (by[1].n_dropped, by[2].n_dropped, by[3].n_dropped) == (0, 0 if by[2].text else 1, 1)
     assert by[4].text is None and by[4].n_lines == 0 and by[6].n_lines == 0
     assert line_dedup.dedup(nothing).collect() == []
+
+
+def test_wide_parities_never_exceed_the_difference():
+    r = np.random.default_rng(5)
+    for _ in range(200):
+        n = int(r.integers(1, 3000))
+        one = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
+        two = np.union1d(one[r.random(len(one)) < 0.9], r.integers(0, 1 << 63, n // 8, dtype=np.uint64))
+        differ = len(np.setxor1d(one, two))
+        found = ngram_join.flips(ngram_join.wide_parities(one), ngram_join.wide_parities(two))
+        assert found <= differ and (differ - found) % 2 == 0
+        assert found > differ / 3
+
+
+def test_a_packed_text_keeps_its_set():
+    text = "Ünï cöde, and some more words; " * 40
+    assert (ngram_join.unpacked(ngram_join.packed(text), ngram_join.Rule(5, 80)) == ngram_join.shingle_set(text, 5)).all()
