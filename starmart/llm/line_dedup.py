@@ -138,7 +138,8 @@ def line_id(line: str = "line") -> Column:
 def entries(lines: DataFrame, edits: int, rest: bool) -> DataFrame:
     """(key, entry[, rest]) of lines (under, id, role, line): entry is 2 * id + role, under the entry it splits.
 
-    ``role`` is null for whole lines, which stand in both roles.
+    ``role`` is null for whole lines, which stand in both roles. Under an entry all indexed lines are of one length, so
+    a line that was indexed there also probes, but for its own length only; a line that probed there only probes.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,12 +151,12 @@ def entries(lines: DataFrame, edits: int, rest: bool) -> DataFrame:
                 for under, i, only, line in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
                     codes = line.encode("utf-32-le", "surrogatepass")
                     for role, length, number, at, size in places_of(len(line), edits):
-                        if only == INDEXED and role == PROBES:
+                        if only == INDEXED and length < len(line):
                             continue
                         key = digest(codes[4 * at : 4 * (at + size)], (under ^ (length << 8) ^ number) & MASK)
                         keys.append(signed(key))
                         # An entry at its segment's own place also probes, so a line that only probes takes it too.
-                        ids.append(2 * i + (role if only is None else only))
+                        ids.append(2 * i + (PROBES if only == PROBES else role))
                         if rest:
                             rests.append(line[:at] + line[at + size :])
                 arrays = [pa.array(keys, pa.int64()), pa.array(ids, pa.int64())]

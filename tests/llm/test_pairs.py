@@ -208,6 +208,19 @@ def test_line_dedup(spark, monkeypatch, many):
     assert {x.doc_id: x.text for x in rows}[103] == "short\nshorts"
 
 
+def test_links_in_hot_entries(spark):
+    """Equal lengths, an insertion and a deletion: the entry of the common tail is split, and no link is lost."""
+    r = random.Random(11)
+    tail = "0123456789 tail 01"
+    lines = [a + tail for a in ("abcdefghi", "bcdefghij", "cdefghijk", "zabcdefgh")]
+    lines += ["".join(r.choice("klmnopqrst") for _ in range(9)) + tail for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    ids = {x.id: x.line for x in line_dedup.lines_of(docs).select(line_dedup.line_id().alias("id"), "line").collect()}
+    got = {frozenset((ids[x.a], ids[x.b])) for x in line_dedup.links(spark, docs, 2, 20).collect()}
+    want = {frozenset((a, b)) for a in lines for b in lines if a < b and edit_distance(a, b) <= 2}
+    assert frozenset(lines[:2]) in want and got == want
+
+
 def test_line_dedup_of_odd_rows(docs, nothing):
     rows = line_dedup.dedup(docs).collect()
     by = {r.doc_id: r for r in rows}
