@@ -206,6 +206,18 @@ def test_toxicity(spark, docs, nothing):
     assert kept.columns == docs.columns and kept.count() == docs.count()
 
 
+def test_toxicity_decides_alike_at_every_sample_ratio(spark):
+    """352 of 3,155 labels learned from are toxic; bounds that even the labels out leave the decision where it was."""
+    texts, labels = (queries.table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    held = toxicity.held_out(F.col("doc_id"))
+    judged = texts.join(labels.where(held), "doc_id").select("doc_id", "text", "toxic")
+    for max_docs, recall, flagged in ((4000, 0.85, 20), (352, 0.75, 40)):
+        model = toxicity.fit(texts, labels.where(~held), max_docs=max_docs)
+        rows = toxicity.score(judged, model).join(judged, "doc_id").select("toxic", "score").collect()
+        assert np.mean([r.score >= 0.5 for r in rows if r.toxic]) >= recall
+        assert sum(r.score >= 0.5 for r in rows if not r.toxic) <= flagged
+
+
 def test_token_counts(spark, docs, nothing):
     path = queries.vocabulary("piece_bpe_32k.model")
     pieces = token_count.vocabulary(path)
