@@ -112,8 +112,8 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_token_count(spark: SparkSession, folder: str) -> DataFrame:
-    """Tokens of every document under a unigram vocabulary."""
-    return token_count.count_tokens(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+    """Tokens of every document under a unigram model of the documents, over the pieces of a public vocabulary."""
+    return token_count.count_unigrams(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 QUERIES: dict[str, Query] = {

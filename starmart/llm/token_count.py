@@ -8,6 +8,10 @@ wins, a later one only if it is better; a character without a piece of its own m
 score of the vocabulary less ten, and counts as its UTF-8 bytes where the vocabulary has byte pieces, else neighbouring
 unknown characters count as one.
 
+``estimated`` gives the pieces of a sentencepiece model unigram scores: the log of the share that a piece has, plus one,
+of all its occurrences and those of the others in the words of the documents. The merge ranks of a BPE model are no such
+scores. Control and byte pieces are no text there; byte pieces only stand for characters without a piece.
+
 A null or empty text has no tokens. Counts do not depend on how texts are batched. Repeated rows are counted one by one;
 other columns are never read; an empty table gives an empty result. The automaton is built once a worker, its size is
 that of the vocabulary; the words a worker remembers are bounded by ``MAX_WORDS``.
@@ -15,7 +19,9 @@ that of the vocabulary; the words a worker remembers are bounded by ``MAX_WORDS`
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections import Counter as Tally
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,10 +36,19 @@ MAX_WORDS = 400_000
 LONG_WORD = 64
 
 
+def words(text: str | None) -> list[str]:
+    """What follows each mark."""
+    if not text:
+        return []
+    found = text.replace(" ", MARK).split(MARK)
+    # What precedes the first mark is a word only if it is not empty: then a mark is put before it.
+    return found if found[0] else found[1:]
+
+
 class Counter:
     """Counts pieces of words under (piece, score) pairs."""
 
-    def __init__(self, vocabulary: list[tuple[str, float]]):
+    def __init__(self, vocabulary: Iterable[tuple[str, float]], by_bytes: bool | None = None):
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
@@ -42,17 +57,15 @@ class Counter:
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         self.unknown = min(score for _, score in vocabulary) - UNKNOWN_PENALTY
-        self.by_bytes = {f"<0x{b:02X}>" for b in range(256)} <= {piece for piece, _ in vocabulary}
+        if by_bytes is None:
+            by_bytes = {f"<0x{b:02X}>" for b in range(256)} <= {piece for piece, _ in vocabulary}
+        self.by_bytes = by_bytes
         #: Characters that are pieces: words of them need no unknown piece.
         self.single = frozenset(piece for piece, _ in vocabulary if len(piece) == 1)
         self.known: dict[str, int] = {}
 
     def count(self, text: str | None) -> int:
-        if not text:
-            return 0
-        first, *rest = text.replace(" ", MARK).split(MARK)
-        # What precedes the first mark is a word only if it is not empty: then a mark is put before it.
-        return sum(map(self.word, rest)) + (self.word(first) if first else 0)
+        return sum(map(self.word, words(text)))
 
     def word(self, word: str) -> int:
         """Pieces of a mark and ``word``."""
@@ -126,12 +139,74 @@ def counter_of(path: str) -> Counter:
     return Counter(vocabulary(path))
 
 
+@lru_cache(maxsize=2)
+def counter_over(scored: tuple[tuple[str, float], ...], by_bytes: bool) -> Counter:
+    return Counter(scored, by_bytes)
+
+
+def text_pieces(path: str) -> tuple[list[str], bool]:
+    """Pieces of a sentencepiece model that stand for text, and whether it has byte pieces."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    ids = range(model.get_piece_size())
+    other = lambda i: model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)
+    return [model.id_to_piece(i) for i in ids if not other(i)], any(map(model.is_byte, ids))
+
+
+def estimated(docs: DataFrame, model_path: str) -> tuple[tuple[tuple[str, float], ...], bool]:
+    """((piece, score), ...) from the occurrences of the model's pieces in all of ``docs``, and whether it has bytes."""
+    pieces, by_bytes = text_pieces(model_path)
+
+    def occurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for i, piece in enumerate(pieces):
+            automaton.add_word(piece, i)
+        automaton.make_automaton()
+        totals, seen = [0] * len(pieces), Tally()
+
+        def add() -> None:
+            for word, n in seen.items():
+                for _, i in automaton.iter(MARK + word):
+                    totals[i] += n
+            seen.clear()
+
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                seen.update(words(text))
+                if len(seen) > MAX_WORDS:
+                    add()
+        add()
+        found = [i for i, n in enumerate(totals) if n]
+        counts = pa.array([totals[i] for i in found], pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), counts], ["i", "n"])
+
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    # A row for each piece of the model at most.
+    counted = texts.mapInArrow(occurring, "i int, n bigint").groupBy("i").agg(F.sum("n").alias("n")).collect()
+    counts = {r["i"]: r["n"] for r in counted}
+    total = sum(counts.values()) + len(pieces)
+    return tuple((p, math.log((counts.get(i, 0) + 1) / total)) for i, p in enumerate(pieces)), by_bytes
+
+
+def count_unigrams(docs: DataFrame, model_path: str) -> DataFrame:
+    """``count_tokens`` under the model's pieces with scores estimated from ``docs``."""
+    scored, by_bytes = estimated(docs, model_path)
+    return counted_by(docs, lambda: counter_over(scored, by_bytes))
+
+
 def count_tokens(docs: DataFrame, model_path: str) -> DataFrame:
-    """doc_id, n_tokens, n_chars (code points) of every row."""
+    """doc_id, n_tokens, n_chars (code points) of every row, under the model's own scores."""
+    return counted_by(docs, lambda: counter_of(model_path))
+
+
+def counted_by(docs: DataFrame, make: Callable[[], Counter]) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = counter_of(model_path)
+        counter = make()
         for batch in batches:
             counts = np.fromiter(map(counter.count, batch.column("text").to_pylist()), np.int64, batch.num_rows)
             yield pa.RecordBatch.from_arrays(

@@ -234,6 +234,31 @@ def test_token_counts(spark, docs, nothing):
     assert token_count.count_tokens(nothing, path).collect() == []
 
 
+def test_unigram_scores_come_from_counts(spark, docs, nothing):
+    path = queries.vocabulary("piece_bpe_32k.model")
+    texts = queries.table(spark, SMALL, "documents").limit(60)
+    known = [r.text for r in texts.collect()]
+    scored, by_bytes = token_count.estimated(texts, path)
+    assert by_bytes and not {"<s>", "</s>", "<unk>", "<0x41>"} & {p for p, _ in scored}
+    marked = ["▁" + w for t in known for w in token_count.words(t)]
+    total = sum(np.exp(s) for _, s in scored)
+    assert abs(total - 1) < 1e-9
+    of = dict(scored)
+    occurs = lambda p: sum(w.startswith(p, k) for w in marked for k in range(len(w)))
+    assert np.isclose(of["▁the"] - of["ing"], np.log(occurs("▁the") + 1) - np.log(occurs("ing") + 1))
+    whole = Tokenizer(models.Unigram([("<unk>", min(of.values())), *scored], 0, False))
+    whole.pre_tokenizer = pre_tokenizers.Metaspace()
+    plain = [t for t in known if t and set(t) <= {" ", *(p for p in of if len(p) == 1)}]
+    want = {t: len(whole.encode(t, add_special_tokens=False).ids) for t in plain}
+    assert len(plain) > 5 and [token_count.Counter(scored, by_bytes).count(t) for t in want] == list(want.values())
+    counter = token_count.Counter(scored, by_bytes)
+    assert counter.count("<s>") > 1 and counter.count("<0x41>") > 1 and counter.count("\U0001f9ff") >= 4
+    found = {r.doc_id: r.n_tokens for r in queries.op10_token_count(spark, SMALL).collect()}
+    assert sum(found.values()) != sum(r.n_tokens for r in token_count.count_tokens(queries.table(spark, SMALL, "documents"), path).collect())
+    assert token_count.count_unigrams(nothing, path).collect() == []
+    assert {r.n_tokens for r in token_count.count_unigrams(docs, path).collect() if r.doc_id in (4, 5)} == {0}
+
+
 def brute_scan(text, templates, least):
     best = {}
     for start, end in license_scan.passages(text or ""):
