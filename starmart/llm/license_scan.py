@@ -1,13 +1,18 @@
 """Licence scan: passages compared with licence templates by the Dice coefficient over word bigrams.
 
 Text and templates are normalised alike: A-Z lowered, words are runs of ASCII letters and digits, with version numbers
-such as 2.0 kept whole. Passages are the whole text, its blocks (between blank lines), its lines and its sentences. A passage
+such as 2.0 kept whole. Passages are the whole text, its blocks (between blank lines), its lines and its sentences, and
+runs of neighbouring sentences, over the ends of lines and blocks, that begin and end with one that shares a bigram with
+the template: leaving out one at the end that shares none cannot lower the coefficient. A passage
 whose distinct bigrams A and a template's bigrams B reach 2 |A & B| / (|A| + |B|) >= least_dice matches the template.
 
 Since |A & B| <= min(|A|, |B|), only templates with least / (2 - least) * |A| <= |B| <= (2 - least) / least * |A| can
 match; a table from bigram to templates then leaves those that share a bigram at all. Templates are a list that the
 caller passes; they travel with the function.
 
+A run counts only if it matches better than every other passage it overlaps, and at least as well as the runs of other
+licences it overlaps; a passage inside a run that matches another licence better does not count.
+
 A null or empty text, or one with fewer than two words in every passage, has no match. A passage counts
 for the template it matches best; of several passages for a licence the best is reported, then the first, then the
 longest. Repeated rows are scanned one by one; other columns
@@ -17,6 +22,7 @@ are never read; an empty table gives an empty result. Nothing shuffles.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -43,7 +49,7 @@ class Scanner:
     def __init__(self, templates: list[tuple[str, str]], least_dice: float = LEAST_DICE):
         self.least = least_dice
         self.names = [name for name, _ in templates]
-        grams = [bigrams(text) for _, text in templates]
+        self.grams = grams = [bigrams(text) for _, text in templates]
         self.sizes = [len(g) for g in grams]
         holders: dict[Gram, list[int]] = defaultdict(list)
         for t, own in enumerate(grams):
@@ -80,19 +86,84 @@ class Scanner:
     def scan(self, text: str | None) -> list[dict]:
         """The best match of each licence: license, dice, start, end (code points), by license."""
         # No passage shares more with a template than the text does, and a match shares least / (2 - least) of it.
-        if not text or not any(n >= self.ratio * self.sizes[t] for t, n in self.shared(bigrams(text)).items()):
+        if not text:
             return []
-        found: dict[str, tuple] = {}
+        near = [t for t, n in self.shared(bigrams(text)).items() if n >= self.ratio * self.sizes[t]]
+        if not near:
+            return []
+        single = []
         for start, end in passages(text):
             if match := self.best(text[start:end]):
-                name, rank = self.names[match[1]], (-match[0], start, -end)
-                if name not in found or rank < found[name]:
-                    found[name] = rank
+                single.append((-match[0], start, -end, self.names[match[1]]))
+        runs: list[tuple] = []
+        for run in sorted(self.runs(text, near, single)):
+            if not any(r[0] < run[0] and r[3] != run[3] and overlap(r, run) for r in runs):
+                runs.append(run)
+        single = [m for m in single if not any(r[0] < m[0] and r[3] != m[3] and inside(m, r) for r in runs)]
+        found: dict[str, tuple] = {}
+        for *rank, name in sorted(single + runs):
+            found.setdefault(name, tuple(rank))
         return [
             {"license": name, "dice": -dice, "start": start, "end": -end}
             for name, (dice, start, end) in sorted(found.items())
         ]
 
+    def runs(self, text: str, near: list[int], single: list[tuple]) -> Iterator[tuple[float, int, int, str]]:
+        """(-dice, start, -end, licence) of the best run of two sentences or more from each first one, by template."""
+        units, own, links, last = [], [], [], None
+        for start, end in sentences(text):
+            words = WORD.findall(text[start:end].encode("utf-8", "surrogatepass").lower())
+            if words:
+                units.append((start, end))
+                own.append(list(zip(words, words[1:], strict=False)))
+                links.append((last, words[0]))
+                last = words[-1]
+        # The best match of another passage over each sentence; passages are nested at most four deep.
+        reached, starts = [0.0] * len(units), [start for start, _ in units]
+        for dice, start, end, _ in single:
+            for u in range(bisect_left(starts, start), bisect_left(starts, -end)):
+                reached[u] = max(reached[u], -dice)
+        for t in near:
+            wanted, most = self.grams[t], self.sizes[t] / self.ratio
+            shares = [not wanted.isdisjoint(grams) for grams in own]
+            linked = [link in wanted for link in links] + [False]
+            for i in range(len(units) - 1):
+                if not (shares[i] or linked[i + 1]):
+                    continue
+                held, best, least = set(own[i]), None, reached[i]
+                common = len(held & wanted)
+                for j in range(i + 1, len(units)):
+                    for gram in (links[j], *own[j]):
+                        if gram not in held:
+                            held.add(gram)
+                            common += gram in wanted
+                    if len(held) > most:
+                        break
+                    least = max(least, reached[j])
+                    if least == 1:
+                        break
+                    size = len(held) + self.sizes[t]
+                    if 2 * common >= self.least * size and 2 * common > least * size and (shares[j] or linked[j]):
+                        rank = -2 * common / size, units[i][0], -units[j][1], self.names[t]
+                        best = min(best or rank, rank)
+                if best:
+                    yield best
+
+
+def overlap(a: tuple, b: tuple) -> bool:
+    """Whether passages (-dice, start, -end, licence) share a place."""
+    return a[1] < -b[2] and b[1] < -a[2]
+
+
+def inside(a: tuple, b: tuple) -> bool:
+    return b[1] <= a[1] and -a[2] <= -b[2]
+
+
+def sentences(text: str) -> Iterator[tuple[int, int]]:
+    for block in cut(BLOCK, text, 0, len(text)):
+        for line in cut(NEWLINE, text, *block):
+            yield from cut(SENTENCE, text, *line)
+
 
 def passages(text: str) -> Iterator[tuple[int, int]]:
     """Places of the whole text, its blocks, lines and sentences; none twice in a row."""

@@ -288,6 +288,27 @@ def test_license_scan(spark, docs, nothing):
     assert license_scan.scan(nothing).collect() == []
 
 
+def test_licences_in_paragraphs_of_longer_documents():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    prose = "Some other words of a long report stand here and go on. " * 60
+    by = dict(license_scan.TEMPLATES[-3:])
+    apache = license_scan.TEMPLATES[4][1]
+    cuts = {
+        "MIT": (by["MIT"], ["The above copyright", "THE SOFTWARE IS"]),
+        "ISC": (by["ISC"], ["THE SOFTWARE IS"]),
+        "0BSD": (by["0BSD"], ["THE SOFTWARE IS"]),
+        "Apache-2.0": (apache, ["You may obtain", "http://www", "Unless required"]),
+    }
+    for name, (wording, starts) in cuts.items():
+        for first in starts:
+            assert wording.count(" " + first) == 1
+            wording = wording.replace(" " + first, "\n\n" + first)
+        for text in (prose + "\n\n" + wording + "\n\n" + prose, prose + "\n" + wording.replace(". ", ".\n") + "\n" + prose):
+            found = {m["license"]: m for m in scanner.scan(text)}
+            assert set(found) == {name}, (name, found)
+            assert found[name]["dice"] > 0.99 and text[found[name]["start"] :].startswith(wording[:20])
+
+
 def test_crc_of_ids(spark):
     rows = queries.digests(packing.pack(spark.createDataFrame([(1, "a")], "doc_id long, text string"), queries.vocabulary("word_bpe_49k.json")))
     r = rows.first()
