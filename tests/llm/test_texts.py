@@ -309,6 +309,15 @@ def test_licences_in_paragraphs_of_longer_documents():
             assert found[name]["dice"] > 0.99 and text[found[name]["start"] :].startswith(wording[:20])
 
 
+@pytest.mark.parametrize("name", ["BSD-2-Clause", "BSD-3-Clause"])
+def test_bsd_texts_are_told_apart(name):
+    (wording,) = [t for n, t in license_scan.TEMPLATES if n == name and len(t) > 500]
+    for first in ("1. Redis", "2. Redis", "3. Neither", "THIS SOFTWARE IS PROVIDED"):
+        wording = wording.replace(" " + first, "\n\n" + first)
+    text = "A report of many words goes first. " * 60 + "\n\n" + wording + "\n\nMore words follow."
+    assert {m["license"] for m in license_scan.Scanner(license_scan.TEMPLATES).scan(text)} == {name}
+
+
 def test_crc_of_ids(spark):
     rows = queries.digests(packing.pack(spark.createDataFrame([(1, "a")], "doc_id long, text string"), queries.vocabulary("word_bpe_49k.json")))
     r = rows.first()
