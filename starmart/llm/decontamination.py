@@ -12,8 +12,9 @@ as a whole by a second hash. Neighbouring windows with the same fingerprint trav
 each length that occurs.
 
 A null text has no words and is never contaminated; an empty benchmark contaminates nothing; items without words match
-nothing. Repeated document rows are judged one by one, repeated items count once. Null item ids are not reported. Only
-DataFrame functions run here.
+nothing. Repeated document rows are judged one by one, repeated items count once. Passages of items
+without an id count like all others; these items are one in ``n_items`` and are not named. Only DataFrame functions run
+here.
 """
 
 from __future__ import annotations
@@ -142,12 +143,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     prints = known.select("_len", "_fp", F.lit(True).alias("_known")).distinct()
     rows = rows.join(small(prints), ["_len", "_fp"], "left").where("_known or _start < 0")
     rows = rows.select("doc_id", "_row", "_n", "_len", "_start", F.posexplode_outer("_windows").alias("_at", "_window"))
-    windows = known.select("_len", "_window", "_item").distinct()
-    rows = rows.join(small(windows), ["_len", "_window"], "left").where("_item is not null or _start < 0")
+    windows = known.select("_len", "_window", "_item", F.lit(True).alias("_hit")).distinct()
+    rows = rows.join(small(windows), ["_len", "_window"], "left").where("_hit or _start < 0")
     start = F.col("_start") + F.col("_at")
     found = F.when(F.col("_start") >= 0, F.struct(start.alias("start"), (start + F.col("_len")).alias("end")))
     rows = rows.groupBy("_row", "doc_id", F.col("_n").cast("bigint").alias("n_words")).agg(
-        F.sort_array(F.collect_set(found)).alias("hits"), F.sort_array(F.collect_set("_item")).alias("items")
+        F.sort_array(F.collect_set(found)).alias("hits"),
+        F.sort_array(F.collect_set("_item")).alias("items"),
+        F.max(F.expr("cast(_hit and _item is null as int)")).alias("_unnamed"),
     )
     covered = F.aggregate(
         "hits",
@@ -158,7 +161,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
         ),
         lambda acc: acc["sum"].cast("bigint"),
     )
-    rows = rows.drop("_row").withColumn("n_hit", covered).withColumn("n_items", F.size("items").cast("bigint"))
+    n_items = (F.size("items") + F.coalesce("_unnamed", F.lit(0))).cast("bigint")
+    rows = rows.withColumn("n_hit", covered).withColumn("n_items", n_items).drop("_row", "_unnamed")
     return rows.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 

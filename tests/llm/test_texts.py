@@ -105,6 +105,18 @@ def test_contamination(spark, docs, nothing):
     assert decontamination.contamination(nothing, benchmark).collect() == []
 
 
+def test_passages_of_items_without_an_id_count(spark):
+    items = [(None, "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"), (3, "short item")]
+    texts = [(1, f"a b {items[0][1]} c"), (2, "short item"), (3, "other words"), (4, f"short item {items[0][1]}")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.contamination(docs, benchmark).collect()
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, r.contaminated) for r in found), key=str)
+    assert got == brute_contamination(texts, items, 13)
+    assert {r.doc_id: r["items"] for r in found} == {1: [], 2: [3], 3: [], 4: [3]}
+    assert [r.doc_id for r in decontamination.clean(docs, benchmark).collect()] == [3]
+
+
 def test_winnowing_keeps_a_print_in_each_window(spark):
     r = np.random.default_rng(1)
     text = " ".join(f"w{x}" for x in r.integers(0, 40, 300))
