@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm import (
+    bpe,
     decontamination,
     exact_dedup,
     language_id,
@@ -116,6 +117,18 @@ def op10_token_count(spark: SparkSession, folder: str) -> DataFrame:
     return token_count.count_unigrams(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Byte-level BPE ids of every document, and the text they decode to."""
+    path = vocabulary("byte_bpe_50k.json")
+    found = bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -129,6 +142,7 @@ QUERIES: dict[str, Query] = {
         op8_warc,
         op9_toxicity,
         op10_token_count,
+        op12_bpe,
     )
 }
 
