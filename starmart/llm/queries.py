@@ -16,6 +16,7 @@ from starmart.llm import (
     line_dedup,
     ngram_join,
     packing,
+    prefix_trie,
     token_count,
     toxicity,
     warc,
@@ -129,6 +130,14 @@ def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every distinct beginning of the rebuilt conversations."""
+    rebuilt = prefix_trie.paths(
+        table(spark, folder, "conversations"), lambda c: f"{c} - {c} % 5", prefix_trie.borrowed
+    )
+    return prefix_trie.trie(rebuilt)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -143,6 +152,7 @@ QUERIES: dict[str, Query] = {
         op9_toxicity,
         op10_token_count,
         op12_bpe,
+        op13_prefix_trie,
     )
 }
 
@@ -192,4 +202,39 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
     """,
+    "op13_prefix_trie": r"""
+        WITH crc AS (
+            SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+                   lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS codes
+        ), own AS (
+            SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ), heads AS (
+            SELECT conv_id, turns, CAST(xor(4294967295, list_reduce(
+                   [4294967295] || list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i, 1))),
+                   lambda a, b: xor(a // 256, codes[xor(a % 256, b) + 1]))) % 9 AS BIGINT) AS h
+            FROM own, crc
+        ), rebuilt AS (
+            SELECT a.conv_id, list_concat(coalesce(b.turns, [])[1 : h], a.turns[h + 1 :]) AS turns
+            FROM heads a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5
+        ), prefixes AS (
+            SELECT conv_id, d, turns[1 : d] AS key, d = len(turns) AS ends
+            FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+        ), nodes AS (
+            SELECT key, d, min(conv_id) AS conv_id, count(*) AS n,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+            FROM prefixes GROUP BY key, d
+        ), children AS (SELECT key[1 : d - 1] AS key, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+        counted AS (
+            SELECT nodes.*, coalesce(children.n, 0) AS n_children,
+                   CASE WHEN d > 0 THEN (nodes.n - 1) * octet_length(encode(nodes.key[d].text)) ELSE 0 END AS saved
+            FROM nodes LEFT JOIN children USING (key)
+        ), sums AS (
+            SELECT key[1 : top] AS key, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+            FROM (SELECT key, n_children, saved, unnest(range(0, d + 1)) AS top FROM counted) GROUP BY 1
+        )
+        SELECT c.conv_id, c.d AS depth, p.conv_id AS parent_conv_id, c.n AS n_convs, c.n_children, s.n_leaves,
+               s.saved_tokens::BIGINT AS saved_tokens, c.ends_sha256
+        FROM counted c JOIN sums s USING (key) LEFT JOIN nodes p ON c.d > 0 AND p.key = c.key[1 : c.d - 1]
+    """,
 }
