@@ -17,6 +17,7 @@ from starmart.llm import (
     ngram_join,
     packing,
     prefix_trie,
+    spelling,
     token_count,
     toxicity,
     warc,
@@ -118,6 +119,11 @@ def op10_token_count(spark: SparkSession, folder: str) -> DataFrame:
     return token_count.count_unigrams(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Frequent words one edit apart, under the most frequent form."""
+    return spelling.group(table(spark, folder, "documents"), spelling.misspelled)
+
+
 def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Byte-level BPE ids of every document, and the text they decode to."""
     path = vocabulary("byte_bpe_50k.json")
@@ -151,6 +157,7 @@ QUERIES: dict[str, Query] = {
         op8_warc,
         op9_toxicity,
         op10_token_count,
+        op11_spelling,
         op12_bpe,
         op13_prefix_trie,
     )
@@ -202,6 +209,46 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
     """,
+    "op11_spelling": r"""
+        WITH RECURSIVE crc AS (
+            SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+                   lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS codes
+        ), runs AS (
+            SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+        ), counted AS (
+            SELECT run, count(*) AS n, coalesce(doc_id::VARCHAR, '') || ':' || run AS named
+            FROM runs WHERE length(run) >= 6 GROUP BY doc_id, run
+        ), hashed AS (
+            SELECT run, n, xor(4294967295, list_reduce([4294967295] || flatten(list_transform(range(1, length(named) + 1),
+                   lambda i: CASE WHEN unicode(substr(named, i, 1)) < 128 THEN [unicode(substr(named, i, 1))]
+                             ELSE [195, unicode(substr(named, i, 1)) - 64] END)),
+                   lambda a, b: xor(a // 256, codes[xor(a % 256, b) + 1]))) AS h
+            FROM counted, crc
+        ), words AS (
+            SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+                   sum(n)::BIGINT AS n
+            FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5
+        ), less AS (
+            SELECT DISTINCT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+            FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)
+        ), near AS (
+            SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM less a JOIN less b USING (i, rest) WHERE a.word <> b.word
+            UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+            UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+        ), best AS (
+            SELECT word, n, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n
+            FROM near GROUP BY word, n
+        ), forms AS (
+            SELECT word, n_near, CASE WHEN other_n >= 5 * n THEN other END AS form, CASE WHEN other_n >= 5 * n THEN other_n END AS form_n
+            FROM best
+        ), chains AS (
+            SELECT word, form AS top, 1 AS steps FROM forms WHERE form IS NOT NULL
+            UNION ALL SELECT c.word, f.form, c.steps + 1 FROM chains c JOIN forms f ON f.word = c.top WHERE f.form IS NOT NULL
+        ), roots AS (SELECT word, max_by(top, steps) AS root FROM chains GROUP BY word)
+        SELECT word, form, coalesce(root, word) AS root, n, coalesce(n_near, 0) AS n_near, form_n
+        FROM words LEFT JOIN forms USING (word) LEFT JOIN roots USING (word)
+    """,
     "op13_prefix_trie": r"""
         WITH crc AS (
             SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
