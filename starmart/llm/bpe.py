@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 
 from starmart.llm.packing import SPELLING
 
-MAX_WORDS = 600_000
+MAX_WORDS = 400_000
 #: Longer words, in bytes, are merged from a heap and not remembered.
 LONG_WORD = 128
 #: Ids that leave a task together.
-GROUP_IDS = 1 << 20
+GROUP_IDS = 1 << 18
 NONE = 1 << 62
 BYTES = {chr(SPELLING.get(b, b)): b for b in range(256)}
 
@@ -103,7 +103,7 @@ class Vocabulary:
             offer(before[at])
         return [p for p in parts if p >= 0]
 
-    def decoded(self, ids: list[int | None]) -> str:
+    def decoded(self, ids: list[int]) -> str:
         spelled = self.spelled
         return b"".join([spelled[i] for i in ids if i in spelled]).decode("utf-8", "replace")
 
@@ -240,9 +240,9 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
         for batch in batches:
             lists = batch.column("ids")
             ends = np.cumsum([0, *lists.value_lengths().fill_null(0).to_pylist()])
-            ids = lists.flatten()
-            ids = ids.to_pylist() if ids.null_count else ids.to_numpy().tolist()
-            texts = [vocabulary.decoded(ids[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            # A null id becomes one that no token has. Ids become Python numbers text by text.
+            ids = lists.flatten().fill_null(-1).to_numpy()
+            texts = [vocabulary.decoded(ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
             arrays = [batch.column("doc_id"), lists, pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "ids", "text"])
 
