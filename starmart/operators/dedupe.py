@@ -4,28 +4,59 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmart.session import checkpointed
+
 COPIES = "_copies"
+#: The marks of repeated keys take at most so many bits (32 MB), and this many a key as long as they do.
+MOST_BITS, BITS_A_KEY = 1 << 28, 32
+#: Bits in each of Spark's bitmaps.
+BITMAP = 1 << 15
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], ordinal: str | Sequence[str]) -> DataFrame:
     """One row per key, the one with the smallest ordinal, plus ``_copies``.
 
-    Written as an aggregate, not a window: every map task reduces a key to one
-    row before the shuffle, so a key holding a third of the table costs one row
-    per task instead of one giant sort. ``sum(_copies)`` is the raw row count,
-    so no separate count of the input is needed.
+    The first pass reads the keys alone and counts them. Keys that occur more
+    than once are marked in bitmaps of bounded size. The second pass lets every
+    row through whose mark is not set; only the others are ordered, and each
+    task keeps the first of its rows of a key before they shuffle, so a key that
+    holds a third of the table is one row per task. A unique key with another
+    one's mark is ordered for nothing. ``sum(_copies)`` is the raw row count.
+    Null keys are equal to each other; of equal ordinals any row is kept.
     """
     order = [ordinal] if isinstance(ordinal, str) else list(ordinal)
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), F.struct(*order))
-    return (
-        df.groupBy(*keys)
-        .agg(first.alias("_first"), F.count(F.lit(1)).alias(COPIES))
-        .select(*[c if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns], COPIES)
-    )
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES)).where(F.col(COPIES) > 1)
+    counts = checkpointed(counts)
+    repeated = counts.count()
+    single = F.lit(1).cast("bigint").alias(COPIES)
+    if not repeated:
+        return df.select("*", single)
+    bits = BITMAP
+    while bits < min(MOST_BITS, BITS_A_KEY * repeated):
+        bits *= 2
+    marks = F.broadcast(checkpointed(marked(counts, keys, bits)))  # at most MOST_BITS
+    place = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    at = place.bitwiseAND(BITMAP - 1)
+    byte = F.conv(F.hex(F.substring("_bits", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    isset = F.col("_bits").isNotNull() & (F.expr("shiftright(_byte, cast(_at & 7 as int)) & 1") == 1)
+    rows = df.withColumn("_at", at).join(marks, F.shiftright(place, 15) == F.col("_bucket"), "left")
+    rows = rows.withColumn("_byte", byte).withColumn("_marked", F.coalesce(isset, F.lit(False)))
+    passed = rows.where(~F.col("_marked")).select(*df.columns, single)
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    ordered = rows.where("_marked").select(*df.columns).withColumn("_place", first).where("_place = 1")
+    named = counts.select(*[F.col(c).alias(f"_k_{c}") for c in keys], COPIES)
+    kept = ordered.join(named, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys], "left")
+    return passed.unionByName(kept.select(*df.columns, F.coalesce(COPIES, F.lit(1)).cast("bigint").alias(COPIES)))
+
+
+def marked(keys_frame: DataFrame, keys: Sequence[str], bits: int) -> DataFrame:
+    """(_bucket, _bits): bitmaps with a bit set for the hash of every key."""
+    place = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    at = place.bitwiseAND(BITMAP - 1)
+    return keys_frame.groupBy(F.shiftright(place, 15).alias("_bucket")).agg(F.bitmap_construct_agg(at).alias("_bits"))
 
 
 def removed_count(deduped: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Exact grouped median without gathering a group in one task."""
+"""Exact grouped median by selecting order statistics over range partitions."""
 
 from __future__ import annotations
 
@@ -7,41 +7,51 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# The sketch places a quantile within 1/ACCURACY of the rows, far inside the margin around the middle.
-ACCURACY = 10_000
-MARGIN = 0.005
+from starmart.session import checkpointed
 
 
-def group_median(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
+def group_median(df: DataFrame, by: Sequence[str], value: str, name: str, parts: int | None = None) -> DataFrame:
     """(by..., name): exact median of the non-null values, the mean of the two middle ones if even.
 
-    A mergeable sketch brackets the middle of each group. Values outside the
-    bracket are only counted; the about one percent inside are ranked. So the
-    final window never holds a group, and the sketch decides how much work is
-    left, not what the result is.
+    Equal values of a group are folded into counts before anything moves. The
+    counts are sorted over range partitions, so a hot group spans as many of
+    them as its values need. One row per partition and group tells how many
+    values come before; that names the partition, two at most, of a group's
+    middle ranks, and only its rows are ranked. The checkpoint fixes the ranges,
+    so places and counts agree even if a task is run again.
     """
-    present = df.where(F.col(value).isNotNull())
-    ends = F.percentile_approx(value, [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY)
-    brackets = present.groupBy(*[F.col(c).alias(f"_k_{c}") for c in by]).agg(ends.alias("_ends"))
-    counts = present.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    low, high = F.col("_ends")[0], F.col("_ends")[1]
-    side = F.when(F.col(value) < low, -1).when(F.col(value) > high, 1).otherwise(0)
-    inside = F.when(side == 0, F.col(value).cast("double"))
-    folded = (
-        counts.join(brackets, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by])
-        .groupBy(*by, side.alias("_side"), inside.alias("_value"))
-        .agg(F.sum("_n").alias("_n"))
-    )
-    group = Window.partitionBy(*by)
-    upto = group.orderBy("_side", "_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.col("_total")
-    lower, upper = F.floor((total + 1) / 2), F.floor((total + 2) / 2)
-    first = F.col("_last") - F.col("_n") + 1
-    hits = lower.between(first, F.col("_last")).cast("int") + upper.between(first, F.col("_last")).cast("int")
-    placed = (
-        folded.withColumn("_last", F.sum("_n").over(upto))
-        .withColumn("_total", F.sum("_n").over(group))
-        .withColumn("_hits", hits)
-        .where("_hits > 0")
+    middle = middle_rows(df, by, value, parts)
+    upto = Window.partitionBy("_part", *by).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.col("_before") + F.sum("_n").over(upto)
+    first = last - F.col("_n") + 1
+    hits = F.col("_lower").between(first, last).cast("int") + F.col("_upper").between(first, last).cast("int")
+    placed = middle.withColumn("_hits", hits).where("_hits > 0")
+    return placed.groupBy(*by).agg((F.sum(F.col(value).cast("double") * F.col("_hits")) / 2).alias(name))
+
+
+def middle_rows(df: DataFrame, by: Sequence[str], value: str, parts: int | None = None) -> DataFrame:
+    """Folded values in the partitions that hold a group's middle ranks.
+
+    ``_n`` is how often the value occurs, ``_before`` how many values of the group lie in earlier partitions;
+    ``_lower`` and ``_upper`` are the group's middle ranks.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c).asc_nulls_first() for c in by]
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = counts.repartitionByRange(parts, *keys, F.col(value))
+    placed = checkpointed(ranged.withColumn("_part", F.spark_partition_id()))
+    runs = placed.groupBy(F.col("_part").alias("_p"), *[F.col(c).alias(f"_k_{c}") for c in by]).agg(F.sum("_n").alias("_run"))
+    # A group has one row for each partition that it spans.
+    group = Window.partitionBy(*[f"_k_{c}" for c in by])
+    earlier = group.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("_run").over(group)
+    runs = runs.select(
+        "*",
+        F.coalesce(F.sum("_run").over(earlier), F.lit(0)).alias("_before"),
+        F.floor((total + 1) / 2).alias("_lower"),
+        F.floor((total + 2) / 2).alias("_upper"),
     )
-    return placed.groupBy(*by).agg((F.sum(F.col("_value") * F.col("_hits")) / 2).alias(name))
+    begins, ends = F.col("_before") + 1, F.col("_before") + F.col("_run")
+    runs = runs.where(F.col("_lower").between(begins, ends) | F.col("_upper").between(begins, ends))
+    match = [F.col("_part") == F.col("_p"), *[F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]]
+    return placed.join(runs, match).select(*by, value, "_n", "_part", "_before", "_lower", "_upper")

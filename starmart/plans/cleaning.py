@@ -2,8 +2,8 @@
 
 Each function takes the raw frame (and cleaned parents) and returns a
 ``Cleaned``. Only duplicates are dropped; every other problem is flagged,
-counted and passed through. Raw frames carry an ingest ordinal, so keeping the
-first duplicate does not depend on task order.
+counted and passed through. Raw frames carry an ingest ordinal in the order of
+files and lines, so keeping the first duplicate does not depend on tasks.
 """
 
 from __future__ import annotations

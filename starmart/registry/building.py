@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from starmart.functions import calendar, dates
 from starmart.functions.numbers import MONEY, count_rows, money
+from starmart.operators import ranking
 from starmart.plans import reports, validation, warehouse
 from starmart.registry import messy, query
 from starmart.registry.cleansing import CLEANERS, SQL
-from starmart.registry.rules import variant
+from starmart.registry.rules import variant, variant_sql
 from starmart.registry.sql import over, season, ymd
 from starmart.schemas import CHANNELS, CLEAN, DATE_YEAR, EQUIPMENT, STAR
 from starmart.session import shared_path
@@ -429,25 +430,32 @@ def b15(spark, sf):
 
 @query(
     "s01_scan_raw_csv",
-    """SELECT booking_id, event_id AS ord, CASE user_id % 4 WHEN 0 THEN 'gbp' WHEN 1 THEN ' GBP' WHEN 2 THEN ' gbp ' ELSE 'usd' END AS currency_raw
-    FROM (SELECT *, event_id // 2 AS booking_id FROM events)""",
+    f"""SELECT event_id // 2 AS payment_id, event_id // 2 AS booking_id, 'pi_' || event_id AS stripe_payment_intent_id, 'cs_' || event_id AS stripe_checkout_session_id,
+    CAST(NULL AS VARCHAR) AS stripe_refund_id, {variant_sql("user_id", "'£' || CAST(value AS DECIMAL(18,2))", "CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR)", "'0'")} AS amount_raw,
+    {variant_sql("user_id", "'gbp'", "' GBP'", "' gbp '", "'usd'")} AS currency_raw,
+    {messy.spelled_sql("user_id", "CASE event_type WHEN 'purchase' THEN 'paid' WHEN 'error' THEN 'failed' ELSE 'lost' END")} AS status_raw,
+    {variant_sql("user_id", "strftime(ts, '%Y-%m-%d %H:%M:%S')", "'unpaid'")} AS paid_at, CAST(NULL AS VARCHAR) AS refunded_at,
+    row_number() OVER (ORDER BY event_id) AS line FROM events""",
 )
 def s01(spark, sf):
+    """Files that double in length, scanned with the line number over all of them."""
     folder = shared_path(spark, "raw")
-    raw = messy.payments(spark, sf).withColumn("stripe_refund_id", F.col(messy.ORDINAL).cast("string")).drop(messy.ORDINAL)
-    files.write_csv(raw, f"{folder}/payments_raw.csv")
+    raw, at = messy.payments(spark, sf), F.col(messy.ORDINAL)
+    dealt = raw.repartitionByRange(8, F.floor(F.log2(at + 1))).sortWithinPartitions(at).drop(messy.ORDINAL)
+    files.write_csv(dealt, f"{folder}/payments_raw.csv")
     scanned = files.read_raw(spark, folder, "payments")
-    return scanned.select("booking_id", F.col("stripe_refund_id").cast("bigint").alias("ord"), "currency_raw")
+    return ranking.numbered(scanned, "line", [F.col(messy.ORDINAL)]).drop(messy.ORDINAL)
 
 
 @query(
     "s02_scan_clean_csv",
-    """SELECT o_orderkey AS tour_id, o_orderdate::DATE AS date, CAST(o_totalprice AS DOUBLE) AS price_pp, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS guide_id FROM orders""",
+    f"""SELECT o_orderkey AS tour_id, o_custkey AS route_id, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS guide_id, o_orderdate::DATE AS date,
+    {season("o_orderdate")} AS season, '07:30' AS start_time, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS price_pp, 3 AS max_group_size, 'open' AS status FROM orders""",
 )
 def s02(spark, sf):
     path = shared_path(spark, "clean-csv")
     files.write_csv(tours(spark, sf), path)
-    return files.read_clean_csv(spark, path, "ScheduledTour").select("tour_id", "date", "price_pp", "guide_id")
+    return files.read_clean_csv(spark, path, "ScheduledTour")
 
 
 @query(

@@ -10,13 +10,19 @@ from starmart.schemas import CLEAN, DATE_YEAR, PARTITION_DATE, RAW, STAR, Contra
 
 
 def read_raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A headered raw CSV with an explicit schema and an ingest ordinal.
+    """A headered raw CSV, one file or a folder of them, with an explicit schema and an ingest ordinal.
 
-    The ordinal is assigned in the scan, before any shuffle, so it follows file
-    and line order.
+    Spark deals large files out in splits and packs small ones together, largest
+    first, so a task's number says nothing about the order of files. The ordinal
+    is (file, start of the split, place among the task's rows): files by name,
+    rows of a file from its first line to its last, whatever the tasks were.
     """
     df = spark.read.csv(f"{folder}/{name}_raw.csv", schema=RAW[name], header=True, mode="PERMISSIVE", escape='"')
-    return df.withColumn(ORDINAL, F.monotonically_increasing_id())
+    place = F.monotonically_increasing_id()  # ascends in a task, which reads a split from front to back
+    ordinal = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), place.alias("place")
+    )
+    return df.select("*", ordinal.alias(ORDINAL))
 
 
 def read_clean(spark: SparkSession, folder: str, name: str) -> DataFrame:

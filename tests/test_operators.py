@@ -60,6 +60,27 @@ def test_group_median_beyond_the_exact_range_of_the_sketch(spark):
     assert got == {0: float(150_000**2), 1: (149_999**2 + 150_001**2) / 2}
 
 
+def test_a_hot_group_is_ranked_in_a_slice_only(spark):
+    """A group of 10^6 distinct values: no task ranks more than a partition's share of them."""
+    hot = spark.range(1_000_000).select(F.lit("hot").alias("g"), F.xxhash64("id").alias("v"))
+    rest = spark.range(3_000).select(F.concat(F.lit("g"), (F.col("id") % 300).cast("string")).alias("g"), F.col("id").alias("v"))
+    df = hot.unionByName(rest)
+    left = median.middle_rows(df, ["g"], "v", parts=40)
+    share = left.groupBy("_part", "g").count().agg(F.max("count")).first()[0]
+    assert share < 2 * 1_003_000 / 40
+    assert left.where("g = 'hot'").select("_part").distinct().count() <= 2
+    got = {r.g: r.m for r in median.group_median(df, ["g"], "v", "m", parts=40).collect()}
+    expected = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert got.keys() == expected.keys() and all(got[g] == pytest.approx(expected[g]) for g in got)
+    windows = [w for w in plan(median.group_median(df, ["g"], "v", "m", parts=40)).split("\n") if "Window [" in w]
+    # Values are ordered inside (partition, group) only; a group as such is ordered by its partitions.
+    assert windows and all("_part" in w for w in windows if "v#" in w)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_keep_first(skewed):
     rows, df = skewed
     got = {r.key: (r.id, r[dedupe.COPIES]) for r in dedupe.keep_first(df, ["key"], "id").collect()}
@@ -69,6 +90,71 @@ def test_keep_first(skewed):
     assert tuple(counts) == (3000, len(expected), 3000 - len(expected))
 
 
+@pytest.mark.parametrize("bits", [dedupe.MOST_BITS, dedupe.BITMAP])
+def test_keep_first_against_brute_force(spark, monkeypatch, bits):
+    """A hot key, null keys, keys that occur once, equal ordinals, two key columns; marks that many keys share."""
+    monkeypatch.setattr(dedupe, "MOST_BITS", bits)
+    monkeypatch.setattr(dedupe, "BITS_A_KEY", 1 if bits == dedupe.BITMAP else dedupe.BITS_A_KEY)
+    rng = random.Random(11)
+    rows = []
+    for i in range(40_000):
+        key = ("hot", 0) if i % 3 == 0 else (None, rng.choice([None, 1])) if i % 50 == 1 else (f"k{rng.randrange(60_000)}", i % 2)
+        rows.append((*key, rng.randrange(5000), f"row {i}"))
+    df = spark.createDataFrame(rows, "a string, b int, at int, rest string").repartition(7)
+    found = dedupe.keep_first(df, ["a", "b"], "at")
+    assert found.columns == [*df.columns, dedupe.COPIES]
+    least, copies = {}, {}
+    for a, b, at, _ in rows:
+        least[a, b] = min(least.get((a, b), at), at)
+        copies[a, b] = copies.get((a, b), 0) + 1
+    got = found.collect()
+    assert len(got) == len(least)
+    known = set(rows)
+    for r in got:
+        assert (r.at, r[dedupe.COPIES]) == (least[r.a, r.b], copies[r.a, r.b]) and tuple(r)[:4] in known
+
+
+def test_unique_rows_do_not_shuffle(spark, tmp_path):
+    ids = F.col("id")
+    df = spark.range(100_000).select(F.when(ids < 30_000, F.lit(-1)).otherwise(ids).alias("k"), ids.alias("at"), F.repeat(ids.cast("string"), F.lit(9)).alias("wide"))
+    df.repartition(6).write.parquet(str(tmp_path / "t"))
+    found = dedupe.keep_first(spark.read.parquet(str(tmp_path / "t")), ["k"], "at")
+    assert found.count() == 70_001 and "SortAggregate" not in plan(found)
+    executed = found.select("*")
+    executed.collect()
+    # Only the first row of the hot key in each task reaches the exchange of wide rows.
+    nodes = spark_nodes(executed)
+    wide = [rows for name, rows, text in nodes if name == "Exchange" and "hashpartitioning(k" in text and "rows" in text]
+    assert "WindowGroupLimit" in plan(found)
+    assert all(rows <= 8 for rows in wide)
+
+
+def spark_nodes(df):
+    """(name, shuffle records written, text) of the executed plan's exchanges."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            todo.append(node.plan())
+            continue
+        if name == "Exchange":
+            metric = node.metrics().get("shuffleRecordsWritten")
+            found.append((name, metric.get().value() if metric.isDefined() else 0, f"rows {node.simpleString(200)}"))
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_keep_first_of_nothing(spark):
+    empty = spark.createDataFrame([], "k int, at int")
+    assert dedupe.keep_first(empty, ["k"], "at").collect() == []
+    assert tuple(dedupe.removed_count(dedupe.keep_first(empty, ["k"], "at")).first()) == (0, 0, 0)
+
+
 def test_completeness_of_nothing_is_one(spark):
     empty = spark.createDataFrame([], "a int, b int")
     assert empty.agg(dedupe.completeness(["a", "b"])).first()[0] == 1.0
