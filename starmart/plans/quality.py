@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from starmart.functions.numbers import count_rows, ratio
 from starmart.operators.dedupe import COPIES, completeness
+from starmart.plans.ledger import events, stored_tables
 from starmart.schemas import QUALITY_LOG
 
 CLEANING = "cleaning"
@@ -99,46 +100,63 @@ def to_log(spark: SparkSession, records: list[tuple], started: datetime) -> Data
     return spark.createDataFrame([(started, *r) for r in records], QUALITY_LOG)
 
 
-def stage_summary(log: DataFrame) -> DataFrame:
-    """Row counts per table, one column per stage."""
-    return (
-        log.where("metric = 'row_count'").groupBy("table").pivot("stage", ["raw", "cleaned"]).agg(F.first("value"))
-    )
+# ------------------------------------------------------------------ reading a log of many runs
 
 
-def metric_summary(log: DataFrame) -> DataFrame:
-    """Everything but row counts."""
-    return log.where("metric <> 'row_count'").select("table", "metric", "value", "notes")
+def read_log(spark: SparkSession, log_dir: str) -> DataFrame:
+    """The stored log as of now: for each table the entries of the run that stored it last.
+
+    Entries of a run that died before it had stored the table do not count.
+    """
+    complete = stored_tables(events(spark, log_dir)).select("table", "run_id")
+    return spark.read.parquet(log_dir).join(complete, ["table", "run_id"], "left_semi")
 
 
-# The metrics that count removed duplicates.
-REMOVED_METRICS = ("duplicates_removed", "duplicate_booking_references_removed")
+def latest(log: DataFrame) -> DataFrame:
+    """Of each table the entries of the newest run in the log; a log without run ids is one run."""
+    if "run_id" not in log.columns:
+        return log
+    newest = F.max_by("run_id", F.struct("run_started_at", "run_id")).alias("_newest")
+    per_table = log.groupBy(F.col("table").alias("_table")).agg(newest)
+    match = (F.col("table") == F.col("_table")) & (F.col("run_id") == F.col("_newest"))
+    return log.join(per_table, match, "left_semi")
+
+
+def stage_summary(log: DataFrame) -> DataFrame:
+    """Row counts per table, one column per stage, of each table's newest run."""
+    counts = latest(log).where("metric = 'row_count'")
+    return counts.groupBy("table").pivot("stage", ["raw", "cleaned"]).agg(F.first("value"))
+
+
+def metric_summary(log: DataFrame) -> DataFrame:
+    """Everything but row counts, of each table's newest run."""
+    return latest(log).where("metric <> 'row_count'").select("table", "metric", "value", "notes")
 
 
 def log_kpis(log: DataFrame) -> DataFrame:
-    """Completeness %, total validation failures and duplicates removed over the log."""
-    v = F.col("value")
-    metric = F.col("metric")
-    return log.agg(
+    """Completeness %, total validation failures and duplicates removed over the newest run of every table.
+
+    Duplicates are those of the metric of that name; booking references have a metric of their own.
+    """
+    v, metric = F.col("value"), F.col("metric")
+    return latest(log).agg(
         F.avg(F.when(metric == "completeness", v)).alias("completeness_pct"),
         F.sum(F.when(metric == "validation_failures", v)).alias("total_validation_failures"),
-        F.sum(F.when(metric.isin(*REMOVED_METRICS), v)).alias("total_duplicates_removed"),
+        F.sum(F.when(metric == "duplicates_removed", v)).alias("total_duplicates_removed"),
     )
 
 
+# The metrics that count rows removed as duplicates of a table.
+REMOVED_METRICS = ("duplicates_removed", "duplicate_booking_references_removed")
+
+
 def table_rates(log: DataFrame) -> DataFrame:
-    """Per table: duplicates removed / raw rows, validation failures / cleaned rows."""
+    """Per table's newest run: duplicates removed / raw rows, validation failures / cleaned rows."""
     v, metric, stage = F.col("value"), F.col("metric"), F.col("stage")
     raw = F.max(F.when((metric == "row_count") & (stage == "raw"), v))
     cleaned = F.max(F.when((metric == "row_count") & (stage == "cleaned"), v))
     removed = F.coalesce(F.sum(F.when(metric.isin(*REMOVED_METRICS), v)), F.lit(0.0))
     failed = F.coalesce(F.sum(F.when(metric == "validation_failures", v)), F.lit(0.0))
-    return log.groupBy("table").agg(
+    return latest(log).groupBy("table").agg(
         ratio(removed, raw).alias("duplicate_rate"), ratio(failed, cleaned).alias("validation_failure_rate")
     )
-
-
-def run_duration(log: DataFrame, finished: str = "finished_at", started: str = "started_at") -> DataFrame:
-    """Wall-clock seconds between the first start and the last finish of a run."""
-    seconds = F.unix_timestamp(F.max(finished)) - F.unix_timestamp(F.min(started))
-    return log.agg(seconds.alias("duration_seconds"))

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from starmart.functions.numbers import count_rows
 from starmart.operators import dedupe
-from starmart.plans import cleaning, quality, reports, validation
+from starmart.plans import cleaning, ledger, pipeline, quality, reports, validation
+from starmart.plans.cleaning import ORDINAL
 from starmart.registry import messy, query
+from starmart.registry.rules import quoted
 from starmart.registry.sql import over
-from starmart.schemas import CLEAN, STAR, Contract, Field, above, between, one_of
-from starmart.session import shared_path
+from starmart.schemas import CLEAN, RAW, STAR, Contract, Field, above, between, one_of
+from starmart.session import checkpointed, shared_path
 from starmart.sources import files, tpch
 from starmart.sources.tpch import table
 
@@ -193,18 +195,71 @@ SQL = {
 DEDUPED_PLAIN = ("Region", "Guide")  # the SQL removes their copies without row numbers
 
 
-def log_sql(name: str) -> str:
+# What the log says about a metric.
+NOTES = {
+    "missing_qualifications": "kept empty, not imputed",
+    "elevation_gain_imputed": "median elevation gain of the difficulty",
+    "malformed_emails_repaired": "spelled-out 'at' replaced by '@'",
+    "malformed_emails_unrepaired": "see contact_email_invalid",
+    "country_names_standardised": "spelling variants mapped to one name",
+    **{
+        f"missing_{r}": "kept empty: a 1-5 scale is not imputed"
+        for r in ("overall_rating", "guide_rating", "route_rating", "safety_rating", "value_rating")
+    },
+}
+
+
+def log_sql(name: str, overrides: dict[str, str] | None = None) -> str:
+    """Log entries of a table: counts, issues and their notes."""
     ctes, _, metrics = SQL[name]
     metrics = dict(metrics)
     if name in DEDUPED_PLAIN:
         metrics["duplicates_removed"] = "(SELECT count(*) FROM raw) - (SELECT count(*) FROM c)"
-    rows = ["SELECT 'row_count' AS metric, 'raw' AS stage, CAST((SELECT count(*) FROM raw) AS DOUBLE) AS value",
-            "SELECT 'row_count', 'cleaned', CAST((SELECT count(*) FROM c) AS DOUBLE)"]
-    rows += [f"SELECT '{m}', 'cleaning', CAST({v} AS DOUBLE)" for m, v in metrics.items()]
+    metrics |= overrides or {}
+    rows = ["SELECT 'row_count' AS metric, 'raw' AS stage, CAST((SELECT count(*) FROM raw) AS DOUBLE) AS value, '' AS notes",
+            "SELECT 'row_count', 'cleaned', CAST((SELECT count(*) FROM c) AS DOUBLE), ''"]
+    rows += [f"SELECT '{m}', 'cleaning', CAST({v} AS DOUBLE), {quoted(NOTES.get(m, ''))}" for m, v in metrics.items()]
     body = " UNION ALL ".join(rows)
     return f"""WITH {ctes} SELECT '{name}' AS "table", * FROM ({body}) WHERE value > 0 OR metric IN ('row_count', 'completeness')"""
 
 
+def rule_sql(column: str, label: str) -> str:
+    """When a check of a contract fails, by its label."""
+    kind, _, rest = label.removesuffix(")").partition("(")
+    values = rest.split(", ")
+    return {
+        "isin": lambda: f"{column} NOT IN ({', '.join(map(quoted, values))})",
+        "between": lambda: f"{column} NOT BETWEEN {values[0]} AND {values[1]}",
+        "above": lambda: f"{column} <= {values[0]}",
+        "at_least": lambda: f"{column} < {values[0]}",
+    }[kind]()
+
+
+def failures_sql(name: str) -> str:
+    """The ``validation_failures`` entry: failed rules over the cleaned rows, and rows that share a unique key."""
+    ctes, rows, _ = SQL[name]
+    contract = CLEAN[name]
+    failed = [f"{c} IS NULL" for c, f in contract.fields.items() if not f.nullable]
+    failed += [rule_sql(c, check.label) for c, f in contract.fields.items() for check in f.checks]
+    counts = [f"(SELECT count(*) FILTER (WHERE {f}) FROM k)" for f in failed]
+    for key in contract.keys:
+        present = " AND ".join(f"{c} IS NOT NULL" for c in key)
+        counts.append(
+            f"(SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM k WHERE {present} GROUP BY {', '.join(key)} HAVING count(*) > 1))"
+        )
+    return f"""WITH {ctes}, k AS ({rows}) SELECT '{name}' AS "table", 'validation_failures' AS metric, 'cleaning' AS stage,
+        CAST({" + ".join(counts)} AS DOUBLE) AS value, '' AS notes"""
+
+
+def run_sql(names, overrides: dict[str, dict[str, str]] | None = None) -> str:
+    """The whole log of a run over several tables."""
+    parts = [(log_sql(n, (overrides or {}).get(n)), failures_sql(n)) for n in names]
+    return " UNION ALL ".join(f"SELECT * FROM ({sql})" for pair in parts for sql in pair)
+
+
+ENTRY = ["table", "metric", "stage", "value", "notes"]
+
+
 def _register(position: int, name: str) -> None:
     key = f"c{position:02d}_clean_" + "".join("_" + c.lower() if c.isupper() else c for c in name).lstrip("_")
 
@@ -214,7 +269,7 @@ def _register(position: int, name: str) -> None:
 
     @query(f"{key}_log", log_sql(name))
     def log(spark, sf):
-        return CLEANERS[name](spark, sf).quality().select("table", "metric", "stage", "value")
+        return CLEANERS[name](spark, sf).quality().select(*ENTRY)
 
 
 for _position, _name in enumerate(CLEANERS, start=1):
@@ -234,34 +289,70 @@ def c00(spark, sf):
     return first.select("booking_id", "channel", F.col(dedupe.COPIES).alias("copies"))
 
 
-CORE = ("Region", "Guide", "Route", "ScheduledTour", "Booking", "Payment")
-EXTENSIONS = ("Review", "Weather", "BookingAttribution", "Marketing", "WebsiteAnalytics", "EquipmentHire")
-
-
 def full_log(spark, sf, names, started=None) -> DataFrame:
     """Cleaning log and validation failures of several tables."""
     parts = []
     for name in names:
         cleaned = CLEANERS[name](spark, sf)
-        counts = validation.validate(cleaned.rows, CLEAN[name])
-        parts += [cleaned.quality(started=started), quality.failures_row(counts, name, started)]
+        path = shared_path(spark, name)
+        files.write_table(cleaned.frame, path)
+        stored = spark.read.parquet(path)
+        counts = validation.validate(stored, CLEAN[name])
+        parts += [cleaned.quality(stored, started), quality.failures_row(counts, name, started)]
     return reduce(DataFrame.unionByName, parts)
 
 
-def run_sql(names) -> str:
-    return " UNION ALL ".join(f"SELECT * FROM ({log_sql(n)})" for n in names)
+RAW_TABLES = {
+    "regions": messy.regions,
+    "guides": messy.guides,
+    "routes": messy.routes,
+    "scheduled_tours": messy.scheduled_tours,
+    "bookings": messy.bookings,
+    "payments": messy.payments,
+    "reviews": messy.reviews,
+    "weather": messy.weather,
+    "booking_attribution": messy.attribution,
+    "marketing": messy.marketing,
+    "website_analytics": messy.website,
+    "equipment_hire": messy.equipment,
+}
+
+
+def raw_files(spark, sf, names) -> str:
+    """Raw CSV folders of several files each, their lines in the order of the ordinal."""
+    folder = shared_path(spark, "raw")
+    for name in names:
+        raw = RAW_TABLES[name](spark, sf)
+        if ORDINAL in raw.columns:
+            raw = raw.repartitionByRange(4, ORDINAL).sortWithinPartitions(ORDINAL)
+        columns = [f.split()[0] for f in RAW[name].split(", ")]
+        files.write_csv(raw.select(*columns), f"{folder}/{name}_raw.csv")
+    return folder
+
+
+BOOKED = "(SELECT count(*) FROM c WHERE booking_id NOT IN (SELECT l_orderkey * 10 + l_linenumber FROM lineitem))"
+#: In a run the bookings looked up are the cleaned ones.
+OF_BOOKINGS = {n: {"orphan_booking_references": BOOKED} for n in ("Payment", "Review", "BookingAttribution", "EquipmentHire")}
 
 
-@query("c13_core_cleaning_run", run_sql(CORE))
+@query("c13_core_cleaning_run", run_sql(pipeline.CORE, OF_BOOKINGS))
 def c13(spark, sf):
-    log = full_log(spark, sf, CORE)
-    return log.where("metric <> 'validation_failures'").select("table", "metric", "stage", "value")
+    """The core job over raw files; its log as the ledger says it is complete."""
+    raw = raw_files(spark, sf, [pipeline.ENTITIES[n].raw for n in pipeline.CORE])
+    log = shared_path(spark, "quality-log")
+    pipeline.run_core(spark, raw, shared_path(spark, "clean"), log)
+    return quality.read_log(spark, log).select(*ENTRY)
 
 
-@query("c14_extension_cleaning_run", run_sql(EXTENSIONS))
+@query("c14_extension_cleaning_run", run_sql(pipeline.EXTENSIONS, OF_BOOKINGS))
 def c14(spark, sf):
-    log = full_log(spark, sf, EXTENSIONS)
-    return log.where("metric <> 'validation_failures'").select("table", "metric", "stage", "value")
+    """The extension job over raw files, after an earlier job has stored its parents."""
+    raw = raw_files(spark, sf, [pipeline.ENTITIES[n].raw for n in pipeline.EXTENSIONS])
+    clean, log = shared_path(spark, "clean"), shared_path(spark, "quality-log")
+    for parent in ("Region", "Booking"):
+        files.write_table(CLEANERS[parent](spark, sf).frame, f"{clean}/{parent}")
+    pipeline.run_extensions(spark, raw, clean, log)
+    return quality.read_log(spark, log).select(*ENTRY)
 
 
 # ------------------------------------------------------------------ validation
@@ -478,67 +569,91 @@ def q02(spark, sf):
 )
 def q03(spark, sf):
     log = CLEANERS["Weather"](spark, sf).quality(started=datetime(2024, 1, 1, 6))
-    return log.select(F.col("run_started_at").cast("timestamp_ntz").alias("run_started_at"), "table", "metric", "stage", "value")
+    return log.select(F.col("run_started_at").cast("timestamp_ntz").alias("run_started_at"), *ENTRY)
+
+
+# Of two runs of the core tables the first saw three times as much; the extension tables were stored by the first only.
+EVERY = (*pipeline.CORE, *pipeline.EXTENSIONS)
+FIRST_RUN, SECOND_RUN = "a1", "b2"
+EARLIER = datetime(2024, 1, 1, 6)
+
+
+def two_runs(spark, sf) -> str:
+    """A stored log: a run over all tables, with other figures for the core, and a newer one over the core alone."""
+    now = checkpointed(full_log(spark, sf, EVERY, EARLIER))
+    path = shared_path(spark, "quality-log")
+    core = F.col("table").isin(*pipeline.CORE)
+    first = now.withColumn("value", F.when(core, F.col("value") * 3).otherwise(F.col("value")))
+    files.append_log(first, path, FIRST_RUN)
+    second = now.where(core).withColumn("run_started_at", F.col("run_started_at") + F.expr("INTERVAL 1 DAY"))
+    files.append_log(second, path, SECOND_RUN)
+    return path
 
 
 @query(
     "q04_stage_summary",
     f"""SELECT "table", max(value) FILTER (WHERE stage = 'raw') AS raw, max(value) FILTER (WHERE stage = 'cleaned') AS cleaned
-    FROM ({run_sql(EXTENSIONS)}) WHERE metric = 'row_count' GROUP BY 1""",
+    FROM ({run_sql(EVERY)}) WHERE metric = 'row_count' GROUP BY 1""",
 )
 def q04(spark, sf):
-    return quality.stage_summary(full_log(spark, sf, EXTENSIONS))
+    return quality.stage_summary(spark.read.parquet(two_runs(spark, sf)))
 
 
 @query(
     "q04_metric_summary",
-    f"""SELECT "table", metric, value FROM ({log_sql("Review")}) WHERE metric <> 'row_count'""",
+    f"""SELECT "table", metric, value, notes FROM ({run_sql(EVERY)}) WHERE metric <> 'row_count'""",
 )
 def q04_metrics(spark, sf):
-    return quality.metric_summary(CLEANERS["Review"](spark, sf).quality()).drop("notes")
+    return quality.metric_summary(spark.read.parquet(two_runs(spark, sf)))
 
 
 @query(
     "s10_persisted_quality_log",
-    f"""SELECT * FROM ({log_sql("Payment")}) UNION ALL SELECT * FROM ({log_sql("EquipmentHire")})""",
+    f"""WITH log AS ({run_sql(EVERY)}), runs AS (
+        SELECT *, '{FIRST_RUN}' AS run_id, TIMESTAMP '2024-01-01 06:00:00' AS run_started_at, CASE WHEN "table" IN {pipeline.CORE} THEN 3 ELSE 1 END AS times FROM log
+        UNION ALL SELECT *, '{SECOND_RUN}', TIMESTAMP '2024-01-02 06:00:00', 1 FROM log WHERE "table" IN {pipeline.CORE}
+    ) SELECT run_id, run_started_at, "table", metric, stage, value * times AS value, notes FROM runs""",
 )
 def s10(spark, sf):
-    path = shared_path(spark, "quality-log")
-    for name in ("Payment", "EquipmentHire"):
-        files.append_log(CLEANERS[name](spark, sf).quality(), path)
-    return spark.read.parquet(path).select("table", "metric", "stage", "value")
+    log = spark.read.parquet(two_runs(spark, sf))
+    return log.select("run_id", F.col("run_started_at").cast("timestamp_ntz").alias("run_started_at"), *ENTRY)
 
 
 @query(
     "m41_log_kpis",
-    f"""SELECT avg(value) FILTER (WHERE metric = 'completeness') AS completeness_pct, 0.0::DOUBLE AS total_validation_failures,
-    sum(value) FILTER (WHERE metric LIKE 'duplicate%removed') AS total_duplicates_removed FROM ({run_sql(("Booking", "Weather"))})""",
+    f"""SELECT avg(value) FILTER (WHERE metric = 'completeness') AS completeness_pct,
+    sum(value) FILTER (WHERE metric = 'validation_failures') AS total_validation_failures,
+    sum(value) FILTER (WHERE metric = 'duplicates_removed') AS total_duplicates_removed FROM ({run_sql(EVERY)})""",
 )
 def m41(spark, sf):
-    log = CLEANERS["Booking"](spark, sf).quality().unionByName(CLEANERS["Weather"](spark, sf).quality())
-    return quality.log_kpis(log).fillna(0.0, ["total_validation_failures"])
+    return quality.log_kpis(spark.read.parquet(two_runs(spark, sf)))
 
 
 @query(
     "m49_duplicate_and_failure_rates",
-    """WITH d AS (SELECT o_custkey, o_orderdate, count(*) AS n FROM orders GROUP BY 1, 2)
-    SELECT 'Orders' AS "table", (sum(n) - count(*)) / sum(n) AS duplicate_rate,
-    (SELECT count(*) FILTER (WHERE o_totalprice <= 5000) FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey) AS rn FROM orders) WHERE rn = 1)
-      / count(*) AS validation_failure_rate FROM d""",
+    f"""SELECT "table", coalesce(sum(value) FILTER (WHERE metric IN ('duplicates_removed', 'duplicate_booking_references_removed')), 0)
+      / max(value) FILTER (WHERE metric = 'row_count' AND stage = 'raw') AS duplicate_rate,
+    sum(value) FILTER (WHERE metric = 'validation_failures') / max(value) FILTER (WHERE metric = 'row_count' AND stage = 'cleaned') AS validation_failure_rate
+    FROM ({run_sql(EVERY)}) GROUP BY 1""",
 )
 def m49(spark, sf):
-    rows = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
-    first = dedupe.keep_first(rows, ["o_custkey", "o_orderdate"], "o_orderkey")
-    contract = Contract({"o_totalprice": Field("DOUBLE", (above(5000),), nullable=True)})
-    cleaned = quality.Cleaned("Orders", first, rows.columns, {}, rows.columns)
-    log = cleaned.quality().unionByName(quality.failures_row(validation.validate(cleaned.rows, contract), "Orders"))
-    return quality.table_rates(log)
+    return quality.table_rates(spark.read.parquet(two_runs(spark, sf)))
 
 
 @query(
     "m50_run_duration",
-    "SELECT date_diff('second', date_trunc('second', min(ts)), date_trunc('second', max(ts))) AS duration_seconds FROM events",
+    """WITH runs AS (SELECT CAST(user_id AS VARCHAR) AS run_id, min(ts) AS first, max(ts) AS last, max(ts) FILTER (WHERE event_type = 'purchase') AS bought,
+        max(ts) FILTER (WHERE event_type = 'error') AS broke, count(*) FILTER (WHERE event_type = 'view') AS tables FROM events GROUP BY 1)
+    SELECT run_id, CASE WHEN bought IS NULL AND broke IS NULL THEN 'unfinished' WHEN broke IS NULL OR bought >= broke THEN 'finished' ELSE 'failed' END AS state,
+    CASE WHEN bought IS NOT NULL OR broke IS NOT NULL THEN date_diff('microsecond', first, greatest(bought, broke)) / 1000000 END AS duration_seconds, tables FROM runs""",
 )
 def m50(spark, sf):
-    runs = table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("started_at"), F.col("ts").cast("timestamp").alias("finished_at"))
-    return quality.run_duration(runs)
+    """Users as runs: each event is one of the ledger's, the first starts the run as well."""
+    seen = table(spark, sf, "events")
+    at = F.col("ts").cast("timestamp").alias("at")
+    run = [F.col("user_id").cast("string").alias("run_id"), F.lit("job").alias("job"), F.lit("t").alias("table")]
+    kinds = {"purchase": ledger.FINISHED, "error": ledger.FAILED, "view": ledger.STORED}
+    state = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])[F.col("event_type")]
+    recorded = seen.select(*run, F.coalesce(state, F.lit(ledger.STARTED)).alias("state"), at)
+    begun = seen.select(*run, F.lit(ledger.STARTED).alias("state"), at)
+    return ledger.runs(recorded.unionByName(begun)).select("run_id", "state", "duration_seconds", "tables")

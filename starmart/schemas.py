@@ -506,3 +506,4 @@ PARTITION_DATE = {
 }
 
 QUALITY_LOG = "run_started_at TIMESTAMP, table STRING, metric STRING, stage STRING, value DOUBLE, notes STRING"
+RUN_EVENTS = "run_id STRING, job STRING, table STRING, state STRING, at TIMESTAMP, note STRING"

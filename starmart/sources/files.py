@@ -61,9 +61,9 @@ def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
     )
 
 
-def append_log(log: DataFrame, path: str) -> None:
-    """Append quality-log rows."""
-    log.write.mode("append").parquet(path)
+def append_log(log: DataFrame, path: str, run_id: str) -> None:
+    """Append a run's quality-log rows."""
+    log.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(path)
 
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:

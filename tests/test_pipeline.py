@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.plans import pipeline, quality, validation, warehouse
+from starmart.plans import ledger, pipeline, quality, validation, warehouse
 from starmart.schemas import CLEAN, RAW, STAR
 from starmart.sources import files
 
@@ -63,7 +63,7 @@ def built(spark, tmp_path_factory):
     tables = pipeline.run_core(spark, str(raw), clean, log)
     tables |= pipeline.run_extensions(spark, str(raw), clean, log)
     star = warehouse.build_warehouse(spark, clean, out)
-    return {"clean": tables, "log": spark.read.parquet(log), "star": star, "out": out, "root": root}
+    return {"clean": tables, "log": spark.read.parquet(log), "log_dir": log, "raw": str(raw), "star": star, "out": out, "root": root}
 
 
 def metrics(built, name):
@@ -173,10 +173,50 @@ def test_failure_cases_name_the_values(built):
 
 def test_log_kpis(built):
     kpis = quality.log_kpis(built["log"]).first()
-    assert kpis.total_duplicates_removed == 5
+    assert kpis.total_duplicates_removed == 4  # regions, guides, reviews, weather; booking references are counted apart
+    assert kpis.total_validation_failures > 10
     assert 0.9 < kpis.completeness_pct < 1
 
 
+def test_ledger_tells_runs(spark, built):
+    runs = {r.job: r for r in ledger.runs(ledger.events(spark, built["log_dir"])).collect()}
+    assert {j: (r.state, r.tables) for j, r in runs.items()} == {"core": ("finished", 6), "extensions": ("finished", 6)}
+    assert all(0 < r.duration_seconds < 600 and r.ended_at > r.started_at for r in runs.values())
+    assert quality.read_log(spark, built["log_dir"]).count() == built["log"].count()
+
+
+def test_a_second_run_and_one_that_dies(spark, built, tmp_path, monkeypatch):
+    """Readers take each table's newest complete run; a run that dies after three tables replaces three."""
+    clean, log = str(tmp_path / "clean"), str(tmp_path / "log")
+    pipeline.run_core(spark, built["raw"], clean, log)
+    with monkeypatch.context() as patched:
+        broken = pipeline.Entity("scheduled_tours", lambda raw, routes: 1 / 0, ("Route",))
+        patched.setitem(pipeline.ENTITIES, "ScheduledTour", broken)
+        patched.setattr(pipeline, "read_raw", lambda s, d, n: files.read_raw(s, d, n).limit(1))
+        with pytest.raises(ZeroDivisionError):
+            pipeline.run_core(spark, built["raw"], clean, log)
+    # A run that recorded its start and an entry, and then nothing.
+    lost = ledger.Run(spark, log, "core")
+    lost.record(ledger.STARTED)
+    files.append_log(quality.to_log(spark, [("Booking", "completeness", "cleaning", 0.0, "")], lost.started), log, lost.run_id)
+    runs = sorted((r.state, r.tables, r.duration_seconds is None) for r in ledger.runs(ledger.events(spark, log)).collect())
+    assert runs == [("failed", 3, False), ("finished", 6, False), ("unfinished", 0, True)]
+    note = ledger.events(spark, log).where("state = 'failed'").first().note
+    assert "division by zero" in note
+    counts = {r.table: (r.raw, r.cleaned) for r in quality.stage_summary(quality.read_log(spark, log)).collect()}
+    assert {n for n in ("Region", "Guide", "Route") if counts[n] == (1, 1)} == {"Region", "Guide", "Route"}
+    assert counts["Booking"] == (5, 4) and len(counts) == 6
+    assert quality.log_kpis(quality.read_log(spark, log)).first().total_duplicates_removed is None
+    assert {r.table for r in quality.table_rates(quality.read_log(spark, log)).collect()} == set(pipeline.CORE)
+
+
+def test_parents_come_first():
+    every = list(pipeline.ENTITIES)
+    order = pipeline.parents_first(every[::-1])
+    assert sorted(order) == sorted(every)
+    assert all(order.index(p) < order.index(n) for n, e in pipeline.ENTITIES.items() for p in e.parents)
+
+
 def test_clean_csv_round_trip(spark, built):
     path = str(built["root"] / "csv")
     files.write_csv(built["clean"]["Booking"], path)
