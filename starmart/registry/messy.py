@@ -29,6 +29,11 @@ def spelled_sql(key: str, c: str) -> str:
     return variant_sql(key, f"upper({c})", f"' ' || lower({c}) || '  '", c)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows over many tasks, as raw files come in many splits; a driver table is one row group, so one task."""
+    return df.repartition(*keys)
+
+
 # ------------------------------------------------------------------ reference data
 
 
@@ -141,7 +146,7 @@ def bookings(spark, sf) -> DataFrame:
     total = F.when(F.col("l_tax") >= 0.08, net + F.lit("0.05").cast("decimal(18,2)")).otherwise(net)
     key = F.col("l_suppkey").cast("string")
     day = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
-    return table(spark, sf, "lineitem").select(
+    return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("booking_id"),
         (F.col("l_orderkey") + 100).alias("tour_id"),
         F.concat(F.lit("R-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias(
