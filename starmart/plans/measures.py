@@ -26,12 +26,13 @@ from starmart.schemas import MAX_PARTY
 
 Filters = Mapping[str, object]
 
-# Weights of the guide performance index: revenue share, rating, reliability.
+# Weights of the guide performance index (revenue share, rating, reliability), the best rating.
 INDEX_WEIGHTS = (0.4, 0.4, 0.2)
 TOP_RATING = 5
 
 # ------------------------------------------------------------------ attributes
 
+# Attributes of a day.
 _DATE = (
     "full_date", "day", "month", "month_name", "quarter", "year", "day_of_week", "day_name", "is_weekend",
     "calendar_season", "week_start_date", "week_number", "retail_year", "is_bank_holiday", "is_summer_holiday",
@@ -72,6 +73,69 @@ BOOKING_FACTS = ("FactPayments", "FactReviews", "FactEquipmentHire")
 OWN_DATE = {"FactMarketing": "month_date_id", "FactWebsiteAnalytics": "week_date_id", "FactWeather": "date_id"}
 
 
+@dataclass(frozen=True)
+class Edge:
+    """A relationship: the one side filters the many side, if it is active."""
+
+    one: str
+    many: str
+    key: str
+    active: bool = True
+
+
+# The relationships of the semantic model. A booking carries its route's region. Dates other than the
+# tour's are inactive: a measure names the role it wants.
+RELATIONSHIPS = (
+    Edge("DimRegion", "FactBookings", "region_id"),
+    Edge("DimRoute", "FactBookings", "route_id"),
+    Edge("DimGuide", "FactBookings", "guide_id"),
+    Edge("DimCustomer", "FactBookings", "customer_id"),
+    Edge("DimMarketingChannel", "FactBookings", "channel_id"),
+    Edge("DimDate", "FactBookings", "tour_date_id"),
+    Edge("DimDate", "FactBookings", "created_date_id", active=False),
+    Edge("FactBookings", "FactPayments", "booking_id"),
+    Edge("FactBookings", "FactReviews", "booking_id"),
+    Edge("FactBookings", "FactEquipmentHire", "booking_id"),
+    Edge("DimDate", "FactPayments", "paid_date_id", active=False),
+    Edge("DimDate", "FactPayments", "refunded_date_id", active=False),
+    Edge("DimMarketingChannel", "FactMarketing", "channel_id"),
+    Edge("DimDate", "FactMarketing", "month_date_id"),
+    Edge("DimMarketingChannel", "FactWebsiteAnalytics", "channel_id"),
+    Edge("DimDate", "FactWebsiteAnalytics", "week_date_id"),
+    Edge("DimRegion", "FactWeather", "region_id"),
+    Edge("DimDate", "FactWeather", "date_id"),
+)
+
+
+def filtering(table: str) -> set[str]:
+    """The tables whose filters reach ``table``: itself, and all that active edges lead back to."""
+    found, todo = {table}, [table]
+    while todo:
+        many = todo.pop()
+        nearer = {e.one for e in RELATIONSHIPS if e.many == many and e.active} - found
+        found |= nearer
+        todo += nearer
+    return found
+
+
+def reaches(star: Star, attribute: str, fact: str) -> bool:
+    """Whether an attribute filters and splits a fact; one that no table has is an error."""
+    if attribute in ATTRIBUTES:
+        return ATTRIBUTES[attribute][0] in filtering(fact)
+    if attribute in BOOKING_COLUMNS or attribute in ("lead_time_bucket", "booking_id"):
+        return "FactBookings" in filtering(fact)
+    if fact in star and attribute in _own(star, fact).columns:
+        return True
+    if not any(attribute in _own(star, n).columns for n in star if n.startswith("Fact") and star[n] is not None):
+        raise ValueError(f"no table has the attribute {attribute!r}")
+    return False
+
+
+def _own(star: Star, fact: str) -> DataFrame:
+    """The fact as measures see it: a payment's status is no booking's status."""
+    return star[fact].withColumnRenamed("status", "payment_status") if fact == "FactPayments" else star[fact]
+
+
 def _dimension(star: Star, name: str) -> DataFrame:
     df = star[name]
     if name == "DimGuide":
@@ -96,7 +160,7 @@ def _keys_needed(fact: str, attributes: Sequence[str], date_role: str) -> list[s
 
 def _with_booking_keys(star: Star, fact: str, keys: Sequence[str]) -> DataFrame:
     """The fact; one that lacks some of the keys takes them from its booking."""
-    df = star[fact]
+    df = _own(star, fact)
     missing = [c for c in keys if c in BOOKING_COLUMNS and c not in df.columns]
     if fact in BOOKING_FACTS and missing:
         df = df.join(star["FactBookings"].select("booking_id", *missing), "booking_id")
@@ -188,6 +252,10 @@ def _status(*names: str) -> Column:
     return F.col("status").isin(*names)
 
 
+def _payment(name: str) -> Column:
+    return F.col("payment_status") == name
+
+
 def _if(condition: Callable[[], Column], value: Callable[[], Column]) -> Callable[[], Column]:
     return lambda: F.sum(F.when(condition(), value()))
 
@@ -232,19 +300,19 @@ BASES: dict[str, Base] = {
     "bounce_avg": Base(WB, lambda: F.avg("bounce_rate"), None),
     "conversion_avg": Base(WB, lambda: F.avg("conversion_rate"), None),
     "storm_days": Base(WE, lambda: F.count_if("storm_warning")),
-    "paid": Base(P, lambda: F.count_if(_status("paid"))),
-    "failed": Base(P, lambda: F.count_if(_status("failed"))),
-    "refunded": Base(P, lambda: F.count_if(_status("refunded"))),
-    "pending_amount": Base(P, _if(lambda: _status("pending"), _col("amount"))),
+    "paid": Base(P, lambda: F.count_if(_payment("paid"))),
+    "failed": Base(P, lambda: F.count_if(_payment("failed"))),
+    "refunded": Base(P, lambda: F.count_if(_payment("refunded"))),
+    "pending_amount": Base(P, _if(lambda: _payment("pending"), _col("amount"))),
     "refund_days": Base(
         P,
         _if(
-            lambda: _status("refunded"),
+            lambda: _payment("refunded"),
             lambda: F.datediff(dates.key_date("refunded_date_id"), dates.key_date("paid_date_id")),
         ),
     ),
     "refund_n": Base(
-        P, lambda: F.count(F.when(_status("refunded"), F.col("refunded_date_id") + F.col("paid_date_id")))
+        P, lambda: F.count(F.when(_payment("refunded"), F.col("refunded_date_id") + F.col("paid_date_id")))
     ),
 }
 
@@ -265,17 +333,24 @@ def _guide_cost(star: Star, by: Sequence[str], filters: Filters, role: str) -> D
 
 
 def _repeat_customers(star: Star, by: Sequence[str], filters: Filters, role: str) -> DataFrame:
-    """Customers of each group with more than one trip inside that group.
+    """Customers of each group with more than one trip.
 
-    Only a status filter is lifted; all other filters stay in force.
+    Two contexts meet: trips are counted with the status lifted, as a filter and
+    as a slice, all else in force; who is counted follows the whole context. A
+    customer is one row with the trips and the few statuses their bookings have.
     """
-    other = {k: v for k, v in filters.items() if k != "status"}
-    trips = (
-        sliced(star, B, by, other, role)
-        .groupBy(*by, "customer_id")
-        .agg(F.count_if(_status("confirmed", "amended")).alias("_trips"))
+    grain = [a for a in by if a != "status"]
+    other = lifted(filters, "status")
+    rows = sliced(star, B, [*grain, "status"], other, role)
+    per_customer = rows.groupBy(*grain, "customer_id").agg(
+        F.count_if(_status("confirmed", "amended")).alias("_trips"), F.collect_set("status").alias("_statuses")
     )
-    return trips.groupBy(*by).agg(F.count_if(F.col("_trips") > 1).alias("repeat_customers"))
+    if "status" in filters:
+        chosen = F.array(*[F.lit(v) for v in _listed(filters["status"])])
+        per_customer = per_customer.withColumn("_statuses", F.array_intersect("_statuses", chosen)).where("size(_statuses) > 0")
+    if "status" in by:
+        per_customer = per_customer.withColumn("status", F.explode("_statuses"))
+    return per_customer.groupBy(*by).agg(F.count_if(F.col("_trips") > 1).alias("repeat_customers"))
 
 
 def _new_customers(star: Star, by: Sequence[str], filters: Filters, role: str) -> DataFrame:
@@ -409,18 +484,48 @@ def figures(star: Star, names: Sequence[str], by: Sequence[str], filters: Filter
     """Base figures on one grain: one aggregation per fact, stacked and collapsed on ``by``.
 
     Stacking keeps groups that occur in only some facts and needs no outer join,
-    nor a cross join when ``by`` is empty.
+    nor a cross join when ``by`` is empty. An attribute that does not reach a
+    fact neither filters nor splits it: its figures are those of the attributes
+    that do, the same in every group that differs in the others only.
     """
     by_fact: dict[str, list[str]] = {}
     for n in names:
-        if n in BASES:
-            by_fact.setdefault(BASES[n].fact, []).append(n)
-    parts = [_aggregated(star, fact, wanted, by, filters, date_role) for fact, wanted in by_fact.items()]
-    parts += [FRAMES[n](star, by, filters, date_role) for n in names if n in FRAMES]
-    if len(parts) == 1:
-        return parts[0]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return stacked.groupBy(*by).agg(*[F.max(n).alias(n) for n in names])
+        by_fact.setdefault(BASES[n].fact if n in BASES else B, []).append(n)
+    whole: list[DataFrame] = []
+    coarser: list[tuple[list[str], DataFrame, list[str]]] = []
+    for fact, wanted in by_fact.items():
+        own = [a for a in by if reaches(star, a, fact)]
+        kept = {a: v for a, v in filters.items() if reaches(star, a, fact)}
+        plain, framed = [n for n in wanted if n in BASES], [n for n in wanted if n in FRAMES]
+        parts = [_aggregated(star, fact, plain, own, kept, date_role)] if plain else []
+        parts += [FRAMES[n](star, own, kept, date_role) for n in framed]
+        if len(own) == len(by):
+            whole += parts
+        else:
+            coarser += [(own, p, [c for c in p.columns if c not in own]) for p in parts]
+    if whole:
+        base = whole[0] if len(whole) == 1 else reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), whole)
+        found = [c for c in base.columns if c not in by]
+        base = base if len(whole) == 1 else base.groupBy(*by).agg(*[F.max(n).alias(n) for n in found])
+    else:
+        base = _members(star, by)
+    for own, part, found in coarser:
+        if not own:
+            base = base.withColumns({n: part.select(n).scalar() for n in found})
+            continue
+        part = part.withColumnsRenamed({a: f"_of_{a}" for a in own})
+        match = [F.col(a).eqNullSafe(F.col(f"_of_{a}")) for a in own]
+        base = base.join(part, match, "left").drop(*[f"_of_{a}" for a in own])
+    return base
+
+
+def _members(star: Star, by: Sequence[str]) -> DataFrame:
+    """The groups of attributes that split none of the facts, taken from their dimension."""
+    dims = {ATTRIBUTES[a][0] if a in ATTRIBUTES else None for a in by}
+    if len(dims) != 1 or None in dims:
+        raise ValueError(f"no fact is split by all of {list(by)}, and no dimension holds them all")
+    columns = [F.col(ATTRIBUTES[a][1]).alias(a) for a in by]
+    return _dimension(star, dims.pop()).select(*columns).distinct()
 
 
 def measures(

@@ -9,8 +9,10 @@ only for attributes a date does not carry.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
+from graphlib import TopologicalSorter
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ from starmart.functions import dates
 from starmart.functions.numbers import MONEY, avg_exact, count_rows, rate, sum_if
 from starmart.operators import ranking, series
 from starmart.operators.lookup import lookup
+from starmart.plans import snapshots
 from starmart.schemas import DATE_YEAR, PARTITION_DATE
 
 Star = Mapping[str, DataFrame]
@@ -261,26 +264,50 @@ def marketing_performance(star: Star) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class View:
+    """A reporting view: how it is built from the tables and views it reads."""
+
+    build: Callable[[Star], DataFrame]
+    reads: tuple[str, ...]
+
+
 VIEWS = {
-    "vw_bookings_enriched": bookings_enriched,
-    "vw_monthly_revenue": monthly_revenue,
-    "vw_route_performance": route_performance,
-    "vw_guide_performance": guide_performance,
-    "vw_customer_summary": customer_summary,
-    "vw_weather_flagged_cancellations": weather_flagged_cancellations,
-    "vw_marketing_performance": marketing_performance,
+    "vw_weather_flagged_cancellations": View(weather_flagged_cancellations, ("FactBookings", "FactWeather", "DimRoute", "DimRegion")),
+    "vw_monthly_revenue": View(monthly_revenue, ("FactBookings",)),
+    "vw_route_performance": View(route_performance, ("FactBookings", "FactReviews", "DimRoute", "DimRegion")),
+    "vw_guide_performance": View(guide_performance, ("FactBookings", "FactReviews", "DimGuide")),
+    "vw_customer_summary": View(customer_summary, ("FactBookings", "DimCustomer")),
+    "vw_marketing_performance": View(marketing_performance, ("FactMarketing", "DimMarketingChannel")),
+    "vw_bookings_enriched": View(
+        bookings_enriched,
+        ("FactBookings", "DimDate", "DimCustomer", "DimRoute", "DimRegion", "DimGuide", "DimMarketingChannel"),
+    ),
 }
 
 
-def views(star: Star) -> dict[str, DataFrame]:
-    return {name: build(star) for name, build in VIEWS.items()}
+def views(star: Star, registry: Mapping[str, View] | None = None) -> dict[str, DataFrame]:
+    """Every view, each built after those it reads; views see the tables and each other by name."""
+    registry = VIEWS if registry is None else registry
+    known: dict[str, DataFrame] = dict(star)
+    needs = {name: [r for r in view.reads if r in registry] for name, view in registry.items()}
+    for name in TopologicalSorter(needs).static_order():
+        missing = [r for r in registry[name].reads if r not in known]
+        if missing:
+            raise KeyError(f"{name} reads {missing}, which neither the tables nor the views hold")
+        known[name] = registry[name].build(known)
+    return {name: known[name] for name in registry}
+
 
+def register_views(star: Star, registry: Mapping[str, View] | None = None) -> list[str]:
+    """(Re)create the star tables and reporting views as temporary views for SQL users.
 
-def register_views(star: Star) -> list[str]:
-    """(Re)create the star tables and reporting views as temporary views for SQL users."""
-    for name, df in {**star, **views(star)}.items():
+    All are built before the first is replaced, so a view that cannot be built leaves the old ones whole.
+    """
+    found = views(star, registry)
+    for name, df in {**star, **found}.items():
         df.createOrReplaceTempView(name)
-    return sorted(VIEWS)
+    return sorted(found)
 
 
 # ------------------------------------------------------------------ analytical queries
@@ -580,10 +607,12 @@ def customer_ltv(star: Star) -> DataFrame:
 
 
 def refresh_customer_ltv_snapshot(spark: SparkSession, star: Star, path: str) -> DataFrame:
-    """Replace the stored snapshot and report how many customers it holds."""
-    stamped = customer_ltv(star).withColumn("last_refreshed", F.current_timestamp())
-    stamped.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).agg(count_rows().alias("customers_refreshed"))
+    """Publish a new version of the snapshot and report how many customers it holds.
+
+    A refresh that fails leaves the version before in force.
+    """
+    snapshots.publish(customer_ltv(star).withColumn("last_refreshed", F.current_timestamp()), path)
+    return snapshots.current(spark, path).agg(count_rows().alias("customers_refreshed"))
 
 
 def sql_report(spark: SparkSession, query: str, **params: object) -> DataFrame:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.functions import calendar, dates, text
+from starmart.functions.numbers import count_rows
 from starmart.operators.lookup import lookup, spread_blank
 from starmart.operators.ranking import latest_known, numbered
 from starmart.plans import reports
 from starmart.schemas import CHANNELS, DATE_YEAR, PAID_CHANNELS, PARTITION_DATE, STAR
-from starmart.sources.files import conform, read_clean, read_star, write_csv, write_table
+from starmart.sources.files import conform, read_clean, read_star, star_path, write_csv, write_table
 
 DIMENSIONS = ("DimDate", "DimRegion", "DimGuide", "DimRoute", "DimCustomer", "DimMarketingChannel")
 FACTS = (
@@ -116,12 +120,12 @@ def fact_bookings(clean: dict[str, DataFrame], dims: dict[str, DataFrame]) -> Da
 MANDATORY_KEYS = ("customer_id", "route_id", "region_id", "tour_date_id", "created_date_id")
 
 
-def split_rejects(bookings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(loadable, rejected): bookings lacking a mandatory key are kept apart, not lost."""
+def with_outcome(bookings: DataFrame) -> DataFrame:
+    """Bookings with ``outcome``: loaded, or rejected for want of a mandatory key. They are kept apart, not lost."""
     complete = F.lit(True)
     for key in MANDATORY_KEYS:
         complete = complete & F.col(key).isNotNull()
-    return bookings.where(complete), bookings.where(~complete)
+    return bookings.withColumn("outcome", F.when(complete, "loaded").otherwise("rejected"))
 
 
 def fact_payments(payments: DataFrame) -> DataFrame:
@@ -170,13 +174,40 @@ def fact_weather(weather: DataFrame, regions: DataFrame) -> DataFrame:
 
 def load(df: DataFrame, folder: str, name: str) -> None:
     """Write one star table; dated facts are laid out by year."""
-    path = f"{folder}/{name}"
+    path = star_path(folder, name)
     if name in PARTITION_DATE:
         write_table(df.withColumn(DATE_YEAR, dates.key_year(PARTITION_DATE[name])), path, DATE_YEAR)
     else:
         write_table(df, path)
 
 
+def load_bookings(bookings: DataFrame, folder: str) -> None:
+    """Write loaded and rejected bookings in one go, so the joins behind them run once."""
+    year = dates.key_year(PARTITION_DATE["FactBookings"])
+    write_table(with_outcome(bookings).withColumn(DATE_YEAR, year), f"{folder}/FactBookings", "outcome", DATE_YEAR)
+
+
+def rejected_bookings(spark: SparkSession, folder: str) -> DataFrame:
+    """Bookings that were not loaded; none if all were."""
+    stored = spark.read.parquet(f"{folder}/FactBookings").where(F.col("outcome") == "rejected")
+    return stored.select(*STAR["FactBookings"].fields)
+
+
+def manifest(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, rows, measure, total) of stored tables: a row for each numeric column, one scan for each table.
+
+    Two loads of the same input have the same manifest; so have a table and its export.
+    """
+    parts = []
+    for name, df in tables.items():
+        numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name != DATE_YEAR]
+        exact = {f.name: isinstance(f.dataType, (T.DecimalType, T.IntegralType)) for f in df.schema.fields}
+        one = df.agg(count_rows().alias("rows"), *[(F.sum(F.col(c).cast("decimal(38,2)") if exact[c] else F.col(c))).cast("double").alias(c) for c in numeric])
+        pairs = [F.struct(F.lit(c).alias("measure"), F.col(c).alias("total")) for c in numeric]
+        parts.append(one.select(F.lit(name).alias("table"), "rows", F.inline(F.array(*pairs))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def build_warehouse(spark: SparkSession, clean_dir: str, out_dir: str) -> dict[str, DataFrame]:
     """Build and load all tables, dimensions before facts.
 
@@ -196,15 +227,15 @@ def build_warehouse(spark: SparkSession, clean_dir: str, out_dir: str) -> dict[s
     store("DimRoute", dim_route(clean["Route"], stored["DimRegion"]))
     store("DimCustomer", dim_customer(clean["Booking"]))
     store("DimMarketingChannel", dim_marketing_channel(spark))
-    loadable, rejected = split_rejects(fact_bookings(clean, stored))
-    store("FactBookings", loadable)
-    write_table(rejected, f"{out_dir}/RejectedBookings")
+    load_bookings(fact_bookings(clean, stored), out_dir)
+    stored["FactBookings"] = read_star(spark, out_dir, "FactBookings")
     store("FactPayments", fact_payments(clean["Payment"]))
     store("FactReviews", fact_reviews(clean["Review"], stored["FactBookings"]))
     store("FactEquipmentHire", fact_equipment_hire(clean["EquipmentHire"], stored["FactBookings"]))
     store("FactMarketing", fact_marketing(clean["Marketing"], stored["DimMarketingChannel"]))
     store("FactWebsiteAnalytics", fact_website_analytics(clean["WebsiteAnalytics"], stored["DimMarketingChannel"]))
     store("FactWeather", fact_weather(clean["Weather"], stored["DimRegion"]))
+    write_table(manifest(stored), f"{out_dir}/Manifest")
     return stored
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from starmart.functions import calendar, dates
 from starmart.functions.numbers import MONEY, count_rows, money
 from starmart.operators import ranking
-from starmart.plans import reports, validation, warehouse
-from starmart.registry import messy, query
+from starmart.plans import reports, snapshots, validation, warehouse
+from starmart.registry import ORACLES, messy, query
 from starmart.registry.cleansing import CLEANERS, SQL
 from starmart.registry.rules import variant, variant_sql
 from starmart.registry.sql import over, season, ymd
@@ -315,9 +315,11 @@ def b08(spark, sf):
 )
 def b08_rejects(spark, sf):
     clean = {"Booking": bookings(spark, sf), "ScheduledTour": tours(spark, sf), "BookingAttribution": attribution(spark, sf)}
-    loadable, rejected = warehouse.split_rejects(warehouse.fact_bookings(clean, _dims(spark, sf)))
-    sides = loadable.select(F.lit(True).alias("ok")).unionByName(rejected.select(F.lit(False).alias("ok")))
-    return sides.agg(F.count_if("ok").alias("loaded"), F.count_if(~F.col("ok")).alias("rejected"))
+    bookings_by = warehouse.with_outcome(warehouse.fact_bookings(clean, _dims(spark, sf)))
+    outcome = F.col("outcome")
+    return bookings_by.agg(
+        F.count_if(outcome == "loaded").alias("loaded"), F.count_if(outcome == "rejected").alias("rejected")
+    )
 
 
 @query(
@@ -419,10 +421,36 @@ STAR_ROWS = f"""WITH r AS ({ROUTE_SQL}), ok AS (SELECT * FROM orders JOIN r ON r
     UNION ALL SELECT 'FactWeather', count(DISTINCT (l_shipdate, n_regionkey)) FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)"""
 
 
-@query("b15_build_warehouse", f"{STAR_ROWS} SELECT * FROM counts")
+# One figure of each fact beside its rows; figures come from the statements of the facts themselves.
+FIGURES = {
+    "FactBookings": ("b08_fact_bookings", "total_price"),
+    "FactPayments": ("b09_fact_payments", "amount"),
+    "FactReviews": ("b10_fact_reviews", "overall_rating"),
+    "FactEquipmentHire": ("b11_fact_equipment_hire", "hire_revenue"),
+    "FactMarketing": ("b12_fact_marketing", "spend"),
+    "FactWebsiteAnalytics": ("b13_fact_website_analytics", "sessions"),
+    "FactWeather": ("b14_fact_weather", "rain_mm"),
+}
+KEYS_PRESENT = "WHERE customer_id IS NOT NULL AND route_id IS NOT NULL AND region_id IS NOT NULL"
+FIGURE_SQL = " UNION ALL ".join(
+    f"""SELECT '{t}' AS "table", round(CAST(sum({c}) AS DOUBLE), 2) AS total FROM ({ORACLES[q]}) {KEYS_PRESENT if t == "FactBookings" else ""}"""
+    for t, (q, c) in FIGURES.items()
+)
+
+
+def figures_of(told: DataFrame) -> DataFrame:
+    """(table, rows, total) of a manifest: rows of every table, the figure of each fact to the penny."""
+    figure = F.create_map(*[F.lit(x) for t, (_, c) in FIGURES.items() for x in (t, c)])[F.col("table")]
+    mine = F.max(F.when(F.col("measure") == figure, F.round("total", 2)))
+    return told.groupBy("table", "rows").agg(mine.alias("total"))
+
+
+@query("b15_build_warehouse", f"""{STAR_ROWS} SELECT "table", rows, total FROM counts LEFT JOIN ({FIGURE_SQL}) USING ("table")""")
 def b15(spark, sf):
-    star = warehouse.build_warehouse(spark, stored_clean(spark, sf), shared_path(spark, "warehouse"))
-    return row_counts(star)
+    """What the load's manifest tells of the stored tables."""
+    folder = shared_path(spark, "warehouse")
+    warehouse.build_warehouse(spark, stored_clean(spark, sf), folder)
+    return figures_of(spark.read.parquet(f"{folder}/Manifest"))
 
 
 # ------------------------------------------------------------------ sources and sinks
@@ -489,7 +517,7 @@ def s05(spark, sf):
         STAR["FactBookings"],
     )
     warehouse.load(facts, folder, "FactBookings")
-    stored = spark.read.parquet(f"{folder}/FactBookings")
+    stored = spark.read.parquet(files.star_path(folder, "FactBookings"))
     return stored.groupBy(F.col(DATE_YEAR).cast("bigint").alias("year")).agg(count_rows().alias("n"), F.sum("total_price").alias("booked"))
 
 
@@ -502,27 +530,49 @@ def s06(spark, sf):
     "s07_export_csv",
     f"""{STAR_ROWS}, f AS (SELECT *, o_orderdate::DATE AS d FROM ok),
     w AS (SELECT DISTINCT l_shipdate::DATE AS d, CAST(n_regionkey AS BIGINT) AS region_id FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)
-    SELECT * FROM counts UNION ALL SELECT 'Summary_CustomerLTV', count(DISTINCT o_custkey) FROM f
-    UNION ALL SELECT 'Summary_GuidePerformance', count(*) FROM supplier UNION ALL SELECT 'Summary_RoutePerformance', count(DISTINCT route_id) FROM f
-    UNION ALL SELECT 'Summary_WeatherFlaggedCancellations', count(*) FROM f JOIN w ON f.d = w.d AND f.region_id = w.region_id WHERE o_orderstatus = 'P'""",
+    SELECT "table", rows, total FROM counts LEFT JOIN ({FIGURE_SQL}) USING ("table") UNION ALL SELECT 'Summary_CustomerLTV', count(DISTINCT o_custkey), NULL FROM f
+    UNION ALL SELECT 'Summary_GuidePerformance', count(*), NULL FROM supplier UNION ALL SELECT 'Summary_RoutePerformance', count(DISTINCT route_id), NULL FROM f
+    UNION ALL SELECT 'Summary_WeatherFlaggedCancellations', count(*), NULL FROM f JOIN w ON f.d = w.d AND f.region_id = w.region_id WHERE o_orderstatus = 'P'""",
 )
 def s07(spark, sf):
     star = warehouse.build_warehouse(spark, stored_clean(spark, sf), shared_path(spark, "warehouse"))
     folder = shared_path(spark, "export")
     names = warehouse.export_csv(star, folder)
-    return row_counts({n: spark.read.csv(f"{folder}/{n}", header=True) for n in names})
+    return figures_of(warehouse.manifest({n: spark.read.csv(f"{folder}/{n}", header=True, inferSchema=True) for n in names}))
+
+
+SOLD = "sum(total_price) FILTER (WHERE status = 'confirmed')"
 
 
 @query(
     "s09_registered_views",
-    """SELECT year(o_orderdate) AS tour_year, CAST(sum(CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS revenue
-    FROM orders GROUP BY 1""",
+    over(
+        "lines_fact dim_guide weather marketing",
+        f"""SELECT 'vw_bookings_enriched' AS view, count(*) AS rows, CAST(sum(total_price) AS DOUBLE) AS total FROM lines_fact
+        UNION ALL SELECT 'vw_monthly_revenue', count(DISTINCT date_trunc('month', tour_date)), CAST({SOLD} AS DOUBLE) FROM lines_fact
+        UNION ALL SELECT 'vw_route_performance', count(DISTINCT route_id), CAST({SOLD} AS DOUBLE) FROM lines_fact
+        UNION ALL SELECT 'vw_guide_performance', (SELECT count(*) FROM dim_guide), CAST({SOLD} AS DOUBLE) FROM lines_fact
+        UNION ALL SELECT 'vw_customer_summary', count(DISTINCT customer_id), CAST({SOLD} AS DOUBLE) FROM lines_fact
+        UNION ALL SELECT 'vw_weather_flagged_cancellations', count(*), CAST(count(*) FILTER (WHERE storm_warning OR rain_mm > 15) AS DOUBLE)
+          FROM lines_fact f JOIN weather w ON f.region_id = w.region_id AND f.tour_date = w.d WHERE status = 'cancelled'
+        UNION ALL SELECT 'vw_marketing_performance', count(*), CAST(sum(spend) AS DOUBLE) FROM marketing""",
+    ),
 )
 def s09(spark, sf):
-    star = tpch.order_star(spark, sf, region=False)
-    for _ in range(2):  # registering twice replaces the view
-        reports.monthly_revenue(star).createOrReplaceTempView("vw_monthly_revenue")
-    return spark.sql("SELECT tour_year, sum(revenue) AS revenue FROM vw_monthly_revenue GROUP BY tour_year")
+    """All views, registered twice, each read by its name."""
+    star = tpch.line_star(spark, sf, order=True)
+    totals = {
+        "vw_bookings_enriched": "total_price",
+        "vw_monthly_revenue": "revenue",
+        "vw_route_performance": "revenue",
+        "vw_guide_performance": "revenue",
+        "vw_customer_summary": "lifetime_value",
+        "vw_weather_flagged_cancellations": "weather_flagged",
+        "vw_marketing_performance": "spend",
+    }
+    names = [n for _ in range(2) for n in reports.register_views(star)]  # the second time replaces the first
+    parts = [f"SELECT '{v}' AS view, count(*) AS rows, CAST(sum({totals[v]}) AS DOUBLE) AS total FROM {v}" for v in sorted(set(names))]
+    return spark.sql(" UNION ALL ".join(parts))
 
 
 @query(
@@ -556,4 +606,4 @@ def s12(spark, sf):
 def s12_rows(spark, sf):
     path = shared_path(spark, "ltv")
     reports.refresh_customer_ltv_snapshot(spark, tpch.order_star(spark, sf, region=False), path)
-    return spark.read.parquet(path).drop("last_refreshed")
+    return snapshots.current(spark, path).drop("last_refreshed")

@@ -157,6 +157,56 @@ def m16(spark, sf):
     return measures.measure(order_star(spark, sf), "repeat_customer_rate", ["year"])
 
 
+# Trips are counted over all statuses, customers where they have a booking of the status.
+TRIPS_IN_YEAR = """, trips AS (SELECT customer_id, year(tour_date) AS year, count(*) FILTER (WHERE status IN ('confirmed', 'amended')) AS n FROM orders_fact GROUP BY ALL),
+    held AS (SELECT DISTINCT o.status, year(o.tour_date) AS year, o.customer_id, n FROM orders_fact o JOIN trips t ON t.customer_id = o.customer_id AND t.year = year(o.tour_date))"""
+
+
+@query(
+    "m14_repeat_customers_by_status",
+    over(O, f"{TRIPS_IN_YEAR} SELECT year, status, count(*) FILTER (WHERE n > 1) AS repeat_customers, count(*) AS total_customers FROM held GROUP BY ALL"),
+)
+def m14_by_status(spark, sf):
+    return measures.measures(order_star(spark, sf), ["repeat_customers", "total_customers"], ["year", "status"])
+
+
+@query(
+    "m16_repeat_rate_of_cancelling_customers",
+    over(O, f"{TRIPS_IN_YEAR} SELECT year, {div('count(*) FILTER (WHERE n > 1)', 'count(*)')} AS repeat_customer_rate FROM held WHERE status = 'cancelled' GROUP BY ALL"),
+)
+def m16_cancelled(spark, sf):
+    return measures.measure(order_star(spark, sf), "repeat_customer_rate", ["year"], {"status": "cancelled"})
+
+
+@query(
+    "m51_season_slicer_dashboard",
+    over(
+        "orders_fact marketing",
+        f""", sold AS (SELECT year(tour_date) AS year, {REVENUE} AS revenue, count(*) AS total_bookings FROM orders_fact WHERE season = 'winter' GROUP BY ALL),
+        spent AS (SELECT year(month) AS year, CAST(sum(spend) AS DOUBLE) AS marketing_spend, CAST(sum(conversions) AS BIGINT) AS marketing_conversions FROM marketing GROUP BY ALL)
+        SELECT year, revenue, total_bookings, marketing_spend, marketing_conversions FROM sold FULL JOIN spent USING (year)""",
+    ),
+)
+def m51_slicer(spark, sf):
+    """Bookings follow the season; campaigns have none, so the slicer passes them by."""
+    names = ["revenue", "total_bookings", "marketing_spend", "marketing_conversions"]
+    return measures.measures(order_star(spark, sf), names, ["year"], {"season": "winter"})
+
+
+@query(
+    "m51_split_that_reaches_one_fact",
+    over(
+        "orders_fact dim_region marketing",
+        """, booked AS (SELECT name AS region, year(tour_date) AS year, count(*) AS total_bookings FROM orders_fact JOIN dim_region USING (region_id) GROUP BY ALL),
+        won AS (SELECT year(month) AS year, CAST(sum(conversions) AS BIGINT) AS marketing_conversions FROM marketing GROUP BY ALL)
+        SELECT region, year, total_bookings, marketing_conversions FROM booked LEFT JOIN won USING (year)""",
+    ),
+)
+def m51_split(spark, sf):
+    star = order_star(spark, sf, region=True)
+    return measures.measures(star, ["total_bookings", "marketing_conversions"], ["region", "year"])
+
+
 @query(
     "m17_revenue_vs_last_year",
     over(

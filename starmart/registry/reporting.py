@@ -110,11 +110,11 @@ def rv6(spark, sf):
     "rv7_marketing_performance",
     over(
         "marketing dim_channel",
-        f"""SELECT channel_name, channel_type, year(month) AS year, month(month) AS month, CAST(sum(spend) AS DOUBLE) AS spend, CAST(sum(clicks) AS BIGINT) AS clicks,
-        CAST(sum(impressions) AS BIGINT) AS impressions, CAST(sum(conversions) AS BIGINT) AS conversions, CAST(sum(revenue) AS DOUBLE) AS revenue,
-        CASE WHEN sum(spend) > 0 THEN {rate("sum(revenue)", "sum(spend)", 2)} END AS roas,
-        CASE WHEN sum(conversions) > 0 THEN {rate("sum(spend)", "sum(conversions)", 2)} ELSE 0 END AS cost_per_booking
-        FROM marketing JOIN dim_channel USING (channel_id) GROUP BY 1, 2, 3, 4""",
+        f""", monthly AS (SELECT channel_id, month, sum(spend) AS s, sum(revenue) AS r, CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(impressions) AS BIGINT) AS impressions,
+          CAST(sum(conversions) AS BIGINT) AS conversions FROM marketing GROUP BY ALL)
+        SELECT c.channel_name, c.channel_type, year(m.month) AS year, month(m.month) AS month, CAST(s AS DOUBLE) AS spend, clicks, impressions, conversions, CAST(r AS DOUBLE) AS revenue,
+        {rate("r", "greatest(s, 0)", 2)} AS roas, ifnull({rate("s", "greatest(conversions, 0)", 2)}, 0) AS cost_per_booking
+        FROM monthly m, dim_channel c WHERE c.channel_id = m.channel_id""",
     ),
 )
 def rv7(spark, sf):
@@ -142,10 +142,11 @@ def rq1(spark, sf):
     "rq2_top_routes_by_region",
     over(
         "lines_fact dim_route dim_region",
-        """, s AS (SELECT r.name AS region, t.name AS route, difficulty, sum(total_price) AS total, count(*) AS bookings FROM lines_fact f
-          JOIN dim_route t ON f.route_id = t.route_id JOIN dim_region r ON f.region_id = r.region_id WHERE status = 'confirmed' GROUP BY 1, 2, 3),
-        k AS (SELECT *, rank() OVER (PARTITION BY region ORDER BY total DESC) AS revenue_rank FROM s)
-        SELECT region, route, difficulty, CAST(total AS DOUBLE) AS revenue, bookings, revenue_rank FROM k WHERE revenue_rank <= 3""",
+        """, sold AS (SELECT region_id, route_id, sum(total_price) AS total, count(*) AS bookings FROM lines_fact WHERE status = 'confirmed' GROUP BY ALL),
+        named AS (SELECT r.name AS region, t.name AS route, t.difficulty, sum(s.total) AS total, CAST(sum(s.bookings) AS BIGINT) AS bookings
+          FROM sold s, dim_route t, dim_region r WHERE t.route_id = s.route_id AND r.region_id = s.region_id GROUP BY ALL),
+        placed AS (SELECT n.*, 1 + (SELECT count(*) FROM named m WHERE m.region = n.region AND m.total > n.total) AS revenue_rank FROM named n)
+        SELECT region, route, difficulty, CAST(total AS DOUBLE) AS revenue, bookings, revenue_rank FROM placed WHERE revenue_rank < 4""",
     ),
 )
 def rq2(spark, sf):
@@ -224,27 +225,30 @@ def rq6(spark, sf):
     "rq7_marketing_channel_mix",
     over(
         "marketing dim_channel",
-        """SELECT channel_name, channel_type, year(month) AS year, month(month) AS month, coalesce(CAST(sum(conversions) AS BIGINT), 0) AS conversions,
-        CAST(coalesce(sum(spend), 0) AS DOUBLE) AS spend, CAST(coalesce(sum(revenue), 0) AS DOUBLE) AS revenue
-        FROM marketing RIGHT JOIN dim_channel USING (channel_id) GROUP BY 1, 2, 3, 4""",
+        """, monthly AS (SELECT channel_id, month, CAST(sum(conversions) AS BIGINT) AS n, CAST(sum(spend) AS DOUBLE) AS spent, CAST(sum(revenue) AS DOUBLE) AS earned
+          FROM marketing GROUP BY ALL)
+        SELECT c.channel_name, c.channel_type, year(m.month) AS year, month(m.month) AS month, ifnull(n, 0) AS conversions, ifnull(spent, 0) AS spend, ifnull(earned, 0) AS revenue
+        FROM dim_channel c LEFT JOIN monthly m ON m.channel_id = c.channel_id""",
     ),
 )
 def rq7(spark, sf):
     return reports.channel_mix(tpch.order_star(spark, sf, region=False))
 
 
+# Each customer's first two days with a trip decide; later ones add nothing.
+TRIP_DAYS = """SELECT o_custkey AS customer_id, list_sort(list(DISTINCT o_orderdate::DATE)) AS days FROM orders
+    WHERE o_orderstatus IN ('F', 'O') GROUP BY ALL"""
+
+
 @query(
     "rq8_cohort_retention",
     over(
         "span",
-        f""", f AS (SELECT o_custkey, min(o_orderdate) AS first FROM orders WHERE o_orderstatus IN ('F','O') GROUP BY 1),
-        b AS (SELECT f.o_custkey, strftime(first, '%Y-%m') AS cohort_month,
-          max(CASE WHEN date_diff('day', first, o.o_orderdate) BETWEEN 1 AND 182 THEN 1 ELSE 0 END) AS m6,
-          max(CASE WHEN date_diff('day', first, o.o_orderdate) BETWEEN 1 AND 365 THEN 1 ELSE 0 END) AS m12
-          FROM f LEFT JOIN orders o ON o.o_custkey = f.o_custkey AND o.o_orderstatus IN ('F','O') GROUP BY 1, 2)
-        SELECT cohort_month, count(*) AS cohort_size, CAST(sum(m6) AS BIGINT) AS rebooked_6m, CAST(sum(m12) AS BIGINT) AS rebooked_12m,
-        {rate("sum(m6)", "count(*)")} AS retention_6m, {rate("sum(m12)", "count(*)")} AS retention_12m FROM b GROUP BY 1
-        HAVING cohort_month <= (SELECT strftime((date_trunc('month', hi) - INTERVAL 13 MONTH)::DATE + (day(hi) - 1)::INTEGER, '%Y-%m') FROM span)""",
+        f""", gaps AS (SELECT strftime(days[1], '%Y-%m') AS cohort_month, days[2] - days[1] AS gap FROM ({TRIP_DAYS})),
+        last AS (SELECT strftime((date_trunc('month', hi) - INTERVAL 13 MONTH)::DATE + (day(hi) - 1)::INTEGER, '%Y-%m') AS cohort_month FROM span)
+        SELECT g.cohort_month, count(*) AS cohort_size, count(*) FILTER (WHERE gap <= 182) AS rebooked_6m, count(*) FILTER (WHERE gap <= 365) AS rebooked_12m,
+        {rate("count(*) FILTER (WHERE gap <= 182)", "count(*)")} AS retention_6m, {rate("count(*) FILTER (WHERE gap <= 365)", "count(*)")} AS retention_12m
+        FROM gaps g SEMI JOIN last l ON g.cohort_month <= l.cohort_month GROUP BY ALL""",
     ),
 )
 def rq8(spark, sf):

@@ -408,11 +408,8 @@ def j13(spark, sf):
 
 @query(
     "j14_first_to_later_trips",
-    """WITH f AS (SELECT o_custkey, min(o_orderdate) AS first FROM orders WHERE o_orderstatus IN ('F','O') GROUP BY 1)
-    SELECT f.o_custkey AS customer_id,
-      max(CASE WHEN date_diff('day', first, o.o_orderdate) BETWEEN 1 AND 182 THEN 1 ELSE 0 END) AS within_6m,
-      max(CASE WHEN date_diff('day', first, o.o_orderdate) BETWEEN 1 AND 365 THEN 1 ELSE 0 END) AS within_12m
-    FROM f LEFT JOIN orders o ON o.o_custkey = f.o_custkey AND o.o_orderstatus IN ('F','O') GROUP BY 1""",
+    """WITH seen AS (SELECT o_custkey AS customer_id, list_sort(list(DISTINCT o_orderdate::DATE)) AS days FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY ALL)
+    SELECT customer_id, CAST(ifnull(days[2] - days[1] <= 182, false) AS INTEGER) AS within_6m, CAST(ifnull(days[2] - days[1] <= 365, false) AS INTEGER) AS within_12m FROM seen""",
 )
 def j14(spark, sf):
     trips = reports.first_and_second_trip(tpch.order_star(spark, sf, region=False))
@@ -848,9 +845,8 @@ def a27(spark, sf):
     return drilldown.drill_down(
         orders,
         ["year", "quarter", "month"],
-        count_rows().alias("bookings"),
-        F.sum("price").alias("booked"),
-        F.countDistinct("o_custkey").alias("customers"),
+        {"bookings": count_rows(), "booked": F.sum("price")},
+        {"customers": "o_custkey"},
     )
 
 
@@ -872,8 +868,8 @@ def a27_route(spark, sf):
     return drilldown.drill_down(
         per_pair.join(routes, "route_id"),
         ["region", "route"],
-        F.sum("n").alias("bookings"),
-        F.countDistinct("l_suppkey").alias("guides"),
+        {"bookings": F.sum("n")},
+        {"guides": "l_suppkey"},
     )
 
 

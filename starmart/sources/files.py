@@ -35,20 +35,26 @@ def read_clean_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.csv(path, schema=CLEAN[name].ddl, header=True, escape='"')
 
 
+def star_path(folder: str, name: str) -> str:
+    """Where a star table is stored. Bookings lie apart by outcome; those in the fact are the loaded ones."""
+    return f"{folder}/{name}/outcome=loaded" if name == "FactBookings" else f"{folder}/{name}"
+
+
 def read_star(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A stored star table; dated facts keep the year column their folders are named by."""
     layout = [DATE_YEAR] if name in PARTITION_DATE else []
-    return spark.read.parquet(f"{folder}/{name}").select(*STAR[name].fields, *layout)
+    return spark.read.parquet(star_path(folder, name)).select(*STAR[name].fields, *layout)
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+def write_table(df: DataFrame, path: str, *partition_by: str) -> None:
     """Overwrite a Parquet table.
 
-    With a partition column the rows are rebalanced on it: AQE sizes the tasks
+    With partition columns the rows are rebalanced on them: AQE sizes the tasks
     by bytes and splits a year that holds most of the data over many of them.
     """
     if partition_by:
-        df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        dealt = df.hint("rebalance", *map(F.col, partition_by))
+        dealt.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
 

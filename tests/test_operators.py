@@ -7,7 +7,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.operators import dedupe, intervals, lookup, median, ranking, series
+from starmart.operators import dedupe, drilldown, intervals, lookup, median, ranking, series
 
 
 @pytest.fixture(scope="module")
@@ -222,3 +222,22 @@ def test_same_period_last_year_survives_gaps(spark):
     df = spark.createDataFrame([(2019, 1, 10), (2020, 2, 5), (2020, 1, 20), (2022, 1, 7)], "year int, month int, v int")
     got = {(r.year, r.month): r.past for r in series.same_period_last_year(df, "year", "v", "past", ["month"]).collect()}
     assert got == {(2019, 1): None, (2020, 2): None, (2020, 1): 10, (2022, 1): None}
+
+
+def test_drill_down_against_brute_force(spark):
+    """Null levels, null values, values far apart and below zero; no row is read for more than the finest level."""
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([1, 2, None]), rng.choice([None, -5, 7, 10**12, *range(40_000, 40_050)]), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "x string, y int, who long, n long")
+    found = drilldown.drill_down(df, ["x", "y"], {"rows": F.count(F.lit(1)), "total": F.sum("n")}, {"people": "who"})
+    got = {(r.level, r.x, r.y): (r.rows, r.total, r.people) for r in found.collect()}
+    expected = {}
+    for level in range(3):
+        for x, y, who, n in rows:
+            key = (level, x if level else None, y if level > 1 else None)
+            count, total, people = expected.setdefault(key, [0, 0, set()])
+            expected[key] = [count + 1, total + n, people | ({who} - {None})]
+    assert got == {k: (c, t, len(p)) for k, (c, t, p) in expected.items()}
+    assert "Expand" not in plan(found)
+    none = drilldown.drill_down(df.limit(0), ["x"], {"rows": F.count(F.lit(1))}, {"people": "who"})
+    assert [(r.level, r.people) for r in none.collect()] == [(0, 0)]

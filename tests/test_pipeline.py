@@ -139,7 +139,27 @@ def test_bookings_fact_and_rejects(spark, built):
     assert (facts[100].tour_date_id, facts[100].created_date_id, facts[100].lead_time_days) == (20230601, 20230501, 31)
     assert (facts[100].customer_id, facts[100].route_id, facts[100].region_id, facts[100].channel_id) == (1, 1, 2, 1)
     assert (facts[102].guide_id, facts[103].channel_id) == (None, None)
-    assert spark.read.parquet(f"{built['out']}/RejectedBookings").count() == 1  # no address and an unknown tour
+    assert warehouse.rejected_bookings(spark, built["out"]).count() == 1  # no address and an unknown tour
+
+
+def test_the_manifest_tells_what_was_loaded(spark, built):
+    told = {(r.table, r.measure): (r.rows, r.total) for r in spark.read.parquet(f"{built['out']}/Manifest").collect()}
+    assert {t for t, _ in told} == set(warehouse.LOAD_ORDER)
+    assert told["FactBookings", "total_price"] == (3, 90.0 + 170 + 60) and told["FactPayments", "amount"] == (3, 270.0)
+    again = {(r.table, r.measure): (r.rows, r.total) for r in warehouse.manifest(warehouse.open_warehouse(spark, built["out"])).collect()}
+    assert told == again
+
+
+def test_the_joins_of_the_fact_run_once(spark, built, tmp_path, monkeypatch):
+    calls = []
+    real = warehouse.fact_bookings
+    monkeypatch.setattr(warehouse, "fact_bookings", lambda *a: calls.append(1) or real(*a))
+    writes = []
+    write = warehouse.write_table
+    monkeypatch.setattr(warehouse, "write_table", lambda df, path, *by: writes.append((path.rsplit("/", 1)[-1], by)) or write(df, path, *by))
+    warehouse.build_warehouse(spark, str(built["root"] / "clean"), str(tmp_path / "w"))
+    assert len(calls) == 1 and writes.count(("FactBookings", ("outcome", "date_year"))) == 1
+    assert [w for w, _ in writes].count("FactBookings") == 1
 
 
 def test_references_resolve(built):
