@@ -353,18 +353,31 @@ for _key, _name, _value in PAYMENTS:
     ),
 )
 def m40_month(spark, sf):
-    from starmart.functions import calendar
-
-    star = dict.fromkeys(measures.KEYS)
-    star |= {"FactPayments": tpch.payments(spark, sf)}
-    events = tpch.table(spark, sf, "events")
-    span = calendar.date_span((events, "ts")).select("lo", F.date_add("hi", 31).alias("hi"))
-    star["DimDate"] = calendar.date_dimension(span)
-    base = measures.figures(star, ["refund_days", "refund_n", "refunded"], ["month"], {}, "refunded").where("month IS NOT NULL")
+    base = measures.figures(order_star(spark, sf), ["refund_days", "refund_n", "refunded"], ["month"], {}, "refunded").where("month IS NOT NULL")
     average = measures.MEASURES["average_days_to_refund"].value()
     return base.select("month", average.alias("average_days_to_refund"), F.col("refunded").alias("refunds"))
 
 
+@query(
+    "m37_payment_success_by_paid_year",
+    over(
+        "payments",
+        f"""SELECT year(paid_date) AS year, {div("count(*) FILTER (WHERE status = 'paid')", "count(*) FILTER (WHERE status IN ('paid', 'failed'))")} AS payment_success_rate
+        FROM payments GROUP BY ALL""",
+    ),
+)
+def m37_by_year(spark, sf):
+    return measures.measure(order_star(spark, sf), "payment_success_rate", ["year"], date_role="paid")
+
+
+@query(
+    "m48_website_sessions_by_year",
+    over("website", "SELECT year(week) AS year, CAST(sum(sessions) AS BIGINT) AS website_sessions FROM website GROUP BY ALL"),
+)
+def m48_by_year(spark, sf):
+    return measures.measure(order_star(spark, sf), "website_sessions", ["year"])
+
+
 @query(
     "m44_channel_mix_pct",
     over("orders_fact dim_channel", f"SELECT channel_name AS channel, count(*) AS total_bookings, {div('count(*)', '(SELECT count(*) FROM orders_fact)')} AS channel_mix FROM orders_fact JOIN dim_channel USING (channel_id) GROUP BY 1"),
