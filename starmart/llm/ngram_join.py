@@ -5,21 +5,26 @@ similarity reaches it differ in at most H shingles, where H follows from the siz
 
 1. Size bands. A pair belongs to the band of its smaller set; a set enters its own band and, if a smaller partner
    can lie there, the band below. Every band has its own H.
-2. Segments. In a band all shingles are dealt by hash into H + 1 segments. Two similar sets agree on one segment at
-   least, as H differences cannot touch all. A segment is indexed by a hash of its shingles. An empty segment would be
-   an entry of many sets that says little, so it is skipped and made up for: if two sets agree on t empty segments
-   only, all others differ, and at most t - 1 of them by more than one shingle; so one of the first 2t segments differs
-   by exactly one. A set with e empty segments indexes under each of them the first 2e segments, whole and less one
-   shingle. If e is over FEW_EMPTY or half the segments, its empty segments stay in the index too, and 2 * FEW_EMPTY
-   segments are enough: of two sets one has few, or both agree on an entry.
+2. Segments. In a band all shingles are dealt by hash into more than H + 1 segments. A set of n shingles differs from
+   its partners in at most h <= H, so of s segments it agrees with each on s - h at least. It leaves out the s - h - 1
+   with the fewest shingles (ties: the first ones), which say least, and indexes h + 1, each by a hash of its shingles.
+   No link is lost: segments that two sets agree on stand in the same order in both, so the two leave out only as many
+   of these as the one that leaves out more does, which is fewer than they agree on.
+   If more segments of a set are empty than it may leave out, it indexes all that are not, and makes up for the empty
+   ones: if two such sets agree on t empty segments only, all others differ, and at most t - 1 of them by more than one
+   shingle; so one of the first 2t segments differs by exactly one. A set with e empty segments indexes under each of
+   them the first 2e segments, whole and less one shingle. If e is over FEW_EMPTY or half the segments, its empty
+   segments stay in the index too, and 2 * FEW_EMPTY segments are enough: of two sets one has few, or both agree on an
+   entry. Partners that leave segments out leave out all their empty ones, and are found on one that is not.
 3. Candidates. First each set of an index entry is paired with one of them, that which stands in most entries and so
    is closest to what they have in common; this joins the bulk of a group of near copies without its pairs. Then, in
    entries of at most MANY sets, the pairs of sets of different components are candidates.
 4. Cost-based allocation. Where an entry of many sets still holds several components, the sets outside its largest
-   component probe once more: such entries are skipped where that is cheaper, and each skipped segment is made up for by
-   another one (of the first eighth) on which one difference is allowed, found by deleting one shingle on either side. Costs are the counted
-   sizes of the entries. With v = -1 (skipped), 0 (equal) or 1 (one difference) on each segment and the sum of v + 1 at
-   least H + 1, a similar partner is found on some segment; so no link between different components is lost.
+   component probe once more: the dearest s - h - 1 segments are skipped, and more where that is cheaper; each of these
+   is made up for by another one (of the first eighth) on which one difference is allowed, found by deleting one shingle
+   on either side. Costs are the counted sizes of the entries. With v = -1 (skipped), 0 (equal) or 1 (one difference) on
+   each segment and the sum of v + 1 at least h + 1, a similar partner is found on some segment; so no link between
+   different components is lost.
 5. Verification. A pair is dropped at the join if its sizes rule it out, or if the parities of 256 classes of shingles
    differ in more classes than the sets can differ in shingles; then by parities of as many classes as the sets need.
    The rest is compared exactly, set against set, from texts that move compressed.
@@ -52,6 +57,8 @@ from starmart.session import checkpointed
 
 #: An index entry of more sets is not compared pair by pair; changes the work, not the result.
 MANY = 64
+#: One segment for so many is added to those that the differences need, to be left out; changes the work, not the result.
+SPARE = 4
 #: Empty segments of a set that are all made up for by others.
 FEW_EMPTY = 3
 #: Upper end of a band over its lower end, about.
@@ -77,10 +84,22 @@ class Rule:
                 return low, high
             low = high + 1
 
+    def differences(self, one: int, two: int) -> int:
+        """Shingles in which two sets of these sizes that link can differ."""
+        return (one + two) * (100 - self.percent) // (100 + self.percent)
+
     def segments(self, high: int) -> int:
-        """Segments of a band: one more than the shingles in which a pair can differ."""
-        larger = high * 100 // self.percent
-        return (high + larger) * (100 - self.percent) // (100 + self.percent) + 1
+        """Segments of a band: one more than the shingles in which a pair can differ, and a part of that to spare."""
+        needed = self.differences(high, high * 100 // self.percent) + 1
+        return needed + needed // SPARE
+
+    def spare(self, size: int, high: int) -> int:
+        """Segments of a band that a set may leave out: all but one more than it can differ in from a partner there.
+
+        In a band below its own a set is the larger one of a pair.
+        """
+        partner = size * 100 // self.percent if size <= high else high
+        return self.segments(high) - 1 - self.differences(size, partner)
 
     def bands(self, size: int) -> list[int]:
         """Upper ends of the bands a set enters."""
@@ -116,10 +135,13 @@ def set_keys(shingles: np.ndarray, high: int, rule: Rule) -> np.ndarray:
     """Index keys of a set in a band."""
     segment, sums = dealt(shingles, high, rule)
     count = len(sums)
-    filled = np.bincount(segment.astype(np.int64), minlength=count) > 0
+    held = np.bincount(segment.astype(np.int64), minlength=count)
+    filled = held > 0
     empty = np.flatnonzero(~filled)
-    if not len(empty):
-        return segment_keys(sums, np.arange(count), high)
+    spare = rule.spare(len(shingles), high)
+    if len(empty) <= spare:
+        fullest = np.argsort(held, kind="stable")[spare:]
+        return segment_keys(sums[fullest], fullest, high)
     plain = np.arange(count) if len(empty) > min(FEW_EMPTY, count // 2) else np.flatnonzero(filled)
     reach = min(count, 2 * min(FEW_EMPTY, len(empty)))
     front = segment < np.uint64(reach)
@@ -346,14 +368,14 @@ def neighbourhoods(sets: DataFrame, rule: Rule) -> DataFrame:
     return sets.mapInArrow(rows, "sid bigint, band int, segment int, deleted boolean, key bigint")
 
 
-def allocated(costs: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+def allocated(costs: list[tuple[int, int, int]], spare: int = 0) -> list[tuple[int, int]]:
     """(segment, v) of the segments that are not skipped, from (segment, cost of v = 0, cost of v = 1).
 
-    Starts from v = 0 everywhere and, while it saves, skips the dearest segment left and allows one difference on
-    the segment where that costs least more; the sum of v + 1 stays the number of segments.
+    Skips the dearest ``spare`` segments. Starts from v = 0 on the others and, while it saves, skips the dearest segment
+    left and allows one difference on the segment where that costs least more; the sum of v + 1 stays what it was.
     """
-    level = {s: 0 for s, _, _ in costs}
     dear = sorted(costs, key=lambda c: -c[1])
+    level = {s: -1 if i < spare else 0 for i, (s, _, _) in enumerate(dear)}
     cheap = sorted(costs, key=lambda c: c[2] - c[1])
     at = 0
     for segment, equal, _ in dear:
@@ -393,7 +415,7 @@ def probes(index: DataFrame, sets: DataFrame, probers: DataFrame, rule: Rule) ->
                     segment, sums = dealt(shingles, high, rule)
                     segment = segment.astype(np.int64)
                     level = np.full(len(sums), -1)
-                    for place, v in allocated(cost):
+                    for place, v in allocated(cost, rule.spare(len(shingles), high)):
                         level[place] = v
                     whole = np.flatnonzero(level >= 0)
                     near = level[segment] == 1

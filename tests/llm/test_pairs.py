@@ -98,12 +98,38 @@ def test_linking_sets_share_an_entry(percent):
     assert seen > 1000
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_sets_that_just_link_share_an_entry(percent):
+    # As different as their sizes allow, so nothing is in reserve; and no set holds more entries than it must.
+    rule, r, left_out = ngram_join.Rule(5, percent), np.random.default_rng(percent), 0
+    for _ in range(3000):
+        one = np.unique(r.integers(0, 1 << 63, int(r.integers(4, 400)), dtype=np.uint64))
+        gone = int(r.integers(0, len(one) * (100 - percent) // 100 + 1))
+        kept = r.permutation(one)[gone:]
+        # Of (kept + new) shingles the other set has, kept are common: 100 * kept >= percent * (one + new).
+        new = max(0, 100 * len(kept) // percent - len(one))
+        two = np.unique(np.concatenate([kept, r.integers(0, 1 << 63, new, dtype=np.uint64)]))
+        assert 100 * len(kept) >= percent * (len(one) + len(two) - len(kept))
+        keys = []
+        for s in (one, two):
+            found = set()
+            for high in rule.bands(len(s)):
+                entries = ngram_join.set_keys(s, high, rule)
+                left_out += len(entries) < rule.segments(high)
+                found.update(entries.tolist())
+            keys.append(found)
+        assert keys[0] & keys[1]
+    assert left_out > 6000
+
+
 def test_allocation_covers_all_segments():
     r = random.Random(2)
     for _ in range(500):
         costs = [(s, e := r.choice([0, 1, 50]), e + r.choice([0, 2, 70])) for s in range(r.randrange(1, 12))]
-        found = ngram_join.allocated(costs)
-        assert sum(v + 1 for _, v in found) == len(costs)
+        spare = r.randrange(len(costs))
+        found = ngram_join.allocated(costs, spare)
+        assert sum(v + 1 for _, v in found) == len(costs) - spare
+        assert len(found) <= len(costs) - spare and len({s for s, _ in found}) == len(found)
 
 
 def test_join_of_odd_rows(docs, nothing):
