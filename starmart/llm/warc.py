@@ -1,15 +1,17 @@
 """WARC archives: a writer with revisit records, and a reader that salvages what it can.
 
 Writer. Each task writes the records of its partition into gzip archives, one member a record, and starts a new archive
-at ``ROLL_BYTES``. An archive is written under a name of the attempt and renamed when it is whole, so a task run again
-replaces its archives by equal ones. Of records with equal payloads of at least ``least_bytes`` bytes those with the
-smallest id are responses, the others revisits without a payload. The header of a revisit keeps the full length.
-
-Reader. Archives are read as streams, one archive a task, a record at a time. A member must decompress, end with its
-checksum, begin with a version line, have a header block whose Content-Length is what follows, and a block that agrees
-with its block digest. After a failed check the reader searches for the next valid member (or version line, in an archive that
-is not compressed), goes on from there and logs the bytes in between as a quarantined gap. Nothing valid after a gap is
-lost. Memory holds one record.
+at ``ROLL_BYTES``. An attempt writes into a folder of its own, which takes the place of the task's folder when it is
+whole; so a task run again leaves no archive of an earlier attempt, and readers see no unfinished one. Of records with
+equal payloads of at least ``least_bytes`` bytes those with the smallest id are responses, the others revisits without a
+payload. The header of a revisit keeps the full length.
+
+Reader. Archives are read as streams, one archive a task, a record at a time. A record begins with a version line, has a
+header of any length, a Content-Length that is followed by the end of the record, and a block that agrees with its block
+digest. It stands by itself or in a gzip member, which may hold several and must end with its checksum. After a failed
+check the reader searches for the next valid member or version line, whichever comes first and whatever came before, and
+logs the bytes in between as a quarantined gap. Within a member it searches for the next version line. Of a damaged
+member the records before the damage count if their block digest agrees. Memory holds one record, and 16 MB of a member.
 
 A null payload is empty. Null ids are written as such; among equal payloads they sort last. Rows that repeat the
 smallest id are all responses. Other columns are never read. An empty table writes no archive; no archive gives no record.
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,8 +38,15 @@ from starmart.session import checkpointed
 ROLL_BYTES = 256 << 20
 #: Bytes read from an archive at once.
 CHUNK = 1 << 20
+#: Compressed bytes that are decompressed at once.
+FEED = 1 << 14
+#: Content of a member that is held in memory.
+HELD = 16 << 20
 VERSION = b"WARC/1."
 MEMBER = b"\x1f\x8b\x08"
+FIRST_LINE = re.compile(rb"WARC/1\.\d+\r\n")
+VERSION_MARK = re.compile(re.escape(VERSION))
+MARKS = re.compile(re.escape(VERSION) + b"|" + re.escape(MEMBER))
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 RECORDS = (
@@ -105,17 +115,9 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
             fs.LocalFileSystem(),
             folder,
         )
-        store.create_dir(root, recursive=True)
-        names, counts, out, part = [], [], None, 0
+        names, counts, out = [], [], None
         trial = f"{root}/.attempt-{context.taskAttemptId()}"
-
-        def close() -> None:
-            nonlocal out, part
-            out.close()
-            name = f"{root}/part-{context.partitionId():06d}-{part:04d}.warc.gz"
-            store.move(trial, name)
-            names.append(name)
-            out, part = None, part + 1
+        store.create_dir(trial, recursive=True)
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -138,9 +140,18 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
                 )
                 counts[-1] += 1
                 if out.tell() >= ROLL_BYTES:
-                    close()
+                    out.close()
+                    out = None
         if out is not None:
-            close()
+            out.close()
+        task = f"{root}/task-{context.partitionId():06d}"
+        if store.get_file_info(task).type != fs.FileType.NotFound:
+            store.delete_dir(task)
+        if names:
+            store.move(trial, task)
+        else:
+            store.delete_dir(trial)
+        names = [f"{task}/{name}" for name in names]
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())], ["archive", "records"])
 
     return planned(pages, least_bytes).mapInArrow(written, "archive string, records bigint")
@@ -149,120 +160,216 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
 # ---------------------------------------------------------------- reading
 
 
+class Damaged(Exception):
+    """A failed check; says which."""
+
+
 class Window:
     """A file seen through a moving buffer; ``at(o, n)`` gives up to n bytes from offset o on."""
 
     def __init__(self, file):
         self.file, self.size, self.start, self.data = file, file.size(), 0, b""
 
+    def forget(self, offset: int) -> None:
+        """Nothing to do, the buffer moves anyway."""
+
     def at(self, offset: int, count: int) -> bytes:
+        if offset >= self.size:
+            return b""
         if offset < self.start or offset + count > self.start + len(self.data):
             self.file.seek(offset)
             self.start, self.data = offset, self.file.read(max(count, CHUNK))
         return self.data[offset - self.start : offset - self.start + count]
 
-    def find(self, pattern: bytes, offset: int) -> int:
-        """The next place of ``pattern`` from ``offset`` on, or the file's size."""
-        while offset < self.size:
-            data = self.at(offset, CHUNK)
-            hit = data.find(pattern)
-            if hit >= 0:
-                return offset + hit
-            if len(data) < CHUNK:
-                break
-            offset += len(data) - len(pattern) + 1
-        return self.size
 
+class Inflated:
+    """The content of the gzip member at ``begin``, seen as a window that moves forward.
 
-class Damaged(Exception):
-    """A failed check; says which."""
+    ``run`` reads it through: ``end`` is where the member ends or fails, ``failure`` why it fails (None: it does not).
+    What precedes a failure can be read. Content up to ``HELD`` bytes stays in memory, longer content is decompressed again.
+    """
 
+    def __init__(self, window: Window, begin: int):
+        self.window, self.begin = window, begin
+        self.restart()
 
-def unpacked(window: Window, offset: int) -> tuple[bytes, int]:
-    """The content of the gzip member at ``offset`` and where it ends."""
-    if window.at(offset, 3) != MEMBER:
-        raise Damaged("no gzip member")
-    stream, parts, at = zlib.decompressobj(31), [], offset
-    while not stream.eof:
-        data = window.at(at, CHUNK)
-        if not data:
-            raise Damaged("member cut off")
+    def restart(self) -> None:
+        self.stream, self.next, self.ended, self.reason = zlib.decompressobj(31), self.begin, False, None
+        self.start, self.data = 0, bytearray()
+
+    def more(self) -> bool:
+        """Decompresses some more; false if there is no more."""
+        if self.ended:
+            return False
+        packed = self.window.at(self.next, FEED)
         try:
-            parts.append(stream.decompress(data))
-        except zlib.error as e:
-            raise Damaged("member does not decompress or fails its checksum") from e
-        if len(parts) == 1 and not VERSION.startswith(parts[0][: len(VERSION)]) and parts[0]:
-            raise Damaged("no version line")
-        at += len(data) - len(stream.unused_data)
-    return b"".join(parts), at
-
-
-def parsed(data: bytes) -> dict:
-    """The record that ``data`` starts with; ``size`` is where it ends."""
-    if not data.startswith(VERSION):
+            if not packed:
+                raise Damaged("member cut off")
+            self.data += self.stream.decompress(packed)
+            self.next += len(packed) - len(self.stream.unused_data)
+            self.ended = self.stream.eof
+        except Damaged as e:
+            self.ended, self.reason = True, str(e)
+        except zlib.error:
+            self.ended, self.reason = True, "member does not decompress or fails its checksum"
+            self.up_to_failure(packed)
+        return True
+
+    def up_to_failure(self, packed: bytes) -> None:
+        """What a failed piece holds before the byte that fails."""
+        stream = zlib.decompressobj(31)
+        for at in range(self.begin, self.next, FEED):
+            stream.decompress(self.window.at(at, FEED))
+        for i in range(len(packed)):
+            try:
+                self.data += stream.decompress(packed[i : i + 1])
+            except zlib.error:
+                self.next += i
+                return
+
+    def run(self) -> None:
+        whole = True
+        while self.more():
+            if len(self.data) > HELD:
+                whole = False
+                self.data.clear()
+        self.end, self.failure = self.next, self.reason
+        if not whole:
+            self.restart()
+
+    def at(self, offset: int, count: int) -> bytes:
+        while self.start + len(self.data) < offset + count and self.more():
+            pass
+        return bytes(self.data[offset - self.start : offset + count - self.start])
+
+    def forget(self, offset: int) -> None:
+        """Nothing before the offset is asked for any more."""
+        if offset - self.start > CHUNK:
+            del self.data[: offset - self.start]
+            self.start = offset
+
+
+def following(source: Window | Inflated, marks: re.Pattern, offset: int) -> int:
+    """The next place of a mark from ``offset`` on, or the end."""
+    while True:
+        source.forget(offset)
+        data = source.at(offset, CHUNK)
+        hit = marks.search(data)
+        if hit:
+            return offset + hit.start()
+        if len(data) < CHUNK:
+            return offset + len(data)
+        # A mark may lie across the border.
+        offset += len(data) - len(VERSION) + 1
+
+
+def header(source: Window | Inflated, offset: int) -> tuple[dict[str, str], int]:
+    """The fields of the record at ``offset`` and the length of its header, read on until it closes."""
+    if not FIRST_LINE.match(source.at(offset, 16)):
         raise Damaged("no version line")
-    head, mark, _ = data.partition(b"\r\n\r\n")
-    if not mark:
-        raise Damaged("header not closed")
-    fields = {}
-    for line in head.split(b"\r\n")[1:]:
-        name, colon, value = line.decode("utf-8", "replace").partition(":")
-        if not colon:
-            raise Damaged("header line without a colon")
-        fields[name.strip().lower()] = value.strip()
-    if not fields.get("content-length", "").isdigit():
+    size = 1 << 12
+    while True:
+        data = source.at(offset, size)
+        length = data.find(b"\r\n\r\n")
+        fields: dict[str, str] = {}
+        name = ""
+        lines = data[: length if length >= 0 else max(0, data.rfind(b"\r\n"))].split(b"\r\n")[1:]
+        for line in (x.decode("utf-8", "replace") for x in lines):
+            if line[:1] in (" ", "\t") and name:
+                fields[name] += " " + line.strip()
+                continue
+            name, colon, value = line.partition(":")
+            if not colon:
+                raise Damaged("header line without a colon")
+            name = name.strip().lower()
+            fields[name] = value.strip()
+        if length >= 0:
+            return fields, length + 4
+        if len(data) < size:
+            raise Damaged("header not closed")
+        size *= 4
+
+
+def record_at(source: Window | Inflated, offset: int) -> tuple[dict, int]:
+    """The record at ``offset``, as fields and block, and where it ends."""
+    fields, begin = header(source, offset)
+    stated = fields.get("content-length", "")
+    if not (stated.isascii() and stated.isdigit()):
         raise Damaged("no content length")
-    begin, length = len(head) + 4, int(fields["content-length"])
-    block = data[begin : begin + length]
-    if len(block) < length or data[begin + length : begin + length + 4] != b"\r\n\r\n":
+    length = int(stated)
+    # Its last byte first, so that a false length reads no long block.
+    if isinstance(source, Window) and source.at(offset + begin + length, 4) != b"\r\n\r\n":
+        raise Damaged("block shorter or longer than its length says")
+    data = source.at(offset + begin, length + 4)
+    block = data[:length]
+    if data[length:] != b"\r\n\r\n":
         raise Damaged("block shorter or longer than its length says")
     if fields.get("warc-block-digest", "").startswith("sha1:") and fields["warc-block-digest"][5:] != digest(block):
         raise Damaged("block digest differs")
-    return {"fields": fields, "block": block, "size": begin + length + 4}
+    return {"fields": fields, "block": block}, offset + begin + length + 4
 
 
-def plain_record(window: Window, offset: int) -> tuple[dict, int]:
-    """The record at ``offset`` of an archive that is not compressed."""
-    head = window.at(offset, 1 << 16)
-    begin = head.find(b"\r\n\r\n")
-    if not head.startswith(VERSION) or begin < 0:
-        raise Damaged("no version line or header not closed")
-    length = next(
-        (v for n, _, v in (x.partition(b":") for x in head[:begin].split(b"\r\n")) if n.strip().lower() == b"content-length"),
-        b"",
-    ).strip()
-    if not length.isdigit() or offset + begin + int(length) + 8 > window.size:
-        raise Damaged("no content length, or past the end")
-    found = parsed(window.at(offset, begin + int(length) + 8))
-    return found, offset + found["size"]
+def records_in(content: Inflated, vouched: bool) -> Iterator[dict]:
+    """Records and gaps of a member. One without a checksum does not vouch for records without a block digest."""
+    at, gap = 0, None
+    while content.at(at, 1):
+        content.forget(at)
+        try:
+            found, end = record_at(content, at)
+            if not vouched and "warc-block-digest" not in found["fields"]:
+                raise Damaged("no digest, in a damaged member")
+        except Damaged as e:
+            gap = gap or str(e)
+            at = following(content, VERSION_MARK, at + 1)
+            continue
+        if gap and vouched:
+            yield {"reason": gap}
+        gap = None
+        yield found
+        at = end
+    if gap and vouched:
+        yield {"reason": gap}
 
 
 def salvaged(file) -> Iterator[dict]:
-    """Records and gaps of an open archive, in order; each has offset and length, a gap its reason."""
-    window, at, gap, why = Window(file), 0, None, ""
-    packed = window.at(0, 2) == MEMBER[:2] or window.find(MEMBER, 0) < window.find(VERSION, 0)
-    mark = MEMBER if packed else VERSION
-    while at < window.size:
+    """Records and gaps of an open archive, in order; each has offset and length, a gap its reason.
+
+    What lies in a member has the member's offset and length, in a damaged member no length.
+    """
+    window, at, gap, why, known = Window(file), 0, None, "", 0
+    while window.at(at, 1):
         try:
-            if packed:
-                data, end = unpacked(window, at)
-                found = parsed(data)
-                if found["size"] != len(data):
-                    raise Damaged("bytes after the record")
+            if window.at(at, 3) == MEMBER:
+                content = Inflated(window, at)
+                if not content.at(0, len(VERSION)).startswith(VERSION):
+                    raise Damaged(content.reason or "no version line")
+                content.run()
+                end, reason = content.end, content.failure
+                if reason:
+                    for found in records_in(content, False):
+                        known = end
+                        yield found | {"offset": at, "length": None}
+                    raise Damaged(reason)
+                rows = records_in(content, True)
             else:
-                found, end = plain_record(window, at)
+                found, end = record_at(window, at)
+                rows = [found]
         except Damaged as e:
             if gap is None:
                 gap, why = at, str(e)
-            at = window.find(mark, at + 1)
+            at = following(window, MARKS, at + 1)
+            # Records of a damaged member that is stored rather than compressed have been read already.
+            while at < known and window.at(at, 3) != MEMBER:
+                at = following(window, MARKS, at + 1)
             continue
         if gap is not None:
             yield {"offset": gap, "length": at - gap, "reason": why}
             gap = None
-        yield found | {"offset": at, "length": end - at}
+        for found in rows:
+            yield found | {"offset": at, "length": end - at}
         at = end
     if gap is not None:
-        yield {"offset": gap, "length": window.size - gap, "reason": why}
+        yield {"offset": gap, "length": at - gap, "reason": why}
 
 
 def read(spark: SparkSession, folder: str, pattern: str = "*.warc*") -> DataFrame:
