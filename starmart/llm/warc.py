@@ -118,11 +118,11 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
         names, counts, out = [], [], None
         trial = f"{root}/.attempt-{context.taskAttemptId()}"
         store.create_dir(trial, recursive=True)
-
         for batch in batches:
             for row in batch.to_pylist():
                 if out is None:
-                    out = store.open_output_stream(trial, compression=None)
+                    names.append(f"part-{len(names):04d}.warc.gz")
+                    out = store.open_output_stream(f"{trial}/{names[-1]}", compression=None)
                     counts.append(0)
                 refers = row["refers_to"]
                 out.write(
