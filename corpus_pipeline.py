@@ -7,11 +7,13 @@ passes through.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm import decontamination, exact_dedup, ngram_join, packing, queries, toxicity
+from starmart.llm.common import bounded_batches
 from starmart.session import shared_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -42,12 +44,23 @@ def sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return queries.digests(packing.pack(docs, queries.vocabulary("word_bpe_49k.json")))
 
 
+def bounded(stage: Stage) -> Stage:
+    """``stage`` with its texts in batches of bounded size: workers and heap of earlier stages leave little room."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+        bounded_batches(spark)
+        return stage(spark, docs, folder)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", toxic_texts),
-    ("exact_dedup", exact_copies),
-    ("ngram_join", near_copies),
-    ("decontamination", benchmark_passages),
-    ("packing", sequences),
+    ("toxicity", bounded(toxic_texts)),
+    ("exact_dedup", bounded(exact_copies)),
+    ("ngram_join", bounded(near_copies)),
+    ("decontamination", bounded(benchmark_passages)),
+    ("packing", bounded(sequences)),
 ]
 
 #: Model scores and token sequences have no SQL form; tests/llm/ compares each stage with a plain version.

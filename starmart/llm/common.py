@@ -23,6 +23,16 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Bytes of an Arrow batch, about. Two copies of a batch outside the heap and one in the Python worker stand at a time
+#: for every task, so long rows in batches of a count of rows alone take hundreds of MB of an executor.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on the session's rows go to Python in batches of bounded size; changes no result."""
+    spark.conf.set(BATCH, str(BATCH_BYTES))
+
+
 #: Removes the shuffle files of a query when it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -5,13 +5,14 @@ import zlib
 from collections import defaultdict
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_pairs import brute_components
 from test_texts import brute_contamination
 from tokenizers import Tokenizer
 
-from starmart.llm import queries, toxicity
+from starmart.llm import common, queries, toxicity
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -108,3 +109,18 @@ def test_the_whole_run(spark, folder, tmp_path):
     for name in ("labels", "benchmark"):
         queries.table(spark, folder, name).write.parquet(f"{empty}/{name}.parquet")
     assert corpus_pipeline.run(spark, empty).collect() == []
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_long_texts_reach_python_in_small_batches(spark, folder, name, stage):
+    """Rows of 50 kB: by their count alone all 200 of them would be one batch of 10 MB."""
+    spark.conf.unset(common.BATCH)
+    stage(spark, queries.table(spark, folder, "documents"), folder)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    long = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("word "), 10_000).alias("text"))
+    got = [r.n for r in long.mapInArrow(sizes, "n bigint").collect()]
+    assert sum(got) >= 200 * 50_000 and max(got) <= 2 * common.BATCH_BYTES
