@@ -247,6 +247,29 @@ def test_links_in_hot_entries(spark):
     assert frozenset(lines[:2]) in want and got == want
 
 
+@pytest.mark.parametrize("many", [256, 16])
+def test_near_copies_of_a_line_make_few_candidates(spark, monkeypatch, many):
+    """300 copies of a line, each with another word in place of one: 44,850 pairs share an entry, few can link."""
+    monkeypatch.setattr(line_dedup, "MANY", many)
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrst") for _ in range(8))
+    base = [word() for _ in range(20)]
+    lines = []
+    for _ in range(300):
+        at = r.randrange(20)
+        lines.append(" ".join([*base[:at], word(), *base[at + 1 :]]))
+    lines += [edited(r, x, 1 + i % 2, "uvwxyz") for i, x in enumerate(lines[:30])]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    ids = {x.id: x.line for x in line_dedup.lines_of(docs).select(line_dedup.line_id().alias("id"), "line").collect()}
+    got = {frozenset((ids[x.a], ids[x.b])) for x in line_dedup.links(spark, docs, 2, 20).collect()}
+    known = sorted(set(lines))
+    want = {frozenset((a, b)) for i, a in enumerate(known) for b in known[i + 1 :] if line_dedup.within(a, b, 2)}
+    assert len(want) >= 30 and got == want
+    pairs, _ = line_dedup.candidates(spark, docs, 2, 20)
+    assert pairs.count() <= 2 * len(want) + 30
+    assert max(len(line_dedup.places_of(n, 2)) for n in range(20, 2000)) <= 10
+
+
 def test_line_dedup_of_odd_rows(docs, nothing):
     rows = line_dedup.dedup(docs).collect()
     by = {r.doc_id: r for r in rows}
