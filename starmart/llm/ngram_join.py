@@ -27,6 +27,8 @@ similarity reaches it differ in at most H shingles, where H follows from the siz
    different components is lost.
 5. Verification. A pair is dropped at the join if its sizes rule it out, or if the parities of 256 classes of shingles
    differ in more classes than the sets can differ in shingles; then by parities of as many classes as the sets need.
+   Where sets probe entries of any size the join itself has 1,024 classes: 256 tell sets of 400 shingles and a
+   similarity of 0.7 from links too rarely, so that a large group of them would make pairs with the square of its size.
    The rest is compared exactly, set against set, from texts that move compressed.
 
 Equal sets are one set from the start. Sets are known by a 64-bit id (half of a 128-bit hash of their shingles, which
@@ -158,12 +160,15 @@ def set_keys(shingles: np.ndarray, high: int, rule: Rule) -> np.ndarray:
 # ---------------------------------------------------------------- index
 
 
+#: Columns of 64 classes each.
 PARITIES = ["p0", "p1", "p2", "p3"]
+FINE = [f"q{i}" for i in range(16)]
 
 
-def parities(shingles: np.ndarray) -> np.ndarray:
-    """256 bits: whether the number of shingles of a class is odd. Each shingle that two sets differ in flips one bit."""
-    odd = np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+def parities(shingles: np.ndarray, columns: list[str] = PARITIES) -> np.ndarray:
+    """A bit a class: whether its number of shingles is odd. Each shingle that two sets differ in flips one bit."""
+    bits = 64 * len(columns)
+    odd = np.bincount((shingles >> np.uint64(65 - bits.bit_length())).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -184,10 +189,10 @@ def flips(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(one ^ two).sum())
 
 
-def close(rule: Rule) -> Column:
+def close(rule: Rule, columns: list[str] = PARITIES) -> Column:
     """Whether the pair of rows a and b can link, by sizes and parities (columns with the suffixes _a and _b)."""
     total = F.col("n_a") + F.col("n_b")
-    odd = sum(F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in PARITIES)
+    odd = sum(F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in columns)
     sizes = 100 * F.least("n_a", "n_b") >= rule.percent * F.greatest("n_a", "n_b")
     return sizes & ((100 + rule.percent) * odd <= (100 - rule.percent) * total)
 
@@ -368,6 +373,18 @@ def neighbourhoods(sets: DataFrame, rule: Rule) -> DataFrame:
     return sets.mapInArrow(rows, "sid bigint, band int, segment int, deleted boolean, key bigint")
 
 
+def finely(sets: DataFrame, rule: Rule) -> DataFrame:
+    """(sid, fine parities) of the given sets."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            odd = [parities(unpacked(held.as_py(), rule), FINE) for held in batch.column("packed")]
+            columns = map(pa.array, np.array(odd, np.int64).reshape(-1, len(FINE)).T.copy())
+            yield pa.RecordBatch.from_arrays([batch.column("sid"), *columns], ["sid", *FINE])
+
+    return sets.mapInArrow(rows, "sid bigint, " + ", ".join(f"{q} bigint" for q in FINE))
+
+
 def allocated(costs: list[tuple[int, int, int]], spare: int = 0) -> list[tuple[int, int]]:
     """(segment, v) of the segments that are not skipped, from (segment, cost of v = 0, cost of v = 1).
 
@@ -437,12 +454,12 @@ def probed(
 ) -> DataFrame:
     """Pairs (a, b) of sets of different components that the probing sets find in the index and that can link.
 
-    ``owner``: (sid, component, n, parities) of the sets in the index.
+    ``owner``: (sid, component, n, fine parities) of the sets in the index.
     """
     one = side(probes(index, sets, probers, rule).join(owner, "sid"), "a", ("key",))
     two = side(index.select("sid", "key", "deleted").join(owner, "sid"), "b", ("key",))
     allowed = ~(F.col("deleted_a") & F.col("deleted_b")) & ((F.col("v_a") == 1) | ~F.col("deleted_b"))
-    met = one.join(two, "key").where(allowed & (F.col("component_a") != F.col("component_b")) & close(rule))
+    met = one.join(two, "key").where(allowed & (F.col("component_a") != F.col("component_b")) & close(rule, FINE))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -499,6 +516,7 @@ def linked_sets(spark: SparkSession, docs: DataFrame, narrow: DataFrame, rule: R
     probers = checkpointed(outside.select("sid").distinct())
     sets = written(spark, sets_of(docs, narrow.select("sid", "text_key"), owner.select("sid"), rule), "crowd_sets")
     index = written(spark, neighbourhoods(sets, rule), "neighbourhoods")
+    owner = checkpointed(owner.drop(*PARITIES).join(finely(sets, rule), "sid"))
     candidates = probed(index, sets, probers, owner, rule).join(tried, ["a", "b"], "left_anti")
     candidates = plausible(written(spark, candidates, "candidates"), narrow, rule)
     return components(links.union(written(spark, verified(candidates, sets, rule), "links")))

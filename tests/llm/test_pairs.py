@@ -132,6 +132,38 @@ def test_allocation_covers_all_segments():
         assert len(found) <= len(costs) - spare and len({s for s, _ in found}) == len(found)
 
 
+def test_sets_just_below_the_similarity_make_few_candidates(spark, monkeypatch):
+    """120 texts that differ in 6 words each from a common one: 7,140 pairs at a similarity of about 0.73."""
+    monkeypatch.setattr(ngram_join, "MANY", 4)
+    r, docs = random.Random(8), []
+    base = [f"w{i}" for i in range(385)]
+    for d in range(120):
+        text = list(base)
+        for at in r.sample(range(385), 6):
+            text[at] = f"n{r.randrange(10**9)}"
+        docs.append((d, " ".join(text)))
+    # A chain of links: three words more than in the text before.
+    docs += [(200 + i, f"{docs[7][1]} " + " ".join(f"m{j}" for j in range(3 * i))) for i in range(1, 8)]
+    made, whole = [], ngram_join.probed
+    monkeypatch.setattr(ngram_join, "probed", lambda *a: made.append(whole(*a)) or made[-1])
+    found = ngram_join.join(spark.createDataFrame(docs, "doc_id long, text string"), ngram_join.Rule(5, 80))
+    rows = {x.doc_id: (x.n_shingles, x.component_id) for x in found.collect()}
+    assert rows == brute_components(docs, 5, 80)
+    assert len(made) == 1 and made[0].count() <= 400
+
+
+def test_fine_parities_never_exceed_the_difference():
+    r = np.random.default_rng(9)
+    for _ in range(300):
+        one = np.unique(r.integers(0, 1 << 63, int(r.integers(1, 900)), dtype=np.uint64)) << np.uint64(1)
+        two = np.union1d(one[r.random(len(one)) < 0.9], r.integers(0, 1 << 63, len(one) // 8, dtype=np.uint64))
+        odd = ngram_join.parities(one, ngram_join.FINE) ^ ngram_join.parities(two, ngram_join.FINE)
+        assert len(odd) == len(ngram_join.FINE)
+        flips = sum(int(f).bit_count() for f in odd.view(np.uint64))
+        differ = len(np.setxor1d(one, two))
+        assert flips <= differ and (differ - flips) % 2 == 0
+
+
 def test_join_of_odd_rows(docs, nothing):
     rows = ngram_join.join(docs, ngram_join.Rule(3, 90)).collect()
     assert len(rows) == docs.count()
