@@ -93,10 +93,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int
     table = counted.toArrow()
     bucket = table.column("b").to_numpy().astype(np.int64)
     counts = np.array([table.column(c).to_numpy() for c in NAMES], np.int64).reshape(2, FOLDS, len(bucket))
+    del table
     # The last choice of features is that of the whole sample, the others leave out one fold each.
     choices = [selected(bucket, *(counts.sum(axis=1) - counts[:, k])) for k in range(FOLDS)]
     choices.append(selected(bucket, *counts.sum(axis=1)))
     indexes = [index for index, _ in choices]
+    del bucket, counts
+    pa.default_memory_pool().release_unused()
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.int32())
@@ -110,10 +113,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int
             yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("fold"), *found], ["y", "fold", *PICKED])
 
     picked = sample.mapInArrow(pick, "y int, fold int, " + ", ".join(f"{c} array<int>" for c in PICKED)).toArrow()
-    rows = sorted(zip(*(picked.column(c).to_pylist() for c in ("y", "fold", *PICKED)), strict=True))
+    y, folds, rows = gathered(picked)
+    del picked
+    pa.default_memory_pool().release_unused()
     if not rows:
         return Model(*nothing, -700.0)
-    y, folds = np.array([r[0] for r in rows], float), np.array([r[1] for r in rows])
     drawn = np.bincount(y.astype(int), minlength=2)
     counts_for = np.where(y == 1, sizes[1] / max(drawn[1], 1), sizes[0] / max(drawn[0], 1))
     apart = np.full(len(rows), np.nan)
@@ -121,8 +125,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int
         rest, own = np.flatnonzero(folds != k), np.flatnonzero(folds == k)
         if len(np.unique(y[rest])) == 2:
             ratio = choices[k][1]
-            weight, bias = regression([rows[i][2 + k] for i in rest], y[rest], counts_for[rest], ratio)
-            apart[own] = [(weight * ratio)[rows[i][2 + k]].sum() + bias for i in own]
+            weight, bias = regression([rows[i][k] for i in rest], y[rest], counts_for[rest], ratio)
+            apart[own] = [(weight * ratio)[rows[i][k]].sum() + bias for i in own]
     index, ratio = choices[-1]
     weight, bias = regression([r[-1] for r in rows], y, counts_for, ratio)
     judged = ~np.isnan(apart)
@@ -134,6 +138,24 @@ NAMES = [f"n{y}_{k}" for y, k in CELLS]
 PICKED = [f"f{k}" for k in range(FOLDS + 1)]
 
 
+def gathered(picked: pa.Table) -> tuple[np.ndarray, np.ndarray, list[list[np.ndarray]]]:
+    """Label, fold and kept features (for each choice) of the sampled texts, in an order that the tasks have no part in.
+
+    Features stay arrays: as lists of numbers they would take nine times the memory of the driver.
+    """
+    y, folds = picked.column("y").to_numpy(), picked.column("fold").to_numpy()
+    features = []
+    for name in PICKED:
+        lists = picked.column(name).combine_chunks()
+        ends = lists.offsets.to_numpy()
+        # Big-endian bytes stand in the order of the numbers.
+        values = lists.values.to_numpy().astype(">i4")
+        features.append([values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)])
+    found = list(zip(*features, strict=True))
+    order = sorted(range(len(found)), key=lambda i: (y[i], folds[i], *(f.tobytes() for f in found[i])))
+    return y[order].astype(float), folds[order], [found[i] for i in order]
+
+
 def selected(bucket: np.ndarray, n0: np.ndarray, n1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of each kept bucket (or -1) and the log-count ratio of each index, from texts of each label that hold it."""
     index = np.full(1 << BITS, -1, np.int32)
@@ -167,7 +189,7 @@ def threshold(score: np.ndarray, y: np.ndarray, counts_for: np.ndarray) -> float
 
 
 def regression(
-    rows: list[list[int]], y: np.ndarray, counts_for: np.ndarray, scale: np.ndarray
+    rows: list[np.ndarray], y: np.ndarray, counts_for: np.ndarray, scale: np.ndarray
 ) -> tuple[np.ndarray, float]:
     """Logistic regression on features of value ``scale``: accelerated gradient steps on the penalised mean loss.
 
@@ -176,7 +198,7 @@ def regression(
     part = counts_for / counts_for.sum()
     toxic = float((counts_for * y).sum())
     lengths = np.array([len(r) for r in rows])
-    columns = np.fromiter((c for r in rows for c in r), np.int64, lengths.sum())
+    columns = np.concatenate(rows).astype(np.int64)
     row = np.repeat(np.arange(len(rows)), lengths)
     value = scale[columns]
     weight, bias = np.zeros(len(scale)), float(np.log((toxic + 1) / (counts_for.sum() - toxic + 1)))

@@ -2,10 +2,12 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from parity import compare, connect
 from pyspark.sql import functions as F
@@ -230,6 +232,27 @@ def test_toxicity_decides_alike_at_every_sample_ratio(spark):
         assert sum(r.score >= 0.5 for r in rows if not r.toxic) <= flagged
 
 
+def test_gathered_features_stay_arrays():
+    """The sample comes to the driver beside all that earlier stages left there: no lists of numbers."""
+    r = np.random.default_rng(4)
+    lists = [[np.unique(r.integers(0, 8192, n)).astype(np.int32) for n in r.integers(0, 900, 1000)] for _ in toxicity.PICKED]
+    for own in lists:
+        own[1] = own[0]
+    y, folds = r.integers(0, 2, 1000).astype(np.int32), r.integers(0, 3, 1000).astype(np.int32)
+    kind = pa.list_(pa.int32())
+    columns = [pa.chunked_array([pa.array(own[:300], kind), pa.array(own[300:], kind)]) for own in lists]
+    table = pa.table([pa.array(y), pa.array(folds), *columns], names=["y", "fold", *toxicity.PICKED])
+    tracemalloc.start()
+    got = toxicity.gathered(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * table.nbytes
+    want = sorted(zip(*(table.column(c).to_pylist() for c in table.column_names), strict=True))
+    assert [(a, b, *(x.tolist() for x in own)) for a, b, own in zip(*got, strict=True)] == want
+    assert toxicity.gathered(table.slice(0, 0))[2] == []
+    assert toxicity.gathered(pa.Table.from_batches([], table.schema))[2] == []
+
+
 def test_token_counts(spark, docs, nothing):
     path = queries.vocabulary("piece_bpe_32k.model")
     pieces = token_count.vocabulary(path)
