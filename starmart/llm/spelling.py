@@ -139,8 +139,20 @@ def entries(words: DataFrame, order: dict[str, tuple[int, int]], index: bool) ->
     return found.withColumn("key", F.xxhash64("key"))
 
 
+def few_or_sorted(df: DataFrame) -> DataFrame:
+    """``df`` to be sent to every executor if a count shows few links, else to be joined by sorting.
+
+    Spark would go by the size of compressed files, which is a fraction of what the driver would have to hold.
+    """
+    found = small(df, FEW_LINKS)
+    return df.hint("merge") if found is df else found
+
+
 def near(words: DataFrame) -> DataFrame:
-    """(word, n, other, other_n): every two words one edit apart, in both directions, once each."""
+    """(word, n, other, other_n): every two words one edit apart, in both directions, once each.
+
+    Entries are joined by sorting whatever Spark takes their size to be: it does not see that Python makes dozens of a word.
+    """
     places = F.sequence(F.lit(1), F.length("word") - 1)
     grams = words.select(F.explode(F.transform(places, lambda i: F.substring("word", i, F.lit(2)))).alias("gram"))
     counts = sorted((r["count"], r["gram"]) for r in grams.groupBy("gram").count().collect())
@@ -148,7 +160,7 @@ def near(words: DataFrame) -> DataFrame:
     one = entries(words, order, index=False)
     two = entries(words, order, index=True).toDF("key", "other", "other_n", "other_last")
     apart = F.expr("levenshtein(word, other, 1) = 1")
-    met = one.join(two, "key").where((F.col("last") <= F.col("other_last")) & (F.col("word") != F.col("other")) & apart)
+    met = one.hint("merge").join(two.hint("merge"), "key").where((F.col("last") <= F.col("other_last")) & (F.col("word") != F.col("other")) & apart)
     met = met.select("word", "n", "other", "other_n")
     return met.union(met.select("other", "other_n", "word", "n")).distinct()
 
@@ -172,9 +184,9 @@ def variants(words: DataFrame, times: int = 5) -> DataFrame:
         F.when(frequent, F.col("best.other_n")).alias("form_n"),
     )
     forms = written(words.sparkSession, forms, "forms")
-    found = words.join(forms, "word", "left")
+    found = words.join(few_or_sorted(forms), "word", "left")
     roots = rooted(forms.where("form is not null").select("word", F.col("form").alias("root")))
-    return found.join(roots, "word", "left").select(
+    return found.join(few_or_sorted(roots), "word", "left").select(
         "word",
         "form",
         F.coalesce("root", "word").alias("root"),
@@ -191,7 +203,7 @@ def rooted(links: DataFrame) -> DataFrame:
     """
     while True:
         links = written(links.sparkSession, links, "roots")
-        on = small(links.select(F.col("word").alias("root"), F.col("root").alias("_next")), FEW_LINKS)
+        on = few_or_sorted(links.select(F.col("word").alias("root"), F.col("root").alias("_next")))
         followed = links.join(on, "root", "left")
         if followed.where("_next is not null").isEmpty():
             return links

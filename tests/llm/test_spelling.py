@@ -118,6 +118,20 @@ def test_chains_of_forms(spark):
     assert {r[1] for r in found.values()} == {"bbbbbb"} and found == brute_variants(counts)
 
 
+def test_only_counted_sides_are_broadcast(spark, tmp_path, monkeypatch):
+    """Spark takes entries to be as large as the compressed words they are made of."""
+    r = random.Random(4)
+    counts = {"".join(r.choice("abcde") for _ in range(r.randrange(6, 9))): r.choice([5, 30, 900]) for _ in range(3000)}
+    spark.createDataFrame(list(counts.items()), "word string, n bigint").write.parquet(str(tmp_path / "words"))
+    words = spark.read.parquet(str(tmp_path / "words"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan(spelling.near(words)) and "SortMergeJoin" in plan(spelling.near(words))
+    assert "BroadcastExchange" in plan(words.join(spelling.few_or_sorted(words), "word"))
+    monkeypatch.setattr(spelling, "FEW_LINKS", 10)
+    found = spelling.variants(words)
+    assert "BroadcastExchange" not in plan(found) and found_rows(found) == brute_variants(counts)
+
+
 def test_query_and_its_sql(spark):
     folder = "/root/testdata/sf0.001"
     found = found_rows(queries.op11_spelling(spark, folder))
