@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.session import written
+
+#: Missing keys are sent to every executor only if a count shows at most so many.
+FEW_MISSING = 200_000
+
 
 def lookup(df: DataFrame, key: str, dim: DataFrame, dim_key: str, take: dict[str, str]) -> DataFrame:
     """Left join ``dim`` on ``key`` and add ``take`` (dim column -> new name).
@@ -16,9 +21,22 @@ def lookup(df: DataFrame, key: str, dim: DataFrame, dim_key: str, take: dict[str
     return df.join(side, df[key] == side["_lookup"], "left").drop("_lookup")
 
 
-def flag_missing(df: DataFrame, key: str, parent: DataFrame, parent_key: str, flag: str) -> DataFrame:
-    """Add a boolean: the key has no row in ``parent`` (a missing key counts as missing)."""
+def flag_missing(
+    df: DataFrame, key: str, parent: DataFrame, parent_key: str, flag: str, among: DataFrame | None = None
+) -> DataFrame:
+    """Add a boolean: the key has no row in ``parent`` (a missing key counts as missing).
+
+    ``among`` is a frame that has every key of ``df`` and is cheap to read, such as its raw rows. Keys alone are
+    compared first, then; if few of them are missing, only these are looked up and the wide rows do not shuffle.
+    """
     keys = parent.select(F.col(parent_key).alias("_parent")).where(F.col("_parent").isNotNull()).distinct()
+    if among is not None:
+        own = among.select(F.col(key).alias("_missing")).where(F.col("_missing").isNotNull()).distinct()
+        missing = written(own.join(keys, own["_missing"] == keys["_parent"], "left_anti"), "missing-keys")
+        if missing.limit(FEW_MISSING + 1).count() <= FEW_MISSING:
+            absent = df[key].isNull() | F.col("_missing").isNotNull()
+            looked_up = df.join(F.broadcast(missing), df[key] == missing["_missing"], "left")
+            return looked_up.withColumn(flag, absent).drop("_missing")
     return df.join(keys, df[key] == keys["_parent"], "left").withColumn(flag, F.col("_parent").isNull()).drop("_parent")
 
 

@@ -124,7 +124,7 @@ def clean_routes(raw: DataFrame) -> Cleaned:
 
 def clean_scheduled_tours(raw: DataFrame, routes: DataFrame) -> Cleaned:
     df = keep_first(raw, ["tour_id"], ORDINAL)
-    df = flag_missing(df, "route_id", routes, "route_id", "dq_orphan_route_references")
+    df = flag_missing(df, "route_id", routes, "route_id", "dq_orphan_route_references", raw)
     price = numbers.currency("price_pp_raw")
     return _finish(
         "ScheduledTour",
@@ -145,7 +145,7 @@ def clean_scheduled_tours(raw: DataFrame, routes: DataFrame) -> Cleaned:
 
 def clean_bookings(raw: DataFrame, tours: DataFrame) -> Cleaned:
     df = keep_first(raw, ["booking_reference"], ORDINAL)
-    df = flag_missing(df, "tour_id", tours, "tour_id", "dq_orphan_tour_references")
+    df = flag_missing(df, "tour_id", tours, "tour_id", "dq_orphan_tour_references", raw)
     address, invalid = text.email("contact_email_raw")
     list_price, total = numbers.currency("list_price_raw"), numbers.currency("total_price_raw")
     discount = F.col("discount_pct").cast("decimal(9,4)")
@@ -182,7 +182,7 @@ def clean_bookings(raw: DataFrame, tours: DataFrame) -> Cleaned:
 
 def clean_payments(raw: DataFrame, bookings: DataFrame) -> Cleaned:
     df = keep_first(raw, ["payment_id"], ORDINAL)
-    df = flag_missing(df, "booking_id", bookings, "booking_id", "dq_orphan_booking_references")
+    df = flag_missing(df, "booking_id", bookings, "booking_id", "dq_orphan_booking_references", raw)
     return _finish(
         "Payment",
         df,
@@ -203,7 +203,7 @@ def clean_payments(raw: DataFrame, bookings: DataFrame) -> Cleaned:
 
 def clean_reviews(raw: DataFrame, bookings: DataFrame) -> Cleaned:
     df = keep_first(raw, ["booking_id"], ORDINAL)
-    df = flag_missing(df, "booking_id", bookings, "booking_id", "dq_orphan_booking_references")
+    df = flag_missing(df, "booking_id", bookings, "booking_id", "dq_orphan_booking_references", raw)
     out_of_range = F.lit(False)
     for r in RATINGS:
         out_of_range = out_of_range | _true(~F.col(r).between(1, 5))
@@ -235,7 +235,7 @@ def clean_weather(raw: DataFrame, regions: DataFrame) -> Cleaned:
 
 def clean_booking_attribution(raw: DataFrame, bookings: DataFrame) -> Cleaned:
     df = keep_first(raw, ["booking_id"], ORDINAL)
-    df = flag_missing(df, "booking_id", bookings, "booking_id", "dq_orphan_booking_references")
+    df = flag_missing(df, "booking_id", bookings, "booking_id", "dq_orphan_booking_references", raw)
     channel = text.lowered("channel_raw")
     return _finish(
         "BookingAttribution",
@@ -291,7 +291,7 @@ def clean_website_analytics(raw: DataFrame) -> Cleaned:
 
 def clean_equipment_hire(raw: DataFrame, bookings: DataFrame) -> Cleaned:
     df = keep_first(raw, ["booking_id"], ORDINAL)
-    df = flag_missing(df, "booking_id", bookings, "booking_id", "dq_orphan_booking_references")
+    df = flag_missing(df, "booking_id", bookings, "booking_id", "dq_orphan_booking_references", raw)
     revenue = numbers.currency("hire_revenue_raw")
     return _finish(
         "EquipmentHire",

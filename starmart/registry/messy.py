@@ -6,6 +6,8 @@ conversation turns supply real duplicates, dangling keys real orphans.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +32,22 @@ def spelled_sql(key: str, c: str) -> str:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """The rows over many tasks, as raw files come in many splits; a driver table is one row group, so one task."""
-    return df.repartition(*keys)
+    """The rows over many tasks, as raw files come in many splits; a driver table is one row group, so one task.
+
+    A table with splits for every core stays as it is.
+    """
+    many = df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism
+    return df if many else df.repartition(*keys)
+
+
+#: Rows of a raw file, about.
+ROWS_A_FILE = 500_000
+
+
+def in_order(df: DataFrame, *order: str) -> DataFrame:
+    """The rows in the order of the columns, over four tasks or as many as the rows need."""
+    parts = max(4, math.ceil(df.count() / ROWS_A_FILE))
+    return df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
 
 # ------------------------------------------------------------------ reference data
@@ -139,14 +155,19 @@ TOURS = f"""SELECT o_orderkey AS tour_id, o_orderkey AS route_id, CASE WHEN o_or
     CAST(o_orderkey % 4 + 1 AS INTEGER) AS max_group_size, 'open' AS status FROM orders"""
 
 
-def bookings(spark, sf) -> DataFrame:
-    """Line items; a quarter of them repeat a (order, line) pair and so a booking reference."""
+def bookings(spark, sf, ordered: bool = False) -> DataFrame:
+    """Line items; a quarter of them repeat a (order, line) pair and so a booking reference.
+
+    ``ordered``: in the order of the ordinal, which the narrow lines are dealt out by.
+    """
+    lines = table(spark, sf, "lineitem")
+    lines = in_order(lines, *TIE) if ordered else spread(lines, "l_orderkey", "l_linenumber")
     listed = money("l_extendedprice")
     net = (listed * (F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(18,2)")
     total = F.when(F.col("l_tax") >= 0.08, net + F.lit("0.05").cast("decimal(18,2)")).otherwise(net)
     key = F.col("l_suppkey").cast("string")
     day = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
-    return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber").select(
+    return lines.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("booking_id"),
         (F.col("l_orderkey") + 100).alias("tour_id"),
         F.concat(F.lit("R-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias(
@@ -243,11 +264,17 @@ REVIEWS = """SELECT conv_id AS booking_id, CASE WHEN role <> 'system' THEN CAST(
     row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS rn FROM conversations"""
 
 
-def weather(spark, sf) -> DataFrame:
-    """One observation per line item; several share a day and region under different spellings."""
+def weather(spark, sf, ordered: bool = False) -> DataFrame:
+    """One observation per line item; several share a day and region under different spellings.
+
+    ``ordered``: in the order of the ordinal, which the narrow lines are dealt out by.
+    """
     lines = lookup(table(spark, sf, "lineitem"), "l_suppkey", table(spark, sf, "supplier"), "s_suppkey", {"s_nationkey": "nation"})
     lines = lookup(lines, "nation", table(spark, sf, "nation"), "n_nationkey", {"n_regionkey": "region_key"})
     lines = lookup(lines, "region_key", table(spark, sf, "region"), "r_regionkey", {"r_name": "r"})
+    order = ["l_suppkey", "l_partkey", "l_orderkey", "l_linenumber", *[c for c in TIE if c not in ("l_suppkey", "l_partkey")]]
+    if ordered:
+        lines = in_order(lines, *order)
     name = F.when(F.col("nation") == 24, "Atlantis").otherwise(F.initcap("r"))
     q = F.col("l_quantity")
     return lines.select(
@@ -259,7 +286,7 @@ def weather(spark, sf) -> DataFrame:
         F.lit(10.0).alias("visibility_km"),
         F.lit(0.0).alias("snow_depth_cm"),
         (F.col("l_tax") >= 0.08).alias("storm_warning"),
-        F.struct("l_suppkey", "l_partkey", "l_orderkey", "l_linenumber", *[c for c in TIE if c not in ("l_suppkey", "l_partkey")]).alias(ORDINAL),
+        F.struct(*order).alias(ORDINAL),
     )
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +46,35 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def releasing(spark: SparkSession) -> Iterator[None]:
+    """Queries that run in here leave no shuffle files; else they stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: read more than once, computed once, its shuffle files gone."""
+    path = shared_path(df.sparkSession, name)
+    with releasing(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete what was stored for a while only."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starmart.plans.cleaning import ORDINAL
 from starmart.schemas import CLEAN, DATE_YEAR, PARTITION_DATE, RAW, STAR, Contract
+from starmart.session import releasing
 
 
 def read_raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,7 +21,7 @@ def read_raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
     df = spark.read.csv(f"{folder}/{name}_raw.csv", schema=RAW[name], header=True, mode="PERMISSIVE", escape='"')
     place = F.monotonically_increasing_id()  # ascends in a task, which reads a split from front to back
     ordinal = F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), place.alias("place")
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("split"), place.alias("place")
     )
     return df.select("*", ordinal.alias(ORDINAL))
 
@@ -52,19 +53,27 @@ def write_table(df: DataFrame, path: str, *partition_by: str) -> None:
     With partition columns the rows are rebalanced on them: AQE sizes the tasks
     by bytes and splits a year that holds most of the data over many of them.
     """
-    if partition_by:
-        dealt = df.hint("rebalance", *map(F.col, partition_by))
-        dealt.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
+    with releasing(df.sparkSession):
+        if partition_by:
+            dealt = df.hint("rebalance", *map(F.col, partition_by))
+            dealt.write.mode("overwrite").partitionBy(*partition_by).parquet(path, compression="zstd")
+        else:
+            df.write.mode("overwrite").parquet(path, compression="zstd")
 
 
-def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, single: bool = False, compression: str = "none") -> None:
     """Overwrite a headered CSV folder; ``single`` only for results of bounded size."""
     out = df.coalesce(1) if single else df
-    out.write.mode("overwrite").csv(
-        path, header=True, emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    )
+    with releasing(df.sparkSession):
+        out.write.mode("overwrite").csv(
+            path,
+            header=True,
+            emptyValue="",
+            escape='"',
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+            compression=compression,
+        )
 
 
 def append_log(log: DataFrame, path: str, run_id: str) -> None:

@@ -149,6 +149,47 @@ def spark_nodes(df):
     return found
 
 
+def shuffled_bytes(spark):
+    """Bytes in shuffle files that were not removed; a count leaves some dozens."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [found.apply(i) for i in range(found.size())]
+    return sum(f.length() for f in files if f.getName().startswith("shuffle_") and f.getName().endswith(".data"))
+
+
+def repeated_rows(spark, path):
+    """Keys of two columns, nulls among them, one to four times each."""
+    rng = random.Random(5)
+    rows = [(rng.choice([None, f"k{rng.randrange(900)}"]), rng.choice([None, 1, 2]), i, f"row {i}") for i in range(4_000)]
+    spark.createDataFrame(rows, "a string, b int, at int, rest string").repartition(5).write.parquet(path)
+    least, copies = {}, {}
+    for a, b, at, rest in rows:
+        least.setdefault((a, b), (a, b, at, rest))
+        copies[a, b] = copies.get((a, b), 0) + 1
+    return spark.read.parquet(path), {(*row, copies[key]) for key, row in least.items()}
+
+
+def test_kept_rows_shuffle_once(spark, tmp_path, monkeypatch):
+    df, expected = repeated_rows(spark, str(tmp_path / "t"))
+    monkeypatch.setattr(dedupe, "FEW_KEYS", 0)
+    before = shuffled_bytes(spark)
+    found = dedupe.keep_first(df, ["a", "b"], "at")
+    assert shuffled_bytes(spark) < before + 1_000
+    assert {tuple(r) for r in found.collect()} == expected
+    executed = found.select("*")
+    executed.collect()
+    # The marked rows, and the counts of their keys.
+    assert sum(name == "Exchange" and "hashpartitioning" in text for name, _, text in spark_nodes(executed)) == 2
+
+
+def test_slices_of_repeated_keys(spark, tmp_path, monkeypatch):
+    df, expected = repeated_rows(spark, str(tmp_path / "t"))
+    monkeypatch.setattr(dedupe, "SLICE_KEYS", 300)
+    before = shuffled_bytes(spark)
+    found = dedupe.keep_first(df, ["a", "b"], "at")
+    assert shuffled_bytes(spark) < before + 1_000 and "Exchange hash" not in plan(found)
+    assert found.columns == [*df.columns, dedupe.COPIES] and {tuple(r) for r in found.collect()} == expected
+
+
 def test_keep_first_of_nothing(spark):
     empty = spark.createDataFrame([], "k int, at int")
     assert dedupe.keep_first(empty, ["k"], "at").collect() == []
@@ -187,6 +228,25 @@ def test_orphans_and_missing(spark):
     assert flags == {1: False, 2: True, None: True}
 
 
+@pytest.mark.parametrize("most", [lookup.FEW_MISSING, 1])
+def test_few_missing_keys_spare_the_wide_rows(spark, tmp_path, monkeypatch, most):
+    child = [(None if i % 50 == 0 else i % 300, f"row {i}") for i in range(3_000)]
+    spark.createDataFrame(child, "k int, wide string").write.parquet(str(tmp_path / "child"))
+    spark.createDataFrame([(i,) for i in range(290)] * 2 + [(None,)], "p int").write.parquet(str(tmp_path / "parent"))
+    child, parent = (spark.read.parquet(str(tmp_path / n)) for n in ("child", "parent"))
+    monkeypatch.setattr(lookup, "FEW_MISSING", most)
+    before, limit = shuffled_bytes(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagged = lookup.flag_missing(child.where("k IS NULL OR k <> 7"), "k", parent, "p", "f", child)
+        assert most == 1 or ("Exchange hash" not in plan(flagged) and shuffled_bytes(spark) < before + 1_000)
+        got = flagged.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert flagged.columns == ["k", "wide", "f"] and len(got) == 2_990
+    assert all(r.f == (r.k is None or r.k >= 290) for r in got)
+
+
 def test_spread_blank_keys_are_distinct(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "a")], "id int, k string")
     keys = [r[0] for r in df.select(lookup.spread_blank(F.col("k"), F.col("id"))).collect()]

@@ -1,10 +1,16 @@
 """Raw files in their true order."""
 
+import datetime
+import os
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from starmart.operators import dedupe, ranking
 from starmart.plans.cleaning import ORDINAL
-from starmart.sources import files
+from starmart.registry import cleansing
+from starmart.sources import files, tpch
 
 
 def test_lines_of_several_files_keep_their_order(spark, tmp_path):
@@ -33,3 +39,27 @@ def test_lines_of_several_files_keep_their_order(spark, tmp_path):
         expected.setdefault(int(line.split(",")[0]), line.split(",")[1])
     assert {r.region_id: r.region_name_raw for r in first} == expected
     assert sum(r[dedupe.COPIES] for r in first) == len(lines)
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """Line items with ties, repeated rows and nulls, and the tables that they are looked up in."""
+    rng = random.Random(9)
+    day = lambda: rng.choice([None, datetime.datetime(2020, 1, rng.randrange(1, 29))])
+    lines = [(rng.randrange(60), rng.choice([None, 1, 2]), rng.randrange(4), rng.randrange(3), float(rng.randrange(50)), 10.5, 0.05, 0.04, "A", "O", day()) for _ in range(700)]
+    nothing = {"nation": [(0, "N", 0), (24, "A", 1)], "region": [(0, "ASIA"), (1, "EUROPE")], "supplier": [(0, "s", 0, 1.0), (1, "s", 24, -1.0)]}
+    nothing |= {"customer": [(i, f"C{i}", i % 2, i - 2.5, "AUTO") for i in range(6)]}
+    root = tmp_path_factory.mktemp("tables")
+    for name, rows in {"lineitem": lines + lines[:90], **nothing}.items():
+        spark.createDataFrame(rows, tpch.SCHEMAS[name]).coalesce(1).write.parquet(str(root / f"{name}.parquet"))
+    return str(root)
+
+
+def test_a_table_goes_once_its_entries_are_stored(spark, folder):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    log = cleansing.full_log(spark, folder, ("Region", "Marketing"), datetime.datetime(2024, 1, 1))
+    assert not [n for n in set(os.listdir(shared)) - before if n.startswith(("Region-", "Marketing-"))]
+    got = {(r.table, r.metric, r.stage): r.value for r in log.collect()}
+    assert got["Region", "row_count", "raw"] == 2 and got["Marketing", "row_count", "cleaned"] == 6
+    assert got["Marketing", "negative_spend_rows", "cleaning"] == 3 and got["Region", "validation_failures", "cleaning"] == 0
