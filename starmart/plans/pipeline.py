@@ -17,7 +17,7 @@ from starmart.plans.ledger import Run
 from starmart.plans.quality import CLEANING, Cleaned, to_log
 from starmart.plans.validation import first_failures, schema_gaps, validate
 from starmart.schemas import CLEAN
-from starmart.session import get_session
+from starmart.session import get_session, releasing
 from starmart.sources.files import append_log, read_clean, read_raw, write_table
 
 
@@ -57,14 +57,16 @@ def _store(run: Run, cleaned: Cleaned, out_dir: str, log_dir: str) -> DataFrame:
     gaps = schema_gaps(stored, contract)
     if gaps:
         raise TypeError(f"{cleaned.name}: columns differ from the contract: {gaps}")
-    # One row per rule: small enough to look at here.
-    failures = sum(r["failures"] for r in validate(stored, contract).collect())
+    with releasing(spark):
+        # One row per rule: small enough to look at here.
+        failures = sum(r["failures"] for r in validate(stored, contract).collect())
     entry = to_log(spark, [(cleaned.name, "validation_failures", CLEANING, float(failures), "")], run.started)
     append_log(cleaned.quality(stored, run.started).unionByName(entry), log_dir, run.run_id)
     run.stored(cleaned.name)
     if failures:
         print(f"{cleaned.name} has {failures} failures:")
-        first_failures(stored, contract).show(truncate=False)
+        with releasing(spark):
+            first_failures(stored, contract).show(truncate=False)
     return read_clean(spark, out_dir, cleaned.name)
 
 

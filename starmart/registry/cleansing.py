@@ -320,15 +320,21 @@ RAW_TABLES = {
 }
 
 
+#: Their lines are put in order before they become wide.
+ORDERED_TABLES = {"bookings": messy.bookings}
+
+
 def raw_files(spark, sf, names) -> str:
-    """Raw CSV folders of several files each, their lines in the order of the ordinal."""
+    """Raw CSV folders of several compressed files each, their lines in the order of the ordinal."""
     folder = shared_path(spark, "raw")
     for name in names:
-        raw = RAW_TABLES[name](spark, sf)
-        if ORDINAL in raw.columns:
-            raw = raw.repartitionByRange(4, ORDINAL).sortWithinPartitions(ORDINAL)
+        if name in ORDERED_TABLES:
+            raw = ORDERED_TABLES[name](spark, sf, ordered=True)
+        else:
+            raw = RAW_TABLES[name](spark, sf)
+            raw = messy.in_order(raw, ORDINAL) if ORDINAL in raw.columns else raw
         columns = [f.split()[0] for f in RAW[name].split(", ")]
-        files.write_csv(raw.select(*columns), f"{folder}/{name}_raw.csv")
+        files.write_csv(raw.select(*columns), f"{folder}/{name}_raw.csv", compression="gzip")
     return folder
 
 

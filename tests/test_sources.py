@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators import dedupe, ranking
 from starmart.plans.cleaning import ORDINAL
-from starmart.registry import cleansing
+from starmart.registry import cleansing, messy
 from starmart.sources import files, tpch
 
 
@@ -55,6 +55,23 @@ def folder(spark, tmp_path_factory):
     return str(root)
 
 
+@pytest.mark.parametrize("name", ["bookings", "guides"])
+def test_raw_files_are_compressed_and_in_order(spark, folder, monkeypatch, name):
+    monkeypatch.setattr(messy, "ROWS_A_FILE", 1 if name == "guides" else 100)
+    path = cleansing.raw_files(spark, folder, [name])
+    stored = [n for n in os.listdir(f"{path.removeprefix('file:')}/{name}_raw.csv") if n.startswith("part-")]
+    assert stored and all(n.endswith(".csv.gz") for n in stored) and (name == "guides" or len(stored) > 4)
+    raw = files.read_raw(spark, path, name)
+    found = [tuple(r)[:-2] for r in ranking.numbered(raw, "line", [F.col(ORDINAL)]).orderBy("line").collect()]
+    whole = cleansing.RAW_TABLES[name](spark, folder).orderBy(ORDINAL).drop(ORDINAL).collect()
+    blank = lambda rows: [tuple(v.strip() or None if isinstance(v, str) else v for v in r) for r in rows]
+    found, whole = blank(found), blank(whole)
+    assert sorted(map(str, found)) == sorted(map(str, whole))
+    # Rows that tie may change places.
+    keyed = cleansing.RAW_TABLES[name](spark, folder).groupBy(ORDINAL).count().where("count = 1").count()
+    assert sum(a == b for a, b in zip(found, whole, strict=True)) >= keyed // 2
+
+
 def test_a_table_goes_once_its_entries_are_stored(spark, folder):
     shared = spark.conf.get("spark.checkpoint.dir")
     before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
