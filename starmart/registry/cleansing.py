@@ -321,7 +321,7 @@ RAW_TABLES = {
 
 
 #: Their lines are put in order before they become wide.
-ORDERED_TABLES = {"bookings": messy.bookings}
+ORDERED_TABLES = {"bookings": messy.bookings, "weather": messy.weather}
 
 
 def raw_files(spark, sf, names) -> str:

@@ -55,7 +55,7 @@ def folder(spark, tmp_path_factory):
     return str(root)
 
 
-@pytest.mark.parametrize("name", ["bookings", "guides"])
+@pytest.mark.parametrize("name", ["bookings", "weather", "guides"])
 def test_raw_files_are_compressed_and_in_order(spark, folder, monkeypatch, name):
     monkeypatch.setattr(messy, "ROWS_A_FILE", 1 if name == "guides" else 100)
     path = cleansing.raw_files(spark, folder, [name])
