@@ -9,6 +9,8 @@ only for attributes a date does not carry.
 
 from __future__ import annotations
 
+import math
+from collections import ChainMap
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -23,8 +25,11 @@ from starmart.operators import ranking, series
 from starmart.operators.lookup import lookup
 from starmart.plans import snapshots
 from starmart.schemas import DATE_YEAR, PARTITION_DATE
+from starmart.session import releasing, shared_path, written
 
 Star = Mapping[str, DataFrame]
+#: Bookings that are made wide at a time where they are stored; each of them takes a few hundred bytes of shuffle files.
+SLICE_ROWS = 1 << 25
 
 
 def _is(status: str) -> Column:
@@ -111,6 +116,27 @@ def bookings_enriched(star: Star) -> DataFrame:
     )
 
 
+def stored_enriched(star: Star) -> DataFrame:
+    """``bookings_enriched`` of a star that is derived as it is read, stored slice by slice if there are many bookings.
+
+    Calendar and guides are stored first: Spark then knows how small they are, and bookings do not shuffle to meet
+    them. The shuffle files of a slice go before the next one begins.
+    """
+    known = {name: written(star[name], name) for name in ("DimDate", "DimGuide")}
+    b = star["FactBookings"]
+    count = written(b.agg(count_rows().alias("n")), "count").first()["n"]
+    slices = math.ceil(count / SLICE_ROWS)
+    if slices < 2:
+        return bookings_enriched(ChainMap(known, star))
+    path = shared_path(b.sparkSession, "bookings-enriched")
+    for k in range(slices):
+        own = F.pmod(F.shiftright(F.xxhash64("booking_id"), 40), F.lit(slices)) == k
+        wide = bookings_enriched(ChainMap({"FactBookings": b.where(own)}, known, star))
+        with releasing(b.sparkSession):
+            wide.write.mode("append").parquet(path, compression="zstd")
+    return b.sparkSession.read.parquet(path)
+
+
 def monthly_totals(star: Star) -> DataFrame:
     """(year, month, month_name, totals): one row per tour month."""
     per_month = star["FactBookings"].groupBy(F.floor(F.col("tour_date_id") / 100).alias("ym")).agg(*_totals())

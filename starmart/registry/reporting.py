@@ -34,7 +34,7 @@ CANCELLED = "count(*) FILTER (WHERE status = 'cancelled')"
     ),
 )
 def rv1(spark, sf):
-    return reports.bookings_enriched(tpch.line_star(spark, sf, order=True))
+    return reports.stored_enriched(tpch.line_star(spark, sf, order=True))
 
 
 @query(

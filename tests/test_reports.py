@@ -4,6 +4,7 @@ import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from starmart.plans import insights, measures, reports
 from starmart.functions import calendar
@@ -68,6 +69,18 @@ def rows(df, *columns):
     return [tuple(r[c] for c in columns) for r in df.collect()]
 
 
+@pytest.mark.parametrize("most", [reports.SLICE_ROWS, 4])
+def test_stored_slices_are_the_whole_view(spark, star, monkeypatch, most):
+    monkeypatch.setattr(reports, "SLICE_ROWS", most)
+    doubled = star["FactBookings"].union(star["FactBookings"].limit(3)).union(star["FactBookings"].limit(1).withColumn("booking_id", F.lit(None).cast("bigint")))
+    whole = star | {"FactBookings": doubled}
+    found = reports.stored_enriched(whole)
+    expected = reports.bookings_enriched(whole)
+    assert found.dtypes == expected.dtypes
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    assert most > 4 or all("bookings-enriched" in f for f in found.inputFiles())
+
+
 def test_cohort_boundaries(star):
     got = {r.cohort_month: r for r in reports.cohort_retention(star).collect()}
     january = got["2019-01"]
