@@ -29,7 +29,7 @@ from starmart.session import releasing, shared_path, written
 
 Star = Mapping[str, DataFrame]
 #: Bookings that are made wide at a time where they are stored; each of them takes a few hundred bytes of shuffle files.
-SLICE_ROWS = 1 << 25
+SLICE_ROWS = 1 << 24
 
 
 def _is(status: str) -> Column:
